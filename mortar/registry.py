@@ -1,0 +1,76 @@
+"""Registered queries: name -> (spark, sf_dir) -> DataFrame.
+
+Every query reads the driver tables in ``sf_dir`` (through the fixture
+derivations) and runs over all of their rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from .plans import orders as shop
+from .sources import fixtures as fx
+from .sources.tables import Sources
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _src(spark: SparkSession, sf_dir: str) -> Sources:
+    return Sources(spark, sf_dir)
+
+
+# --------------------------------------------------------------------------- shop
+
+
+def q_stg_customers(spark, sf_dir):
+    return shop.stg_customers(fx.shop_customers(_src(spark, sf_dir)))
+
+
+def q_stg_orders(spark, sf_dir):
+    return shop.stg_orders(fx.shop_orders(_src(spark, sf_dir)))
+
+
+def q_stg_payments(spark, sf_dir):
+    return shop.stg_payments(fx.stripe_payments(_src(spark, sf_dir)))
+
+
+def q_fct_orders(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    return shop.fct_orders(shop.stg_orders(fx.shop_orders(s)), shop.stg_payments(fx.stripe_payments(s)))
+
+
+def q_order_status_pivot(spark, sf_dir):
+    return shop.order_status_pivot(shop.stg_orders(fx.shop_orders(_src(spark, sf_dir))))
+
+
+def q_dim_customers(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    return shop.dim_customers(
+        shop.stg_customers(fx.shop_customers(s)),
+        shop.stg_orders(fx.shop_orders(s)),
+        shop.stg_payments(fx.stripe_payments(s)),
+    )
+
+
+def q_customer_orders(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    return shop.customer_orders(fx.shop_orders(s), fx.stripe_payments(s), fx.shop_customers(s), clv="running")
+
+
+def q_customer_orders_self_join(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    return shop.customer_orders(fx.shop_orders(s), fx.stripe_payments(s), fx.shop_customers(s), clv="self_join")
+
+
+QUERIES: dict[str, Query] = {
+    "stg_customers": q_stg_customers,
+    "stg_orders": q_stg_orders,
+    "stg_payments": q_stg_payments,
+    "fct_orders": q_fct_orders,
+    "order_status_pivot": q_order_status_pivot,
+    "dim_customers": q_dim_customers,
+    "customer_orders": q_customer_orders,
+    "customer_orders_self_join": q_customer_orders_self_join,
+}
