@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .plans import customers as saas
 from .plans import orders as shop
 from .sources import fixtures as fx
 from .sources.tables import Sources
@@ -64,6 +65,75 @@ def q_customer_orders_self_join(spark, sf_dir):
     return shop.customer_orders(fx.shop_orders(s), fx.stripe_payments(s), fx.shop_customers(s), clv="self_join")
 
 
+# --------------------------------------------------------------------------- SaaS
+
+AS_OF = "2026-01-01"  # stands in for current_date() so results are repeatable
+
+
+def _saas(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    return (
+        fx.saas_customers(s),
+        fx.saas_subscriptions(s),
+        fx.saas_login_events(s),
+        fx.saas_support_tickets(s),
+    )
+
+
+def q_saas_customers(spark, sf_dir):
+    return fx.saas_customers(_src(spark, sf_dir))
+
+
+def q_saas_subscriptions(spark, sf_dir):
+    return fx.saas_subscriptions(_src(spark, sf_dir))
+
+
+def q_saas_login_events(spark, sf_dir):
+    return fx.saas_login_events(_src(spark, sf_dir))
+
+
+def q_saas_support_tickets(spark, sf_dir):
+    return fx.saas_support_tickets(_src(spark, sf_dir))
+
+
+def q_customer_dates(spark, sf_dir):
+    return saas.customer_dates(fx.saas_customers(_src(spark, sf_dir)))
+
+
+def q_active_subscriptions(spark, sf_dir):
+    c, subs, _, _ = _saas(spark, sf_dir)
+    return saas.active_subscriptions(c, subs)
+
+
+def q_daily_logins(spark, sf_dir):
+    c, _, logins, _ = _saas(spark, sf_dir)
+    return saas.daily_logins(c, logins)
+
+
+def q_daily_logins_trailing(spark, sf_dir):
+    c, _, logins, _ = _saas(spark, sf_dir)
+    return saas.daily_logins(c, logins, logins_mode="trailing")
+
+
+def q_open_tickets_daily(spark, sf_dir):
+    c, _, _, t = _saas(spark, sf_dir)
+    return saas.open_tickets_daily(c, t)
+
+
+def q_open_tickets_cumulative(spark, sf_dir):
+    c, _, _, t = _saas(spark, sf_dir)
+    return saas.open_tickets_daily(c, t, tickets_mode="cumulative")
+
+
+def q_daily_metrics(spark, sf_dir):
+    return saas.daily_metrics(*_saas(spark, sf_dir))
+
+
+def q_customers_enriched(spark, sf_dir):
+    c, subs, logins, t = _saas(spark, sf_dir)
+    return saas.customers_enriched(c, saas.daily_metrics(c, subs, logins, t), as_of=AS_OF)
+
+
 QUERIES: dict[str, Query] = {
     "stg_customers": q_stg_customers,
     "stg_orders": q_stg_orders,
@@ -73,4 +143,16 @@ QUERIES: dict[str, Query] = {
     "dim_customers": q_dim_customers,
     "customer_orders": q_customer_orders,
     "customer_orders_self_join": q_customer_orders_self_join,
+    "saas_customers": q_saas_customers,
+    "saas_subscriptions": q_saas_subscriptions,
+    "saas_login_events": q_saas_login_events,
+    "saas_support_tickets": q_saas_support_tickets,
+    "customer_dates": q_customer_dates,
+    "active_subscriptions": q_active_subscriptions,
+    "daily_logins": q_daily_logins,
+    "daily_logins_trailing": q_daily_logins_trailing,
+    "open_tickets_daily": q_open_tickets_daily,
+    "open_tickets_cumulative": q_open_tickets_cumulative,
+    "daily_metrics": q_daily_metrics,
+    "customers_enriched": q_customers_enriched,
 }
