@@ -57,29 +57,34 @@ def clamp_day(day: Column, start: str) -> Column:
 
 def interval_events(
     df: DataFrame,
-    key: str,
+    key: str | Sequence[str],
     lo: Column,
     hi_excl: Column,
     values: dict[str, Column],
     start: str,
     end: str,
+    shift: int = 0,
 ) -> DataFrame:
     """Delta events of intervals [lo, hi_excl) (``hi_excl`` NULL = open).
 
     Emits ``+values`` at the first covered spine day and ``-values`` at
     ``hi_excl`` when that is still inside the spine; intervals that end
-    before the spine or start after it emit nothing.
+    before the spine or start after it emit nothing. ``shift`` moves both
+    events ``shift`` days later: a running sum of shifted events on day d
+    is the unshifted state on day d - shift (a lag by days).
     """
+    keys = [key] if isinstance(key, str) else list(key)
     last = F.date_sub(_date(end), 1)
     a = clamp_day(lo, start)
     base = df.select(
-        F.col(key).alias(key), a.alias("_a"), hi_excl.alias("_b"), *[v.alias(f"_v_{n}") for n, v in values.items()]
+        *[F.col(k) for k in keys], a.alias("_a"), hi_excl.alias("_b"), *[v.alias(f"_v_{n}") for n, v in values.items()]
     ).where((F.col("_a") <= last) & (F.col("_b").isNull() | (F.col("_b") > F.col("_a"))))
-    plus = base.select(key, F.col("_a").alias("day"), *[F.col(f"_v_{n}").alias(n) for n in values])
+    plus = base.select(*keys, F.date_add("_a", shift).alias("day"), *[F.col(f"_v_{n}").alias(n) for n in values])
     minus = base.where(F.col("_b") <= last).select(
-        key, F.col("_b").alias("day"), *[(-F.col(f"_v_{n}")).alias(n) for n in values]
+        *keys, F.date_add("_b", shift).alias("day"), *[(-F.col(f"_v_{n}")).alias(n) for n in values]
     )
-    return plus.unionByName(minus)
+    both = plus.unionByName(minus)
+    return both.where(F.col("day") <= last) if shift else both
 
 
 def point_events(df: DataFrame, key: str, day: Column, values: dict[str, Column], start: str, end: str) -> DataFrame:
@@ -92,7 +97,15 @@ def point_events(df: DataFrame, key: str, day: Column, values: dict[str, Column]
 
 
 def distinct_active_events(
-    df: DataFrame, key: str, item: str, lo: Column, hi_excl: Column, start: str, end: str, out: str
+    df: DataFrame,
+    key: str,
+    item: str,
+    lo: Column,
+    hi_excl: Column,
+    start: str,
+    end: str,
+    out: str,
+    lags: dict[str, int] | None = None,
 ) -> DataFrame:
     """Delta events of ``count(distinct item)`` over covering intervals.
 
@@ -100,50 +113,96 @@ def distinct_active_events(
     coverage count per (key, item) is run first and only its 0 -> >0 and
     >0 -> 0 transitions become +1 / -1 events. The per-(key, item) window
     runs over aggregated event days (at most spine length + 1 rows), so a hot
-    key or item does not concentrate raw rows in one task.
+    key or item does not concentrate raw rows in one task. ``lags`` adds
+    columns of the same events shifted by n days (name -> n).
     """
-    items = df.where(F.col(item).isNotNull()).select(
-        F.struct(F.col(key).alias("k"), F.col(item).alias("i")).alias("_ki"), lo.alias("_lo"), hi_excl.alias("_hi")
-    )
-    per_item = interval_events(items, "_ki", F.col("_lo"), F.col("_hi"), {"_c": F.lit(1)}, start, end)
-    agg = per_item.groupBy("_ki", "day").agg(F.sum("_c").alias("_c"))
-    w = Window.partitionBy("_ki").orderBy("day")
+    last = F.date_sub(_date(end), 1)
+    items = df.where(F.col(item).isNotNull()).select(key, item, lo.alias("_lo"), hi_excl.alias("_hi"))
+    per_item = interval_events(items, [key, item], F.col("_lo"), F.col("_hi"), {"_c": F.lit(1)}, start, end)
+    agg = per_item.groupBy(key, item, "day").agg(F.sum("_c").alias("_c"))
+    w = Window.partitionBy(key, item).orderBy("day")
     cov = agg.withColumn("_cov", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     active = (F.col("_cov") > 0).cast("int")
-    trans = cov.withColumn("_d", active - F.coalesce(F.lag(active, 1).over(w), F.lit(0)))
-    return trans.where(F.col("_d") != 0).select(F.col("_ki.k").alias(key), "day", F.col("_d").alias(out))
+    trans = cov.withColumn("_d", active - F.coalesce(F.lag(active, 1).over(w), F.lit(0))).where(F.col("_d") != 0)
+    lags = lags or {}
+    names = [out, *lags]
+    zero = F.lit(0)
+    # One output row per (transition, shift), from a single pass.
+    variants = [F.struct(F.col("day").alias("day"), *[(F.col("_d") if m == out else zero).alias(m) for m in names])]
+    for name, n in lags.items():
+        variants.append(
+            F.struct(F.date_add("day", n).alias("day"), *[(F.col("_d") if m == name else zero).alias(m) for m in names])
+        )
+    rows = trans.select(key, F.explode(F.array(*variants)).alias("_v"))
+    return rows.select(key, "_v.*").where(F.col("day") <= last)
+
+
+def entity_first_days(entities: DataFrame, key: str, since: str, start: str, end: str) -> DataFrame:
+    """(key, first_day): the first spine day of each entity's grid (see ``entity_days``)."""
+    first = entities.where(F.col(key).isNotNull() & F.col(since).isNotNull()).groupBy(key).agg(
+        F.min(since).alias("_since")
+    )
+    lo = F.greatest(F.col("_since").cast("date"), _date(start))
+    return first.select(key, lo.alias("first_day")).where(F.col("first_day") <= F.date_sub(_date(end), 1))
 
 
 def running_on_grid(
-    grid: DataFrame,
+    firsts: DataFrame,
     key: str,
     date: str,
     events: Sequence[DataFrame],
     running: Sequence[str],
     point: Sequence[str] = (),
+    end: str = "",
 ) -> DataFrame:
-    """Daily state on a (key, date) grid from delta and point events.
-
-    ``running`` columns are summed over all events up to and including the
-    day (events before the key's first grid day included); ``point`` columns
-    are the day's own sums (NULL when the day has none). The output has one
-    row per grid row.
+    """Daily state on the dense (key, day) grid from delta and point events.
+
+    ``firsts`` holds (key, first_day); every key gets one row per day from
+    its first day to the last spine day. ``running`` columns are summed over
+    all events up to and including the day (events before the first day
+    included); ``point`` columns are the day's own sums (NULL without
+    events). Also returns ``first_day``.
+
+    Events are aggregated per (key, event day) first (partial aggregation;
+    one shuffle), the running sums are taken over these sparse rows only (at
+    most spine-length rows per key; one shuffle on key), and each sparse row
+    is then exploded over the days it covers. The dense rows are produced in
+    the last stage and are never shuffled.
     """
+    last = F.date_sub(_date(end), 1)
     cols = [*running, *point]
-    g = grid.select(F.col(key), F.col(date).alias("day"), F.lit(1).alias(IN_GRID))
-    parts = [g] + [e.select(key, "day", *[c for c in cols if c in e.columns]) for e in events]
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionByName(p, allowMissingColumns=True)
-    daily = union.groupBy(key, "day").agg(
-        F.max(IN_GRID).alias(IN_GRID), *[F.sum(c).alias(c) for c in cols]
+    markers = firsts.select(F.col(key), F.col("first_day").alias("day"), F.lit(1).alias(IN_GRID))
+    union = markers
+    for e in events:
+        union = union.unionByName(e.select(key, "day", *[c for c in cols if c in e.columns]), allowMissingColumns=True)
+    daily = union.groupBy(key, "day").agg(F.max(IN_GRID).alias(IN_GRID), *[F.sum(c).alias(c) for c in cols])
+    w = Window.partitionBy(key).orderBy("day")
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sparse = daily.select(
+        key,
+        "day",
+        F.max(F.when(F.col(IN_GRID) == 1, F.col("day"))).over(Window.partitionBy(key)).alias("first_day"),
+        F.lead("day").over(w).alias("_next"),
+        *[F.coalesce(F.sum(c).over(upto), F.lit(0)).alias(c) for c in running],
+        *point,
+    )
+    lo = F.greatest(F.col("day"), F.col("first_day"))
+    hi = F.least(F.coalesce(F.date_sub(F.col("_next"), 1), last), last)
+    covered = sparse.where(F.col("first_day").isNotNull()).withColumn("_lo", lo).withColumn("_hi", hi).where(
+        F.col("_lo") <= F.col("_hi")
     )
-    w = Window.partitionBy(key).orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    state = daily.select(
+    dense = covered.select(
         key,
+        F.explode(F.sequence("_lo", "_hi")).alias(date),
         "day",
-        IN_GRID,
-        *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(c) for c in running],
+        "first_day",
+        *running,
         *point,
     )
-    return state.where(F.col(IN_GRID) == 1).drop(IN_GRID).withColumnRenamed("day", date)
+    return dense.select(
+        key,
+        date,
+        "first_day",
+        *running,
+        *[F.when(F.col(date) == F.col("day"), F.col(p)).alias(p) for p in point],
+    )

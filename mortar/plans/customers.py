@@ -30,16 +30,19 @@ from ..operators.rank import group_min_max, latest_per_key
 from ..operators.temporal import (
     distinct_active_events,
     entity_days,
+    entity_first_days,
     interval_events,
     point_events,
     running_on_grid,
 )
+from ..sources.sinks import materialize
 from ..sources.fixtures import TICKET_CATEGORIES, USER_TYPES
 
 SPINE_START = "2023-01-01"
 SPINE_END = "2024-12-31"  # exclusive, as the reference's date spine
 
 KEY = "customer_id"
+LAG_DAYS = 90
 
 
 def _cat(c: str) -> str:
@@ -57,17 +60,16 @@ def customer_dates(customers: DataFrame, start: str = SPINE_START, end: str = SP
 def _subscription_events(subs: DataFrame, start: str, end: str) -> list[DataFrame]:
     lo = F.to_date("start_date")
     hi = F.date_add(F.to_date("end_date"), 1)  # active through end_date; NULL end = open
-    arr = interval_events(
-        subs,
-        KEY,
-        lo,
-        hi,
-        {"s_n": F.when(F.col("arr").isNotNull(), 1).otherwise(0).cast("long"), "s_arr": F.coalesce(F.col("arr").cast("long"), F.lit(0))},
-        start,
-        end,
-    )
-    products = distinct_active_events(subs, KEY, "product_id", lo, hi, start, end, out="products")
-    return [arr, products]
+    n = F.when(F.col("arr").isNotNull(), 1).otherwise(0).cast("long")
+    arr = F.coalesce(F.col("arr").cast("long"), F.lit(0))
+    # lag(.., 90) over the dense spine = the same events 90 days later.
+    return [
+        interval_events(subs, KEY, lo, hi, {"s_n": n, "s_arr": arr}, start, end),
+        interval_events(subs, KEY, lo, hi, {"s_n_lag": n, "s_arr_lag": arr}, start, end, shift=LAG_DAYS),
+        distinct_active_events(
+            subs, KEY, "product_id", lo, hi, start, end, out="products", lags={"products_lag": LAG_DAYS}
+        ),
+    ]
 
 
 def _ticket_events(tickets: DataFrame, start: str, end: str, mode: str) -> list[DataFrame]:
@@ -137,7 +139,7 @@ def _login_events(logins: DataFrame, start: str, end: str, mode: str) -> list[Da
     return events
 
 
-_SUB_RUNNING = ["s_n", "s_arr", "products"]
+_SUB_RUNNING = ["s_n", "s_arr", "products", "s_n_lag", "s_arr_lag", "products_lag"]
 _TIX_RUNNING = ["open", *[f"open_{_cat(c)}" for c in TICKET_CATEGORIES], "open14", "res_days", "res_cnt"]
 _LOGIN_POINT = [
     "num_logins",
@@ -158,7 +160,7 @@ def daily_state(
     logins_mode: str = "literal",
 ) -> DataFrame:
     """Raw daily state per (customer_id, date) for the given event families."""
-    grid = customer_dates(customers, start, end)
+    firsts = entity_first_days(customers, KEY, "acquisition_date", start, end)
     events, running, point = [], [], []
     if subscriptions is not None:
         events += _subscription_events(subscriptions, start, end)
@@ -170,15 +172,16 @@ def daily_state(
         events += _login_events(logins, start, end, logins_mode)
         point += _LOGIN_POINT
         running += ["last3", "prev3"] if logins_mode == "trailing" else []
-    state = running_on_grid(grid, KEY, "date", events, running, point)
-    w = Window.partitionBy(KEY).orderBy("date")
-    out = state.withColumn("day_number", F.row_number().over(w).cast("long"))
+    state = running_on_grid(firsts, KEY, "date", events, running, point, end=end)
+    # The grid is dense from first_day: the row number is a date difference,
+    # and a lag of 90 rows exists exactly when the row number exceeds 90.
+    out = state.withColumn("day_number", (F.datediff("date", "first_day") + 1).cast("long"))
     if subscriptions is not None:
-        arr_raw = F.when(F.col("s_n") > 0, F.col("s_arr"))
+        has_lag = F.col("day_number") > LAG_DAYS
         out = (
-            out.withColumn("arr_raw", arr_raw)
-            .withColumn("products_90d_ago", F.lag("products", 90).over(w))
-            .withColumn("arr_90d_ago", F.lag(arr_raw, 90).over(w))
+            out.withColumn("arr_raw", F.when(F.col("s_n") > 0, F.col("s_arr")))
+            .withColumn("products_90d_ago", F.when(has_lag, F.col("products_lag")))
+            .withColumn("arr_90d_ago", F.when(has_lag & (F.col("s_n_lag") > 0), F.col("s_arr_lag")))
         )
     return out
 
@@ -312,6 +315,9 @@ def daily_metrics(
         true_or_false(F.col("open14") > 3).alias("has_high_aging_tickets"),
         raw_units.alias("_raw_units"),
     )
+    # The table is read twice (per-day bounds, then the rows), so it is
+    # written once to shared storage rather than recomputed.
+    base = materialize(base, "daily_metrics_base")
     # Min-max per day: a per-day table with at most (end - start) rows.
     bounds = group_min_max(base, ["date"], "_raw_units")
     max_days = (_dt.date.fromisoformat(end) - _dt.date.fromisoformat(start)).days
