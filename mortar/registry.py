@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .plans import customers as saas
 from .plans import orders as shop
+from .plans import search
 from .sources import fixtures as fx
 from .sources.tables import Sources
 
@@ -134,6 +135,39 @@ def q_customers_enriched(spark, sf_dir):
     return saas.customers_enriched(c, saas.daily_metrics(c, subs, logins, t), as_of=AS_OF)
 
 
+# --------------------------------------------------------------------------- search
+
+
+def _terms(spark, sf_dir):
+    return search.search_terms(search.stg_search_export(fx.search_export(_src(spark, sf_dir))))
+
+
+def q_stg_search_export(spark, sf_dir):
+    return search.stg_search_export(fx.search_export(_src(spark, sf_dir)))
+
+
+def q_stg_cuisines(spark, sf_dir):
+    return search.stg_cuisines(fx.cuisine_export(_src(spark, sf_dir)))
+
+
+def q_search_terms(spark, sf_dir):
+    return _terms(spark, sf_dir)
+
+
+def q_search_term_metrics(spark, sf_dir):
+    m = search.metrics_with_overall(search.term_metrics(_terms(spark, sf_dir)))
+    return search.means_to_doubles(m)
+
+
+def q_restaurant_metrics(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    return search.restaurant_metrics(_terms(spark, sf_dir), search.stg_cuisines(fx.cuisine_export(s)))
+
+
+def q_cuisine_metrics(spark, sf_dir):
+    return search.cuisine_metrics(q_restaurant_metrics(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "stg_customers": q_stg_customers,
     "stg_orders": q_stg_orders,
@@ -155,4 +189,10 @@ QUERIES: dict[str, Query] = {
     "open_tickets_cumulative": q_open_tickets_cumulative,
     "daily_metrics": q_daily_metrics,
     "customers_enriched": q_customers_enriched,
+    "stg_search_export": q_stg_search_export,
+    "stg_cuisines": q_stg_cuisines,
+    "search_terms": q_search_terms,
+    "search_term_metrics": q_search_term_metrics,
+    "restaurant_metrics": q_restaurant_metrics,
+    "cuisine_metrics": q_cuisine_metrics,
 }
