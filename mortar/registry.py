@@ -12,7 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .plans import customers as saas
 from .plans import orders as shop
+from .plans import data_tests as dt
 from .plans import search
+from .operators.checks import run_checks
+from .sources.sinks import materialize
 from .sources import fixtures as fx
 from .sources.tables import Sources
 
@@ -168,6 +171,59 @@ def q_cuisine_metrics(spark, sf_dir):
     return search.cuisine_metrics(q_restaurant_metrics(spark, sf_dir))
 
 
+# --------------------------------------------------------------------------- data tests
+
+
+def q_tests_saas_customers(spark, sf_dir):
+    return run_checks(fx.saas_customers(_src(spark, sf_dir)), dt.saas_customers_tests())
+
+
+def q_tests_subscriptions(spark, sf_dir):
+    c, subs, _, _ = _saas(spark, sf_dir)
+    return run_checks(subs, dt.subscriptions_tests(c))
+
+
+def q_tests_login_events(spark, sf_dir):
+    c, _, logins, _ = _saas(spark, sf_dir)
+    return run_checks(logins, dt.login_events_tests(c))
+
+
+def q_tests_support_tickets(spark, sf_dir):
+    c, _, _, t = _saas(spark, sf_dir)
+    return run_checks(t, dt.support_tickets_tests(c))
+
+
+def q_tests_daily_metrics(spark, sf_dir):
+    daily = materialize(q_daily_metrics(spark, sf_dir), "daily_metrics")
+    return run_checks(daily, dt.daily_metrics_tests())
+
+
+def q_tests_customers_enriched(spark, sf_dir):
+    c = fx.saas_customers(_src(spark, sf_dir))
+    enriched = materialize(q_customers_enriched(spark, sf_dir), "customers_enriched")
+    return run_checks(enriched, dt.customers_enriched_tests(c))
+
+
+def q_tests_search_export(spark, sf_dir):
+    return run_checks(q_stg_search_export(spark, sf_dir), dt.search_export_tests())
+
+
+def q_tests_cuisines(spark, sf_dir):
+    return run_checks(q_stg_cuisines(spark, sf_dir), dt.cuisines_tests())
+
+
+def q_tests_search_terms(spark, sf_dir):
+    return run_checks(q_search_terms(spark, sf_dir), dt.search_terms_tests())
+
+
+def q_tests_restaurant_metrics(spark, sf_dir):
+    return run_checks(q_restaurant_metrics(spark, sf_dir), dt.restaurant_metrics_tests())
+
+
+def q_tests_cuisine_metrics(spark, sf_dir):
+    return run_checks(q_cuisine_metrics(spark, sf_dir), dt.cuisine_metrics_tests())
+
+
 QUERIES: dict[str, Query] = {
     "stg_customers": q_stg_customers,
     "stg_orders": q_stg_orders,
@@ -195,4 +251,15 @@ QUERIES: dict[str, Query] = {
     "search_term_metrics": q_search_term_metrics,
     "restaurant_metrics": q_restaurant_metrics,
     "cuisine_metrics": q_cuisine_metrics,
+    "tests_saas_customers": q_tests_saas_customers,
+    "tests_subscriptions": q_tests_subscriptions,
+    "tests_login_events": q_tests_login_events,
+    "tests_support_tickets": q_tests_support_tickets,
+    "tests_daily_metrics": q_tests_daily_metrics,
+    "tests_customers_enriched": q_tests_customers_enriched,
+    "tests_search_export": q_tests_search_export,
+    "tests_cuisines": q_tests_cuisines,
+    "tests_search_terms": q_tests_search_terms,
+    "tests_restaurant_metrics": q_tests_restaurant_metrics,
+    "tests_cuisine_metrics": q_tests_cuisine_metrics,
 }
