@@ -146,28 +146,24 @@ def entity_first_days(entities: DataFrame, key: str, since: str, start: str, end
     return first.select(key, lo.alias("first_day")).where(F.col("first_day") <= F.date_sub(_date(end), 1))
 
 
-def running_on_grid(
+def running_segments(
     firsts: DataFrame,
     key: str,
-    date: str,
     events: Sequence[DataFrame],
     running: Sequence[str],
     point: Sequence[str] = (),
     end: str = "",
 ) -> DataFrame:
-    """Daily state on the dense (key, day) grid from delta and point events.
-
-    ``firsts`` holds (key, first_day); every key gets one row per day from
-    its first day to the last spine day. ``running`` columns are summed over
-    all events up to and including the day (events before the first day
-    included); ``point`` columns are the day's own sums (NULL without
-    events). Also returns ``first_day``.
-
-    Events are aggregated per (key, event day) first (partial aggregation;
-    one shuffle), the running sums are taken over these sparse rows only (at
-    most spine-length rows per key; one shuffle on key), and each sparse row
-    is then exploded over the days it covers. The dense rows are produced in
-    the last stage and are never shuffled.
+    """Sparse daily state: one row per (key, event day) covering dense days
+    ``[_lo, _hi]`` over which the running columns are constant.
+
+    ``firsts`` holds (key, first_day); every key's grid runs from its first
+    day to the last spine day. ``running`` columns are summed over all events
+    up to and including the row's day (events before the first day
+    included); ``point`` columns are the day's own sums and apply to ``day``
+    only. Events are aggregated per (key, event day) first (partial
+    aggregation; one shuffle), and the running sums are windowed over these
+    sparse rows only (at most spine-length rows per key; one shuffle on key).
     """
     last = F.date_sub(_date(end), 1)
     cols = [*running, *point]
@@ -178,31 +174,56 @@ def running_on_grid(
     daily = union.groupBy(key, "day").agg(F.max(IN_GRID).alias(IN_GRID), *[F.sum(c).alias(c) for c in cols])
     w = Window.partitionBy(key).orderBy("day")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     sparse = daily.select(
         key,
         "day",
-        F.max(F.when(F.col(IN_GRID) == 1, F.col("day"))).over(Window.partitionBy(key)).alias("first_day"),
+        F.max(F.when(F.col(IN_GRID) == 1, F.col("day"))).over(whole).alias("first_day"),
         F.lead("day").over(w).alias("_next"),
         *[F.coalesce(F.sum(c).over(upto), F.lit(0)).alias(c) for c in running],
         *point,
     )
     lo = F.greatest(F.col("day"), F.col("first_day"))
     hi = F.least(F.coalesce(F.date_sub(F.col("_next"), 1), last), last)
-    covered = sparse.where(F.col("first_day").isNotNull()).withColumn("_lo", lo).withColumn("_hi", hi).where(
-        F.col("_lo") <= F.col("_hi")
+    return (
+        sparse.where(F.col("first_day").isNotNull())
+        .withColumn("_lo", lo)
+        .withColumn("_hi", hi)
+        .where(F.col("_lo") <= F.col("_hi"))
+        .drop("_next")
     )
-    dense = covered.select(
-        key,
-        F.explode(F.sequence("_lo", "_hi")).alias(date),
-        "day",
-        "first_day",
-        *running,
-        *point,
-    )
-    return dense.select(
-        key,
-        date,
-        "first_day",
-        *running,
-        *[F.when(F.col(date) == F.col("day"), F.col(p)).alias(p) for p in point],
+
+
+def split_segments(seg: DataFrame, boundary: Column) -> DataFrame:
+    """Cut each segment at its point day and at ``boundary`` (a date column).
+
+    Output rows carry ``_pt`` (the piece is the row's own event day, where
+    point columns apply) and ``_after`` (the piece lies on or after
+    ``boundary``). At most four pieces per input row.
+    """
+    lo, hi = F.col("_lo"), F.col("_hi")
+    is_pt = lo == F.col("day")
+    b = boundary
+    pt_hi = F.when(is_pt, lo).otherwise(F.date_sub(lo, 1))
+    rest_lo = F.when(is_pt, F.date_add(lo, 1)).otherwise(lo)
+
+    def piece(a, z, pt):
+        return [
+            F.struct(a.alias("a"), F.least(z, F.date_sub(b, 1)).alias("b"), F.lit(pt).alias("pt"), F.lit(False).alias("after")),
+            F.struct(F.greatest(a, b).alias("a"), z.alias("b"), F.lit(pt).alias("pt"), F.lit(True).alias("after")),
+        ]
+
+    pieces = F.filter(F.array(*piece(lo, pt_hi, True), *piece(rest_lo, hi, False)), lambda x: x["a"] <= x["b"])
+    out = seg.select("*", F.explode(pieces).alias("_piece"))
+    return out.select(
+        *[c for c in seg.columns if c not in ("_lo", "_hi")],
+        F.col("_piece.a").alias("_lo"),
+        F.col("_piece.b").alias("_hi"),
+        F.col("_piece.pt").alias("_pt"),
+        F.col("_piece.after").alias("_after"),
     )
+
+
+def explode_segments(seg: DataFrame, date: str = "date") -> DataFrame:
+    """Dense rows: each segment repeated for every day of ``[_lo, _hi]``."""
+    return seg.select("*", F.explode(F.sequence("_lo", "_hi")).alias(date)).drop("_lo", "_hi")

@@ -31,9 +31,11 @@ from ..operators.temporal import (
     distinct_active_events,
     entity_days,
     entity_first_days,
+    explode_segments,
     interval_events,
     point_events,
-    running_on_grid,
+    running_segments,
+    split_segments,
 )
 from ..sources.sinks import materialize
 from ..sources.fixtures import TICKET_CATEGORIES, USER_TYPES
@@ -149,7 +151,7 @@ _LOGIN_POINT = [
 ]
 
 
-def daily_state(
+def daily_segments(
     customers: DataFrame,
     subscriptions: DataFrame | None = None,
     logins: DataFrame | None = None,
@@ -159,7 +161,13 @@ def daily_state(
     tickets_mode: str = "literal",
     logins_mode: str = "literal",
 ) -> DataFrame:
-    """Raw daily state per (customer_id, date) for the given event families."""
+    """Daily state as segments: rows of (customer_id, _lo, _hi) over which
+    every metric is constant (see ``operators.temporal.running_segments``).
+
+    Segments are cut at the event day (where same-day login counts apply)
+    and at first_day + 90 (from where the 90-row lag exists), so per-day
+    values are a plain explode of a segment.
+    """
     firsts = entity_first_days(customers, KEY, "acquisition_date", start, end)
     events, running, point = [], [], []
     if subscriptions is not None:
@@ -172,18 +180,28 @@ def daily_state(
         events += _login_events(logins, start, end, logins_mode)
         point += _LOGIN_POINT
         running += ["last3", "prev3"] if logins_mode == "trailing" else []
-    state = running_on_grid(firsts, KEY, "date", events, running, point, end=end)
-    # The grid is dense from first_day: the row number is a date difference,
-    # and a lag of 90 rows exists exactly when the row number exceeds 90.
-    out = state.withColumn("day_number", (F.datediff("date", "first_day") + 1).cast("long"))
+    sparse = running_segments(firsts, KEY, events, running, point, end=end)
+    seg = split_segments(sparse, F.date_add("first_day", LAG_DAYS))
+    seg = seg.select(
+        *[c for c in seg.columns if c not in point and c != "day"],
+        *[F.when(F.col("_pt"), F.col(p)).alias(p) for p in point],
+    )
     if subscriptions is not None:
-        has_lag = F.col("day_number") > LAG_DAYS
-        out = (
-            out.withColumn("arr_raw", F.when(F.col("s_n") > 0, F.col("s_arr")))
+        # On the dense spine a lag of 90 rows exists exactly from first_day + 90.
+        has_lag = F.col("_after")
+        seg = (
+            seg.withColumn("arr_raw", F.when(F.col("s_n") > 0, F.col("s_arr")))
             .withColumn("products_90d_ago", F.when(has_lag, F.col("products_lag")))
             .withColumn("arr_90d_ago", F.when(has_lag & (F.col("s_n_lag") > 0), F.col("s_arr_lag")))
         )
-    return out
+    return seg
+
+
+def daily_state(customers: DataFrame, *args, **kw) -> DataFrame:
+    """Raw daily state per (customer_id, date) for the given event families."""
+    dense = explode_segments(daily_segments(customers, *args, **kw))
+    # The grid is dense from first_day: the row number is a date difference.
+    return dense.withColumn("day_number", (F.datediff("date", "first_day") + 1).cast("long"))
 
 
 # --------------------------------------------------------------------------- stage outputs
@@ -239,6 +257,49 @@ def open_tickets_daily(customers: DataFrame, tickets: DataFrame, tickets_mode: s
     )
 
 
+def open_tickets_join(customers: DataFrame, tickets: DataFrame, start: str = SPINE_START, end: str = SPINE_END) -> DataFrame:
+    """Literal form of daily_ticket_metrics: each spine row joined to every
+    ticket created up to the day (equi key + range residual), then grouped.
+
+    Rows grow with tickets x days; kept to compare against the delta form
+    (``open_tickets_daily``), which it must equal.
+    """
+    cd = customer_dates(customers, start, end)
+    t = tickets.select(
+        F.col(KEY).alias("_tk"),
+        F.to_date("created_date").alias("_cd"),
+        F.to_date("closed_date").alias("_xd"),
+        F.col("closed_date").isNull().alias("_open_ended"),
+        "status",
+        "ticket_category",
+    )
+    j = cd.join(t, (F.col(KEY) == F.col("_tk")) & (F.col("_cd") <= F.col("date")), "left")
+    is_open = (F.col("_cd") <= F.col("date")) & (
+        (F.col("status") != "closed") | F.col("_open_ended") | (F.col("_xd") > F.col("date"))
+    )
+    is_open = F.coalesce(is_open, F.lit(False))
+    closed = (F.col("status") == "closed") & (F.col("_xd") <= F.col("date"))
+    g = j.groupBy(KEY, "date").agg(
+        F.sum(is_open.cast("long")).alias("open_tickets"),
+        *[
+            F.sum((is_open & (F.col("ticket_category") == c)).cast("long")).alias(f"open_{_cat(c)}_tickets")
+            for c in TICKET_CATEGORIES
+        ],
+        F.sum((is_open & (F.datediff("date", "_cd") >= 14)).cast("long")).alias("tickets_open_14plus_days"),
+        F.avg(F.when(closed, F.datediff("_xd", "_cd"))).alias("avg_days_to_resolution"),
+    )
+    w = Window.partitionBy(KEY).orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return g.select(
+        KEY,
+        "date",
+        F.count(F.lit(1)).over(w).cast("long").alias("total_tickets_to_date"),
+        "open_tickets",
+        *[f"open_{_cat(c)}_tickets" for c in TICKET_CATEGORIES],
+        "tickets_open_14plus_days",
+        "avg_days_to_resolution",
+    )
+
+
 # --------------------------------------------------------------------------- full table
 
 DAILY_COLUMNS = [
@@ -266,44 +327,64 @@ def daily_metrics(
     logins_mode: str = "literal",
 ) -> DataFrame:
     """customer_daily_metrics: 36 columns per (customer, day)."""
-    s = daily_state(customers, subscriptions, logins, tickets, start, end, tickets_mode, logins_mode)
+    s = daily_segments(customers, subscriptions, logins, tickets, start, end, tickets_mode, logins_mode)
     z = F.lit(0)
 
     def c0(name):
         return F.coalesce(F.col(name), z).cast("long")
 
-    # Percent changes in hundredths (exact), then as doubles.
-    p_products = pct_change_units("products", "products_90d_ago")
-    p_arr = pct_change_units("arr_raw", "arr_90d_ago")  # mrr = arr / 12: the same ratio
     if logins_mode == "trailing":
         last3, prev3 = c0("last3"), c0("prev3")
     else:
         last3, prev3 = c0("login_rows"), F.lit(0).cast("long")
-    p_logins = pct_change_units(last3, prev3)
+    # Every value below is constant over a segment, so it is computed once
+    # per segment, not once per day. Stepwise projections keep each
+    # intermediate a column of its own (no re-expansion inside the score).
+    s = s.select("*", last3.alias("_last3"), prev3.alias("_prev3"))
+    s = s.select(
+        "*",
+        # Percent changes in hundredths (exact); mrr = arr / 12 has the same ratio.
+        pct_change_units("products", "products_90d_ago").alias("_p_products"),
+        pct_change_units("arr_raw", "arr_90d_ago").alias("_p_arr"),
+        pct_change_units("_last3", "_prev3").alias("_p_logins"),
+        (F.col("open_bug") + F.col("open_incident") + F.col("open14")).alias("_critical"),
+    )
+    s = s.select(
+        "*",
+        (
+            F.coalesce(F.col("_p_products"), z)
+            + F.coalesce(F.col("_p_arr"), z)
+            + F.coalesce(F.col("_p_logins"), z) * 2  # logins and unique users share the look-back
+        ).alias("_p_sum"),
+    )
     open_ = F.col("open")
-    critical = F.col("open_bug") + F.col("open_incident") + F.col("open14")
-    p_sum = sum(F.coalesce(p, z) for p in (p_products, p_arr, p_logins, p_logins))
     # raw = round(-p_sum/100 + critical/open, 2), computed on integers
-    raw_units = F.when(open_ == 0, -p_sum).otherwise(round_ratio_units(-p_sum * open_ + critical * 100, open_ * 100, 2))
-    total_tix = F.col("tix") if tickets_mode == "cumulative" else F.col("day_number")
-
-    base = s.select(
+    s = s.select(
+        "*",
+        F.when(open_ == 0, -F.col("_p_sum"))
+        .otherwise(round_ratio_units(-F.col("_p_sum") * open_ + F.col("_critical") * 100, open_ * 100, 2))
+        .alias("_raw_units"),
+    )
+    p_logins = F.col("_p_logins")
+    seg = s.select(
         KEY,
-        "date",
+        "first_day",
+        "_lo",
+        "_hi",
         F.col("products").cast("long").alias("num_products"),
         F.coalesce(F.col("arr_raw"), z).cast("long").alias("total_arr"),
         F.coalesce(F.col("arr_raw") / F.lit(12.0), F.lit(0.0)).alias("total_mrr"),
-        (p_products / F.lit(100.0)).alias("pct_change_products_90d"),
-        (p_arr / F.lit(100.0)).alias("pct_change_arr_90d"),
-        (p_arr / F.lit(100.0)).alias("pct_change_mrr_90d"),
+        (F.col("_p_products") / F.lit(100.0)).alias("pct_change_products_90d"),
+        (F.col("_p_arr") / F.lit(100.0)).alias("pct_change_arr_90d"),
+        (F.col("_p_arr") / F.lit(100.0)).alias("pct_change_mrr_90d"),
         *[c0(c).alias(c) for c in _LOGIN_POINT[:-1]],
-        last3.alias("num_logins_last_3m"),
-        last3.alias("num_unique_users_last_3m"),
-        prev3.alias("num_logins_prev_3m"),
-        prev3.alias("num_unique_users_prev_3m"),
+        F.col("_last3").alias("num_logins_last_3m"),
+        F.col("_last3").alias("num_unique_users_last_3m"),
+        F.col("_prev3").alias("num_logins_prev_3m"),
+        F.col("_prev3").alias("num_unique_users_prev_3m"),
         (p_logins / F.lit(100.0)).alias("pct_change_logins_3m"),
         (p_logins / F.lit(100.0)).alias("pct_change_unique_users_3m"),
-        total_tix.cast("long").alias("total_tickets_to_date"),
+        (F.col("tix").cast("long") if tickets_mode == "cumulative" else F.lit(None).cast("long")).alias("_tix"),
         open_.cast("long").alias("open_tickets"),
         *[F.col(f"open_{_cat(c)}").cast("long").alias(f"open_{_cat(c)}_tickets") for c in TICKET_CATEGORIES],
         F.col("open14").cast("long").alias("tickets_open_14plus_days"),
@@ -313,22 +394,27 @@ def daily_metrics(
         true_or_false(p_logins < 0).alias("is_logins_declining"),
         true_or_false(p_logins < 0).alias("is_unique_users_declining"),
         true_or_false(F.col("open14") > 3).alias("has_high_aging_tickets"),
-        raw_units.alias("_raw_units"),
+        "_raw_units",
+    )
+    # Segments are read twice (per-day bounds, then the rows): written once
+    # to shared storage instead of being recomputed.
+    seg = materialize(seg, "daily_metrics_segments")
+    # Min-max per day over narrow (date, score) rows: at most (end - start) groups.
+    bounds = group_min_max(
+        seg.select(F.explode(F.sequence("_lo", "_hi")).alias("date"), "_raw_units"), ["date"], "_raw_units"
     )
-    # The table is read twice (per-day bounds, then the rows), so it is
-    # written once to shared storage rather than recomputed.
-    base = materialize(base, "daily_metrics_base")
-    # Min-max per day: a per-day table with at most (end - start) rows.
-    bounds = group_min_max(base, ["date"], "_raw_units")
     max_days = (_dt.date.fromisoformat(end) - _dt.date.fromisoformat(start)).days
     assert max_days <= 100_000, "per-day bounds table must stay broadcastable"
     spread = F.col("_mortar_max") - F.col("_mortar_min")
     score = F.when(spread == 0, F.lit(50.0)).otherwise(
         round_ratio((F.col("_raw_units") - F.col("_mortar_min")) * 100, spread, 2)
     )
+    day_number = (F.datediff("date", "first_day") + 1).cast("long")
     return (
-        base.join(F.broadcast(bounds), "date", "inner")
+        explode_segments(seg)
+        .join(F.broadcast(bounds), "date", "inner")
         .withColumn("record_key", surrogate_key(KEY, "date"))
+        .withColumn("total_tickets_to_date", F.coalesce(F.col("_tix"), day_number) if tickets_mode == "cumulative" else day_number)
         .withColumn("customer_risk_score_raw", F.col("_raw_units") / F.lit(100.0))
         .withColumn("customer_risk_score", score)
         .select(*DAILY_COLUMNS)

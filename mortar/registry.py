@@ -124,6 +124,11 @@ def q_open_tickets_daily(spark, sf_dir):
     return saas.open_tickets_daily(c, t)
 
 
+def q_open_tickets_join(spark, sf_dir):
+    c, _, _, t = _saas(spark, sf_dir)
+    return saas.open_tickets_join(c, t)
+
+
 def q_open_tickets_cumulative(spark, sf_dir):
     c, _, _, t = _saas(spark, sf_dir)
     return saas.open_tickets_daily(c, t, tickets_mode="cumulative")
@@ -242,6 +247,7 @@ QUERIES: dict[str, Query] = {
     "daily_logins": q_daily_logins,
     "daily_logins_trailing": q_daily_logins_trailing,
     "open_tickets_daily": q_open_tickets_daily,
+    "open_tickets_join": q_open_tickets_join,
     "open_tickets_cumulative": q_open_tickets_cumulative,
     "daily_metrics": q_daily_metrics,
     "customers_enriched": q_customers_enriched,
