@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .plans import customers as saas
 from .plans import orders as shop
@@ -17,6 +18,7 @@ from .plans import search
 from .operators.checks import run_checks
 from .sources.sinks import materialize
 from .sources import fixtures as fx
+from .sources import generate as gen
 from .sources.tables import Sources
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +71,38 @@ def q_customer_orders_self_join(spark, sf_dir):
     return shop.customer_orders(fx.shop_orders(s), fx.stripe_payments(s), fx.shop_customers(s), clv="self_join")
 
 
+# --------------------------------------------------------------------------- generators
+
+
+def _n_customers(s: Sources) -> int:
+    # One scalar for the generators' customer-id range (Parquet metadata count).
+    return s["customer"].count()
+
+
+def q_gen_customers(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    rows = s["customer"].select((F.col("c_custkey") + 1).alias("t"))
+    return gen.gen_customers(rows, "t")
+
+
+def q_gen_subscriptions(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    rows = s["orders"].select((F.col("o_orderkey") + 1).alias("t"))
+    return gen.gen_subscriptions(rows, "t", _n_customers(s))
+
+
+def q_gen_login_events(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    rows = s["events"].select((F.col("event_id") + 1).alias("t"))
+    return gen.gen_login_events(rows, "t", _n_customers(s))
+
+
+def q_gen_support_tickets(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    rows = s["orders"].select((F.col("o_orderkey") + 1).alias("t"))
+    return gen.gen_support_tickets(rows, "t", _n_customers(s))
+
+
 # --------------------------------------------------------------------------- SaaS
 
 AS_OF = "2026-01-01"  # stands in for current_date() so results are repeatable
@@ -238,6 +272,10 @@ QUERIES: dict[str, Query] = {
     "dim_customers": q_dim_customers,
     "customer_orders": q_customer_orders,
     "customer_orders_self_join": q_customer_orders_self_join,
+    "gen_customers": q_gen_customers,
+    "gen_subscriptions": q_gen_subscriptions,
+    "gen_login_events": q_gen_login_events,
+    "gen_support_tickets": q_gen_support_tickets,
     "saas_customers": q_saas_customers,
     "saas_subscriptions": q_saas_subscriptions,
     "saas_login_events": q_saas_login_events,
