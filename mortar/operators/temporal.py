@@ -55,6 +55,60 @@ def clamp_day(day: Column, start: str) -> Column:
     return F.greatest(day, _date(start))
 
 
+EventSpec = tuple  # (day: Column, condition: Column, values: dict[str, Column])
+
+
+def interval_specs(
+    lo: Column, hi_excl: Column, values: dict[str, Column], start: str, end: str, shift: int = 0
+) -> list[EventSpec]:
+    """Delta events of an interval [lo, hi_excl) (``hi_excl`` NULL = open).
+
+    ``+values`` at the first covered spine day and ``-values`` at
+    ``hi_excl`` when that is still inside the spine; intervals that end
+    before the spine or start after it emit nothing. ``shift`` moves both
+    events ``shift`` days later: a running sum of shifted events on day d is
+    the unshifted state on day d - shift (a lag by days).
+    """
+    last = F.date_sub(_date(end), 1)
+    a = clamp_day(lo, start)
+    valid = (a <= last) & (hi_excl.isNull() | (hi_excl > a))
+    plus_day = F.date_add(a, shift)
+    minus_day = F.date_add(hi_excl, shift)
+    return [
+        (plus_day, valid & (plus_day <= last), values),
+        (minus_day, valid & hi_excl.isNotNull() & (minus_day <= last), {n: -v for n, v in values.items()}),
+    ]
+
+
+def point_spec(day: Column, values: dict[str, Column], start: str, end: str, cond: Column | None = None) -> EventSpec:
+    """An event that starts counting on ``day`` (clamped to the spine) and never stops."""
+    last = F.date_sub(_date(end), 1)
+    a = clamp_day(day, start)
+    ok = a <= last
+    return (a, ok if cond is None else (cond & ok), values)
+
+
+def emit_events(df: DataFrame, key: str | Sequence[str], specs: Sequence[EventSpec]) -> DataFrame:
+    """All events of all specs from one pass over ``df``.
+
+    Each input row yields an array of event structs (one per spec, value
+    columns missing from a spec are 0) filtered by the specs' conditions and
+    exploded: one scan of the source however many event kinds it feeds.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    names: list[str] = []
+    for _, _, values in specs:
+        names += [n for n in values if n not in names]
+    structs = []
+    for day, cond, values in specs:
+        fields = [day.alias("day"), F.coalesce(cond, F.lit(False)).alias("_ok")]
+        fields += [(values[n].cast("long") if n in values else F.lit(0).cast("long")).alias(n) for n in names]
+        structs.append(F.struct(*fields))
+    kept = F.filter(F.array(*structs), lambda e: e["_ok"])
+    rows = df.select(*[F.col(k) for k in keys], F.explode(kept).alias("_e"))
+    return rows.select(*keys, F.col("_e.day").alias("day"), *[F.col(f"_e.{n}").alias(n) for n in names])
+
+
 def interval_events(
     df: DataFrame,
     key: str | Sequence[str],
@@ -65,35 +119,13 @@ def interval_events(
     end: str,
     shift: int = 0,
 ) -> DataFrame:
-    """Delta events of intervals [lo, hi_excl) (``hi_excl`` NULL = open).
-
-    Emits ``+values`` at the first covered spine day and ``-values`` at
-    ``hi_excl`` when that is still inside the spine; intervals that end
-    before the spine or start after it emit nothing. ``shift`` moves both
-    events ``shift`` days later: a running sum of shifted events on day d
-    is the unshifted state on day d - shift (a lag by days).
-    """
-    keys = [key] if isinstance(key, str) else list(key)
-    last = F.date_sub(_date(end), 1)
-    a = clamp_day(lo, start)
-    base = df.select(
-        *[F.col(k) for k in keys], a.alias("_a"), hi_excl.alias("_b"), *[v.alias(f"_v_{n}") for n, v in values.items()]
-    ).where((F.col("_a") <= last) & (F.col("_b").isNull() | (F.col("_b") > F.col("_a"))))
-    plus = base.select(*keys, F.date_add("_a", shift).alias("day"), *[F.col(f"_v_{n}").alias(n) for n in values])
-    minus = base.where(F.col("_b") <= last).select(
-        *keys, F.date_add("_b", shift).alias("day"), *[(-F.col(f"_v_{n}")).alias(n) for n in values]
-    )
-    both = plus.unionByName(minus)
-    return both.where(F.col("day") <= last) if shift else both
+    """Delta events of intervals (see ``interval_specs``), one row per event."""
+    return emit_events(df, key, interval_specs(lo, hi_excl, values, start, end, shift))
 
 
 def point_events(df: DataFrame, key: str, day: Column, values: dict[str, Column], start: str, end: str) -> DataFrame:
     """Events that start counting on ``day`` (clamped to the spine) and never stop."""
-    last = F.date_sub(_date(end), 1)
-    a = clamp_day(day, start)
-    return df.select(F.col(key).alias(key), a.alias("day"), *[v.alias(n) for n, v in values.items()]).where(
-        F.col("day") <= last
-    )
+    return emit_events(df, key, [point_spec(day, values, start, end)])
 
 
 def distinct_active_events(

@@ -29,11 +29,12 @@ from ..functions.columns import pct_change_units, round_ratio, round_ratio_units
 from ..operators.rank import group_min_max, latest_per_key
 from ..operators.temporal import (
     distinct_active_events,
+    emit_events,
     entity_days,
     entity_first_days,
     explode_segments,
-    interval_events,
-    point_events,
+    interval_specs,
+    point_spec,
     running_segments,
     split_segments,
 )
@@ -62,12 +63,14 @@ def customer_dates(customers: DataFrame, start: str = SPINE_START, end: str = SP
 def _subscription_events(subs: DataFrame, start: str, end: str) -> list[DataFrame]:
     lo = F.to_date("start_date")
     hi = F.date_add(F.to_date("end_date"), 1)  # active through end_date; NULL end = open
-    n = F.when(F.col("arr").isNotNull(), 1).otherwise(0).cast("long")
+    n = F.when(F.col("arr").isNotNull(), 1).otherwise(0)
     arr = F.coalesce(F.col("arr").cast("long"), F.lit(0))
     # lag(.., 90) over the dense spine = the same events 90 days later.
+    specs = interval_specs(lo, hi, {"s_n": n, "s_arr": arr}, start, end) + interval_specs(
+        lo, hi, {"s_n_lag": n, "s_arr_lag": arr}, start, end, shift=LAG_DAYS
+    )
     return [
-        interval_events(subs, KEY, lo, hi, {"s_n": n, "s_arr": arr}, start, end),
-        interval_events(subs, KEY, lo, hi, {"s_n_lag": n, "s_arr_lag": arr}, start, end, shift=LAG_DAYS),
+        emit_events(subs, KEY, specs),
         distinct_active_events(
             subs, KEY, "product_id", lo, hi, start, end, out="products", lags={"products_lag": LAG_DAYS}
         ),
@@ -81,25 +84,21 @@ def _ticket_events(tickets: DataFrame, start: str, end: str, mode: str) -> list[
     # open on d  <=>  created <= d and (status != 'closed' or closed is null or closed > d)
     ends = ~(status.isNotNull() & (status != "closed")) & F.col("closed_date").isNotNull()
     hi = F.when(ends, closed)
-    one = F.lit(1).cast("long")
+    one = F.lit(1)
     opened = {"open": one, **{f"open_{_cat(c)}": (F.col("ticket_category") == c).cast("long") for c in TICKET_CATEGORIES}}
-    events = [
-        interval_events(tickets, KEY, created, hi, opened, start, end),
-        interval_events(tickets, KEY, F.date_add(created, 14), hi, {"open14": one}, start, end),
-        point_events(
-            tickets.where((status == "closed") & F.col("closed_date").isNotNull() & F.col("created_date").isNotNull()),
-            KEY,
-            F.greatest(created, closed),
-            {"res_days": F.datediff(closed, created).cast("long"), "res_cnt": one},
-            start,
-            end,
+    resolved = (status == "closed") & F.col("closed_date").isNotNull() & F.col("created_date").isNotNull()
+    specs = [
+        *interval_specs(created, hi, opened, start, end),
+        *interval_specs(F.date_add(created, 14), hi, {"open14": one}, start, end),
+        point_spec(
+            F.greatest(created, closed), {"res_days": F.datediff(closed, created), "res_cnt": one}, start, end, resolved
         ),
     ]
     if mode == "cumulative":
-        events.append(point_events(tickets.where(F.col("created_date").isNotNull()), KEY, created, {"tix": one}, start, end))
+        specs.append(point_spec(created, {"tix": one}, start, end, F.col("created_date").isNotNull()))
     elif mode != "literal":
         raise ValueError(f"unknown tickets mode {mode!r}")
-    return events
+    return [emit_events(tickets, KEY, specs)]
 
 
 def _login_events(logins: DataFrame, start: str, end: str, mode: str) -> list[DataFrame]:
@@ -131,11 +130,13 @@ def _login_events(logins: DataFrame, start: str, end: str, mode: str) -> list[Da
             F.count(F.lit(1)).alias("_n")
         )
         n = F.col("_n")
-        events += [
-            point_events(daily, KEY, F.col("day"), {"last3": n}, start, end),
-            point_events(daily, KEY, F.date_add("day", 91), {"last3": -n, "prev3": n}, start, end),
-            point_events(daily, KEY, F.date_add("day", 181), {"prev3": -n}, start, end),
+        d = F.col("day")
+        specs = [
+            point_spec(d, {"last3": n}, start, end),
+            point_spec(F.date_add(d, 91), {"last3": -n, "prev3": n}, start, end),
+            point_spec(F.date_add(d, 181), {"prev3": -n}, start, end),
         ]
+        events.append(emit_events(daily, KEY, specs))
     elif mode != "literal":
         raise ValueError(f"unknown logins mode {mode!r}")
     return events
@@ -325,8 +326,14 @@ def daily_metrics(
     end: str = SPINE_END,
     tickets_mode: str = "literal",
     logins_mode: str = "literal",
+    latest_only: bool = False,
 ) -> DataFrame:
-    """customer_daily_metrics: 36 columns per (customer, day)."""
+    """customer_daily_metrics: 36 columns per (customer, day).
+
+    ``latest_only`` returns only each customer's latest day (what
+    ``customers_enriched`` reads): the latest segment per customer is taken
+    before the explode, so only one day per customer is produced.
+    """
     s = daily_segments(customers, subscriptions, logins, tickets, start, end, tickets_mode, logins_mode)
     z = F.lit(0)
 
@@ -410,6 +417,8 @@ def daily_metrics(
         round_ratio((F.col("_raw_units") - F.col("_mortar_min")) * 100, spread, 2)
     )
     day_number = (F.datediff("date", "first_day") + 1).cast("long")
+    if latest_only:
+        seg = latest_per_key(seg, [KEY], ["_hi"]).withColumn("_lo", F.col("_hi"))
     return (
         explode_segments(seg)
         .join(F.broadcast(bounds), "date", "inner")

@@ -174,7 +174,7 @@ def q_daily_metrics(spark, sf_dir):
 
 def q_customers_enriched(spark, sf_dir):
     c, subs, logins, t = _saas(spark, sf_dir)
-    return saas.customers_enriched(c, saas.daily_metrics(c, subs, logins, t), as_of=AS_OF)
+    return saas.customers_enriched(c, saas.daily_metrics(c, subs, logins, t, latest_only=True), as_of=AS_OF)
 
 
 # --------------------------------------------------------------------------- search
