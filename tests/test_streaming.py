@@ -1,0 +1,36 @@
+"""The incremental login counts equal the batch counts for finalized days."""
+
+import tempfile
+
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from mortar.sources import fixtures as fx
+from mortar.sources.tables import Sources
+from mortar.streaming.incremental import run_daily_login_counts
+
+
+def test_incremental_counts_match_batch(spark):
+    logins = fx.saas_login_events(Sources(spark, SF_SMALL))
+    root = tempfile.mkdtemp(prefix="mortar-stream-")
+    src, out, ckpt = f"{root}/src", f"{root}/out", f"{root}/ckpt"
+    cut = "2023-09-01"
+    # Two arrivals: the older half, then the rest.
+    logins.where(F.col("login_timestamp") < cut).write.parquet(f"{src}/part1")
+    q = run_daily_login_counts(spark, f"{src}/*", out, ckpt)
+    q.awaitTermination()
+    logins.where(F.col("login_timestamp") >= cut).write.parquet(f"{src}/part2")
+    q = run_daily_login_counts(spark, f"{src}/*", out, ckpt)
+    q.awaitTermination()
+    got = spark.read.parquet(out)
+    # Days before the watermark of the last batch are final.
+    horizon = logins.agg(F.max("login_timestamp")).first()[0]
+    batch = (
+        logins.groupBy("customer_id", F.to_date("login_timestamp").alias("date"))
+        .agg(F.count("user_id").cast("long").alias("num_logins"), F.count(F.lit(1)).cast("long").alias("login_rows"))
+    )
+    final_days = F.col("date") < F.date_sub(F.lit(horizon).cast("date"), 3)
+    want = batch.where(final_days)
+    have = got.where(final_days).select("customer_id", "date", "num_logins", "login_rows")
+    assert want.count() > 0
+    assert have.exceptAll(want).count() == 0 and want.exceptAll(have).count() == 0
