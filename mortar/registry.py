@@ -16,6 +16,7 @@ from .plans import orders as shop
 from .plans import data_tests as dt
 from .plans import search
 from .operators.checks import run_checks
+from .operators.compare import compare_all_columns, compare_relations
 from .sources.sinks import materialize
 from .sources import fixtures as fx
 from .sources import generate as gen
@@ -210,6 +211,21 @@ def q_cuisine_metrics(spark, sf_dir):
     return search.cuisine_metrics(q_restaurant_metrics(spark, sf_dir))
 
 
+# --------------------------------------------------------------------------- audits
+
+
+def q_audit_open_tickets(spark, sf_dir):
+    """Delta-form open tickets against the literal range join, row sets."""
+    c, _, _, t = _saas(spark, sf_dir)
+    return compare_relations(saas.open_tickets_daily(c, t), saas.open_tickets_join(c, t))
+
+
+def q_audit_open_tickets_columns(spark, sf_dir):
+    """The same two forms, column by column on (customer_id, date)."""
+    c, _, _, t = _saas(spark, sf_dir)
+    return compare_all_columns(saas.open_tickets_daily(c, t), saas.open_tickets_join(c, t), ["customer_id", "date"])
+
+
 # --------------------------------------------------------------------------- data tests
 
 
@@ -295,6 +311,8 @@ QUERIES: dict[str, Query] = {
     "search_term_metrics": q_search_term_metrics,
     "restaurant_metrics": q_restaurant_metrics,
     "cuisine_metrics": q_cuisine_metrics,
+    "audit_open_tickets": q_audit_open_tickets,
+    "audit_open_tickets_columns": q_audit_open_tickets_columns,
     "tests_saas_customers": q_tests_saas_customers,
     "tests_subscriptions": q_tests_subscriptions,
     "tests_login_events": q_tests_login_events,
