@@ -34,6 +34,8 @@ def _once(df: DataFrame) -> DataFrame:
     (reliably, in ``spark.checkpoint.dir``, which also cuts the lineage).
     """
     checkpoint_dir(df.sparkSession)
+    # The write job after the eager count re-reads the range exchange's
+    # shuffle files (the map stage is not rerun), so no cache is needed.
     return df.checkpoint(eager=True)
 
 
