@@ -138,6 +138,7 @@ def distinct_active_events(
     end: str,
     out: str,
     lags: dict[str, int] | None = None,
+    item_out: str | None = None,
 ) -> DataFrame:
     """Delta events of ``count(distinct item)`` over covering intervals.
 
@@ -146,7 +147,8 @@ def distinct_active_events(
     >0 -> 0 transitions become +1 / -1 events. The per-(key, item) window
     runs over aggregated event days (at most spine length + 1 rows), so a hot
     key or item does not concentrate raw rows in one task. ``lags`` adds
-    columns of the same events shifted by n days (name -> n).
+    columns of the same events shifted by n days (name -> n). ``item_out``
+    keeps the item column (per-item transitions, not summed per key).
     """
     last = F.date_sub(_date(end), 1)
     items = df.where(F.col(item).isNotNull()).select(key, item, lo.alias("_lo"), hi_excl.alias("_hi"))
@@ -156,6 +158,8 @@ def distinct_active_events(
     cov = agg.withColumn("_cov", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     active = (F.col("_cov") > 0).cast("int")
     trans = cov.withColumn("_d", active - F.coalesce(F.lag(active, 1).over(w), F.lit(0))).where(F.col("_d") != 0)
+    if item_out:
+        return trans.select(key, F.col(item).alias(item_out), "day", F.col("_d").alias(out))
     lags = lags or {}
     names = [out, *lags]
     zero = F.lit(0)

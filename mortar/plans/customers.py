@@ -205,6 +205,35 @@ def daily_state(customers: DataFrame, *args, **kw) -> DataFrame:
     return dense.withColumn("day_number", (F.datediff("date", "first_day") + 1).cast("long"))
 
 
+def product_sets(
+    customers: DataFrame, subscriptions: DataFrame, start: str = SPINE_START, end: str = SPINE_END
+) -> DataFrame:
+    """``array_agg(distinct product_id)`` per (customer_id, date) of active
+    subscriptions, sorted; days without a product have no row.
+
+    Coverage per (customer, product) is merged into non-overlapping on/off
+    intervals first (transition events), and only those intervals are
+    exploded onto spine days from the customer's first day: the rows made are
+    exactly the elements of the output arrays, with no range join.
+    """
+    firsts = entity_first_days(customers, KEY, "acquisition_date", start, end)
+    lo = F.to_date("start_date")
+    hi = F.date_add(F.to_date("end_date"), 1)
+    trans = distinct_active_events(subscriptions, KEY, "product_id", lo, hi, start, end, out="_d", item_out="product_id")
+    last = F.date_sub(F.lit(end).cast("date"), 1)
+    w = Window.partitionBy(KEY, "product_id").orderBy("day")
+    spans = (
+        trans.withColumn("_off", F.lead("day").over(w))
+        .where(F.col("_d") > 0)
+        .select(KEY, "product_id", F.col("day").alias("_on"), F.coalesce(F.date_sub("_off", 1), last).alias("_last"))
+    )
+    spans = spans.join(firsts, KEY, "inner").select(
+        KEY, "product_id", F.greatest("_on", "first_day").alias("_a"), F.col("_last").alias("_b")
+    ).where(F.col("_a") <= F.col("_b"))
+    days = spans.select(KEY, "product_id", F.explode(F.sequence("_a", "_b")).alias("date"))
+    return days.groupBy(KEY, "date").agg(F.sort_array(F.collect_set("product_id")).alias("product_ids"))
+
+
 # --------------------------------------------------------------------------- stage outputs
 
 

@@ -144,6 +144,11 @@ def q_active_subscriptions(spark, sf_dir):
     return saas.active_subscriptions(c, subs)
 
 
+def q_product_sets(spark, sf_dir):
+    c, subs, _, _ = _saas(spark, sf_dir)
+    return saas.product_sets(c, subs)
+
+
 def q_daily_logins(spark, sf_dir):
     c, _, logins, _ = _saas(spark, sf_dir)
     return saas.daily_logins(c, logins)
@@ -298,6 +303,7 @@ QUERIES: dict[str, Query] = {
     "saas_support_tickets": q_saas_support_tickets,
     "customer_dates": q_customer_dates,
     "active_subscriptions": q_active_subscriptions,
+    "product_sets": q_product_sets,
     "daily_logins": q_daily_logins,
     "daily_logins_trailing": q_daily_logins_trailing,
     "open_tickets_daily": q_open_tickets_daily,
