@@ -173,4 +173,8 @@ def customer_orders(orders: DataFrame, payments: DataFrame, customers: DataFrame
         F.when(F.col("first_order_date") == F.col("order_placed_at"), "new").otherwise("return").alias("nvsr"),
         (F.col("_clv_cents") / F.lit(100.0)).alias("customer_lifetime_value"),
         F.col("first_order_date").alias("fdos"),
-    ).orderBy("order_id")
+    ).sortWithinPartitions("order_id")
+    # ORDER BY order_id without a second exchange: global_row_number left the
+    # rows range-partitioned on order_id (partitions in key order) and the
+    # broadcast join keeps that layout, so sorting inside partitions yields
+    # the global order.

@@ -185,6 +185,9 @@ def test_customer_orders_edge_rows(spark):
     assert rows[10]["nvsr"] == rows[11]["nvsr"] == "new"
     assert rows[13]["customer_lifetime_value"] is None
     assert [rows[k]["transaction_seq"] for k in sorted(rows)] == [1, 2, 3, 4, 5]
+    # rows come out in order_id order (range partitions in key order)
+    ordered = [r["order_id"] for r in shop.customer_orders(orders, payments, customers).collect()]
+    assert ordered == sorted(ordered)
     # dim_customers and the status pivot on the same rows
     stg_o, stg_p, stg_c = shop.stg_orders(orders), shop.stg_payments(payments), shop.stg_customers(customers)
     res = compare(shop.dim_customers(stg_c, stg_o, stg_p), oracle.shop_on_tables(oracle.DIM_CUSTOMERS), con)
