@@ -287,49 +287,6 @@ def open_tickets_daily(customers: DataFrame, tickets: DataFrame, tickets_mode: s
     )
 
 
-def open_tickets_join(customers: DataFrame, tickets: DataFrame, start: str = SPINE_START, end: str = SPINE_END) -> DataFrame:
-    """Literal form of daily_ticket_metrics: each spine row joined to every
-    ticket created up to the day (equi key + range residual), then grouped.
-
-    Rows grow with tickets x days; kept to compare against the delta form
-    (``open_tickets_daily``), which it must equal.
-    """
-    cd = customer_dates(customers, start, end)
-    t = tickets.select(
-        F.col(KEY).alias("_tk"),
-        F.to_date("created_date").alias("_cd"),
-        F.to_date("closed_date").alias("_xd"),
-        F.col("closed_date").isNull().alias("_open_ended"),
-        "status",
-        "ticket_category",
-    )
-    j = cd.join(t, (F.col(KEY) == F.col("_tk")) & (F.col("_cd") <= F.col("date")), "left")
-    is_open = (F.col("_cd") <= F.col("date")) & (
-        (F.col("status") != "closed") | F.col("_open_ended") | (F.col("_xd") > F.col("date"))
-    )
-    is_open = F.coalesce(is_open, F.lit(False))
-    closed = (F.col("status") == "closed") & (F.col("_xd") <= F.col("date"))
-    g = j.groupBy(KEY, "date").agg(
-        F.sum(is_open.cast("long")).alias("open_tickets"),
-        *[
-            F.sum((is_open & (F.col("ticket_category") == c)).cast("long")).alias(f"open_{_cat(c)}_tickets")
-            for c in TICKET_CATEGORIES
-        ],
-        F.sum((is_open & (F.datediff("date", "_cd") >= 14)).cast("long")).alias("tickets_open_14plus_days"),
-        F.avg(F.when(closed, F.datediff("_xd", "_cd"))).alias("avg_days_to_resolution"),
-    )
-    w = Window.partitionBy(KEY).orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return g.select(
-        KEY,
-        "date",
-        F.count(F.lit(1)).over(w).cast("long").alias("total_tickets_to_date"),
-        "open_tickets",
-        *[f"open_{_cat(c)}_tickets" for c in TICKET_CATEGORIES],
-        "tickets_open_14plus_days",
-        "avg_days_to_resolution",
-    )
-
-
 # --------------------------------------------------------------------------- full table
 
 DAILY_COLUMNS = [

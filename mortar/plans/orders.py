@@ -130,32 +130,23 @@ def customer_first_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
     return customers.select(F.col("id").alias("customer_id")).join(first, "customer_id", "left")
 
 
-def customer_orders(orders: DataFrame, payments: DataFrame, customers: DataFrame, clv: str = "running") -> DataFrame:
+def customer_orders(orders: DataFrame, payments: DataFrame, customers: DataFrame) -> DataFrame:
     """Orders with global and per-customer sequence numbers, new/return flag
     and the running customer lifetime value, ordered by order_id.
 
-    ``clv="running"`` computes the value as a skew-proof running sum
-    (``prefix_scan``); ``clv="self_join"`` keeps the reference's triangular
-    self join (quadratic per customer; for comparison only).
+    The reference sums, for each order, the payments of all earlier orders of
+    the customer with a triangular self join (all pairs within a customer).
+    Here it is a running sum in order_id order (``prefix_scan``), equal for
+    distinct order ids and linear per customer.
     """
     paid = paid_orders(orders, payments, customers)
     firsts = customer_first_orders(orders, customers)
 
-    if clv == "self_join":
-        t2 = paid.select(F.col("customer_id").alias("_c2"), F.col("order_id").alias("_o2"), F.col("_paid_cents").alias("_p2"))
-        x = (
-            paid.select("order_id", "customer_id")
-            .join(t2, (F.col("customer_id") == F.col("_c2")) & (F.col("order_id") >= F.col("_o2")), "left")
-            .groupBy("order_id")
-            .agg(F.sum("_p2").alias("_clv_cents"))
-        )
-        seq = prefix_scan(paid, ["customer_id"], ["order_id"], row_number="customer_sales_seq").join(x, "order_id", "left")
-    elif clv == "running":
-        seq = prefix_scan(
-            paid, ["customer_id"], ["order_id"], sums={"_clv_cents": "_paid_cents"}, row_number="customer_sales_seq"
-        ).withColumn("_clv_cents", F.when(F.col("customer_id").isNotNull(), F.col("_clv_cents")))
-    else:
-        raise ValueError(f"unknown clv form {clv!r}")
+    seq = prefix_scan(
+        paid, ["customer_id"], ["order_id"], sums={"_clv_cents": "_paid_cents"}, row_number="customer_sales_seq"
+    )
+    # The reference's self join matches no row for a NULL customer.
+    seq = seq.withColumn("_clv_cents", F.when(F.col("customer_id").isNotNull(), F.col("_clv_cents")))
 
     with_first = seq.join(firsts, "customer_id", "left")
     numbered = global_row_number(with_first, ["order_id"], out="transaction_seq")

@@ -64,12 +64,7 @@ def q_dim_customers(spark, sf_dir):
 
 def q_customer_orders(spark, sf_dir):
     s = _src(spark, sf_dir)
-    return shop.customer_orders(fx.shop_orders(s), fx.stripe_payments(s), fx.shop_customers(s), clv="running")
-
-
-def q_customer_orders_self_join(spark, sf_dir):
-    s = _src(spark, sf_dir)
-    return shop.customer_orders(fx.shop_orders(s), fx.stripe_payments(s), fx.shop_customers(s), clv="self_join")
+    return shop.customer_orders(fx.shop_orders(s), fx.stripe_payments(s), fx.shop_customers(s))
 
 
 # --------------------------------------------------------------------------- generators
@@ -164,11 +159,6 @@ def q_open_tickets_daily(spark, sf_dir):
     return saas.open_tickets_daily(c, t)
 
 
-def q_open_tickets_join(spark, sf_dir):
-    c, _, _, t = _saas(spark, sf_dir)
-    return saas.open_tickets_join(c, t)
-
-
 def q_open_tickets_cumulative(spark, sf_dir):
     c, _, _, t = _saas(spark, sf_dir)
     return saas.open_tickets_daily(c, t, tickets_mode="cumulative")
@@ -219,16 +209,28 @@ def q_cuisine_metrics(spark, sf_dir):
 # --------------------------------------------------------------------------- audits
 
 
+_AUDIT_TICKET_COLS = [
+    "customer_id", "date", "total_tickets_to_date", "open_tickets", "open_bug_tickets", "open_incident_tickets",
+    "open_question_tickets", "open_feature_request_tickets", "tickets_open_14plus_days",
+]
+
+
+def _ticket_plans(spark, sf_dir):
+    """The ticket columns from the tickets-only plan and from the full daily plan."""
+    c, subs, logins, t = _saas(spark, sf_dir)
+    alone = saas.open_tickets_daily(c, t).select(*_AUDIT_TICKET_COLS)
+    full = saas.daily_metrics(c, subs, logins, t).select(*_AUDIT_TICKET_COLS)
+    return alone, full
+
+
 def q_audit_open_tickets(spark, sf_dir):
-    """Delta-form open tickets against the literal range join, row sets."""
-    c, _, _, t = _saas(spark, sf_dir)
-    return compare_relations(saas.open_tickets_daily(c, t), saas.open_tickets_join(c, t))
+    """Row-set comparison of the two plans (expected: every row in both)."""
+    return compare_relations(*_ticket_plans(spark, sf_dir))
 
 
 def q_audit_open_tickets_columns(spark, sf_dir):
-    """The same two forms, column by column on (customer_id, date)."""
-    c, _, _, t = _saas(spark, sf_dir)
-    return compare_all_columns(saas.open_tickets_daily(c, t), saas.open_tickets_join(c, t), ["customer_id", "date"])
+    """Column-by-column comparison of the two plans on (customer_id, date)."""
+    return compare_all_columns(*_ticket_plans(spark, sf_dir), ["customer_id", "date"])
 
 
 # --------------------------------------------------------------------------- data tests
@@ -292,7 +294,6 @@ QUERIES: dict[str, Query] = {
     "order_status_pivot": q_order_status_pivot,
     "dim_customers": q_dim_customers,
     "customer_orders": q_customer_orders,
-    "customer_orders_self_join": q_customer_orders_self_join,
     "gen_customers": q_gen_customers,
     "gen_subscriptions": q_gen_subscriptions,
     "gen_login_events": q_gen_login_events,
@@ -307,7 +308,6 @@ QUERIES: dict[str, Query] = {
     "daily_logins": q_daily_logins,
     "daily_logins_trailing": q_daily_logins_trailing,
     "open_tickets_daily": q_open_tickets_daily,
-    "open_tickets_join": q_open_tickets_join,
     "open_tickets_cumulative": q_open_tickets_cumulative,
     "daily_metrics": q_daily_metrics,
     "customers_enriched": q_customers_enriched,

@@ -33,6 +33,27 @@ def get_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "
     return spark
 
 
+# Settings for a large cluster (e.g. ~1000 executors over ~100 TB of Parquet),
+# passed to spark-submit; the plans do not depend on them for correctness.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Start wide and let AQE coalesce to ~256 MB per reducer.
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    # Split skewed sort-merge join partitions at runtime.
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    # Size-checked broadcasts only (statistics or runtime sizes).
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    # spark.checkpoint.dir: set by the cluster to shared storage.
+}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and materialized tables.
 
