@@ -107,13 +107,24 @@ def term_metrics(terms: DataFrame) -> DataFrame:
 def metrics_with_overall(per_type: DataFrame) -> DataFrame:
     """Detail rows plus one 'Overall' row per (restaurant, domain): sums of the
     sums and unweighted means of the (rounded) means, as the reference's
-    UNION ALL does. Means stay in hundredths."""
-    overall = per_type.groupBy("restaurant_id", "domain").agg(
-        F.lit(OVERALL).alias("search_type"),
-        *[F.sum(m).cast("long").alias(m) for m in SUMS],
-        *[_mean_units(F.sum(m), F.count(m)).alias(m) for m in MEANS],
+    UNION ALL does. Means stay in hundredths.
+
+    One aggregation makes both: each group collects its per-type rows (at
+    most one per search type, so a bounded list) next to the Overall values,
+    and the list plus the Overall row are exploded. The per-type table is
+    computed once instead of once per UNION ALL branch.
+    """
+    keys = ["restaurant_id", "domain"]
+    metric_cols = [*SUMS, *MEANS]
+    detail = F.struct(F.col("search_type"), *[F.col(m) for m in metric_cols])
+    g = per_type.groupBy(*keys).agg(
+        F.collect_list(detail).alias("_rows"),
+        *[F.sum(m).cast("long").alias(f"_o_{m}") for m in SUMS],
+        *[_mean_units(F.sum(m), F.count(m)).alias(f"_o_{m}") for m in MEANS],
     )
-    return per_type.unionByName(overall)
+    overall = F.struct(F.lit(OVERALL).alias("search_type"), *[F.col(f"_o_{m}").alias(m) for m in metric_cols])
+    rows = g.select(*keys, F.explode(F.concat(F.col("_rows"), F.array(overall))).alias("_r"))
+    return rows.select(*keys, "_r.search_type", *[F.col(f"_r.{m}").alias(m) for m in METRICS])
 
 
 def restaurant_metrics(terms: DataFrame, cuisines: DataFrame) -> DataFrame:
