@@ -58,8 +58,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and materialized tables.
 
     Taken from ``spark.checkpoint.dir`` (or the context's checkpoint dir) as
-    the cluster names it. Only when neither is set (local tests) a fresh
-    scratch folder is made and registered.
+    the cluster names it. Only when neither is set and the master is local
+    (tests, local runs) a fresh scratch folder is made and registered; on a
+    cluster a missing setting is an error, never a machine-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -67,6 +68,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: on a cluster it must name shared storage "
+            "(checkpoints and materialized intermediates are written there)"
+        )
     path = tempfile.mkdtemp(prefix="mortar-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
