@@ -389,9 +389,14 @@ def daily_metrics(
         true_or_false(F.col("open14") > 3).alias("has_high_aging_tickets"),
         "_raw_units",
     )
-    # Segments are read twice (per-day bounds, then the rows): written once
-    # to shared storage instead of being recomputed.
-    seg = materialize(seg, "daily_metrics_segments")
+    if latest_only:
+        # Every customer's grid runs to the last spine day, so each latest day
+        # is that day and the latest segments carry every score of it: the
+        # per-day bounds need no other segment. One row per customer is kept.
+        seg = latest_per_key(seg, [KEY], ["_hi"]).withColumn("_lo", F.col("_hi"))
+    # Read twice (per-day bounds, then the rows): written once to shared
+    # storage instead of being recomputed.
+    seg = materialize(seg, "daily_metrics_latest" if latest_only else "daily_metrics_segments")
     # Min-max per day over narrow (date, score) rows: at most (end - start) groups.
     bounds = group_min_max(
         seg.select(F.explode(F.sequence("_lo", "_hi")).alias("date"), "_raw_units"), ["date"], "_raw_units"
@@ -403,8 +408,6 @@ def daily_metrics(
         round_ratio((F.col("_raw_units") - F.col("_mortar_min")) * 100, spread, 2)
     )
     day_number = (F.datediff("date", "first_day") + 1).cast("long")
-    if latest_only:
-        seg = latest_per_key(seg, [KEY], ["_hi"]).withColumn("_lo", F.col("_hi"))
     return (
         explode_segments(seg)
         .join(F.broadcast(bounds), "date", "inner")
