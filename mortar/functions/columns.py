@@ -88,8 +88,10 @@ def surrogate_key(*cols: Column | str) -> Column:
 
 
 def coded_id(prefix: str, n: Column | str, width: int = 6) -> Column:
-    """'cust000042'-style identifiers; never truncates wider numbers."""
-    return F.format_string(f"{prefix}%0{width}d", _col(n).cast("long"))
+    """'cust000042'-style identifiers for non-negative n; wider numbers are
+    kept whole, never truncated (lpad to max(width, digits))."""
+    digits = _col(n).cast("long").cast("string")
+    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0")))
 
 
 def add_days(start: str, days: Column) -> Column:
