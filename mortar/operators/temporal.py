@@ -24,7 +24,7 @@ IN_GRID = "_mortar_in_grid"
 
 
 def _date(d: str | _dt.date) -> Column:
-    return F.lit(str(d)).cast("date")
+    return F.expr(f"date '{d}'")
 
 
 def date_spine(spark: SparkSession, start: str, end: str) -> DataFrame:
@@ -99,10 +99,12 @@ def emit_events(df: DataFrame, key: str | Sequence[str], specs: Sequence[EventSp
     names: list[str] = []
     for _, _, values in specs:
         names += [n for n in values if n not in names]
+    zero = F.lit(0).cast("long")
+    no = F.lit(False)
     structs = []
     for day, cond, values in specs:
-        fields = [day.alias("day"), F.coalesce(cond, F.lit(False)).alias("_ok")]
-        fields += [(values[n].cast("long") if n in values else F.lit(0).cast("long")).alias(n) for n in names]
+        fields = [day.alias("day"), F.coalesce(cond, no).alias("_ok")]
+        fields += [(values[n].cast("long") if n in values else zero).alias(n) for n in names]
         structs.append(F.struct(*fields))
     kept = F.filter(F.array(*structs), lambda e: e["_ok"])
     rows = df.select(*[F.col(k) for k in keys], F.explode(kept).alias("_e"))
@@ -207,16 +209,18 @@ def running_segments(
     union = markers
     for e in events:
         union = union.unionByName(e.select(key, "day", *[c for c in cols if c in e.columns]), allowMissingColumns=True)
-    daily = union.groupBy(key, "day").agg(F.max(IN_GRID).alias(IN_GRID), *[F.sum(c).alias(c) for c in cols])
-    w = Window.partitionBy(key).orderBy("day")
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    sparse = daily.select(
+    # Many generated columns: written as SQL text, one JVM call each.
+    daily = union.groupBy(key, "day").agg(
+        F.expr(f"max({IN_GRID}) as {IN_GRID}"), *[F.expr(f"sum({c}) as {c}") for c in cols]
+    )
+    w = f"partition by {key} order by day"
+    sparse = daily.selectExpr(
         key,
         "day",
-        F.max(F.when(F.col(IN_GRID) == 1, F.col("day"))).over(whole).alias("first_day"),
-        F.lead("day").over(w).alias("_next"),
-        *[F.coalesce(F.sum(c).over(upto), F.lit(0)).alias(c) for c in running],
+        f"max(case when {IN_GRID} = 1 then day end) over ({w} rows between unbounded preceding and unbounded following)"
+        " as first_day",
+        f"lead(day) over ({w}) as _next",
+        *[f"coalesce(sum({c}) over ({w} rows between unbounded preceding and current row), 0) as {c}" for c in running],
         *point,
     )
     lo = F.greatest(F.col("day"), F.col("first_day"))
