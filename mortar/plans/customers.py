@@ -185,7 +185,7 @@ def daily_segments(
     seg = split_segments(sparse, F.date_add("first_day", LAG_DAYS))
     seg = seg.select(
         *[c for c in seg.columns if c not in point and c != "day"],
-        *[F.when(F.col("_pt"), F.col(p)).alias(p) for p in point],
+        *[F.expr(f"case when _pt then {p} end as {p}") for p in point],
     )
     if subscriptions is not None:
         # On the dense spine a lag of 90 rows exists exactly from first_day + 90.
@@ -324,7 +324,7 @@ def daily_metrics(
     z = F.lit(0)
 
     def c0(name):
-        return F.coalesce(F.col(name), z).cast("long")
+        return F.expr(f"cast(coalesce({name}, 0) as bigint)")
 
     if logins_mode == "trailing":
         last3, prev3 = c0("last3"), c0("prev3")
@@ -379,7 +379,7 @@ def daily_metrics(
         (p_logins / F.lit(100.0)).alias("pct_change_unique_users_3m"),
         (F.col("tix").cast("long") if tickets_mode == "cumulative" else F.lit(None).cast("long")).alias("_tix"),
         open_.cast("long").alias("open_tickets"),
-        *[F.col(f"open_{_cat(c)}").cast("long").alias(f"open_{_cat(c)}_tickets") for c in TICKET_CATEGORIES],
+        *[F.expr(f"cast(open_{_cat(c)} as bigint) as open_{_cat(c)}_tickets") for c in TICKET_CATEGORIES],
         F.col("open14").cast("long").alias("tickets_open_14plus_days"),
         F.when(F.col("res_cnt") > 0, round_ratio("res_days", "res_cnt", 1)).otherwise(F.lit(0.0)).alias(
             "avg_days_to_resolution"
