@@ -39,6 +39,12 @@ def round_ratio_units(num: Column | str, den: Column | str, digits: int = 2) ->
     Half away from zero, exact; NULL when ``den`` is 0 or NULL.
     """
     scale = 10**digits
+    if isinstance(num, str) and isinstance(den, str):
+        # Same arithmetic as SQL text: one JVM call instead of about twenty.
+        sv = f"(cast(`{num}` as bigint) * {scale})"
+        dv = f"cast(`{den}` as bigint)"
+        q = f"((abs({sv}) * 2 + abs({dv})) div (abs({dv}) * 2))"
+        return F.expr(f"case when {dv} != 0 then (case when ({sv} < 0) != ({dv} < 0) then -{q} else {q} end) end")
     s = _col(num).cast("long") * F.lit(scale)
     d = _col(den).cast("long")
     q = idiv(F.abs(s) * 2 + F.abs(d), F.abs(d) * 2)

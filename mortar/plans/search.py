@@ -146,8 +146,8 @@ def _wide_columns(struct_of: dict[str, str]) -> list[Column]:
     out = []
     for ty in TYPES:
         for m in METRICS:
-            v = F.col(struct_of[ty])[m]
-            out.append((v / F.lit(100.0) if m in MEANS else v.cast("long")).alias(wide(ty, m)))
+            v = f"{struct_of[ty]}.{m}"
+            out.append(F.expr(f"{v} / 100.0D as {wide(ty, m)}" if m in MEANS else f"cast({v} as bigint) as {wide(ty, m)}"))
     return out
 
 
