@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
+from . import bpe, packing, token_files
 from . import exact_dedup as dedup
 from .common import table
 
@@ -28,8 +31,40 @@ select doc_id,
 from norm
 """
 
+def op4_byte_bpe(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = table(spark, sf_dir, "documents")
+    ids = bpe.encode(docs, path, public_tokenizers.PATTERN, ["doc_id"])
+    return bpe.decode(ids, path, public_tokenizers.PATTERN).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op5_token_files(spark, sf_dir):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    folder = token_files.write_token_files(table(spark, sf_dir, "documents"), path, vocabulary=49408, end_id=1)
+    return token_files.read_token_index(spark, folder).withColumnRenamed("ids_digest", "ids_crc32")
+
+
+def op6_best_fit_packing(spark, sf_dir):
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
+def pack_documents(docs):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = packing.token_pieces(docs, path, end_id=2)
+    narrow = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(narrow)
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_byte_bpe": op4_byte_bpe,
+    "op5_token_files": op5_token_files,
+    "op6_best_fit_packing": op6_best_fit_packing,
 }
 
 ORACLES = {
