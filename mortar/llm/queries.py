@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, packing, token_files
+from . import bpe, packing, simhash, token_files
 from . import exact_dedup as dedup
 from .common import table
 
@@ -60,11 +60,17 @@ def pack_documents(docs):
     return packing.pack(narrow)
 
 
+def op8_simhash(spark, sf_dir):
+    found = simhash.simhash_groups(table(spark, sf_dir, "documents"), shingle=3, radius=2)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_token_files": op5_token_files,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op8_simhash": op8_simhash,
 }
 
 ORACLES = {
