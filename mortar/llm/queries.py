@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, packing, simhash, token_files
+from . import bpe, packing, simhash, substring_dedup, token_files
 from . import exact_dedup as dedup
 from .common import table
 
@@ -31,6 +31,37 @@ select doc_id,
 from norm
 """
 
+def op3_substring_dedup(spark, sf_dir):
+    return substring_dedup.substring_dedup(table(spark, sf_dir, "documents")).drop("kept")
+
+
+# windows are grouped by 35 words joined by a space, which no word holds
+OP3_SQL = r"""
+with docs as (
+  select row_number() over () as r, doc_id,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
+  from documents
+),
+starts as (
+  select r, w, unnest(range(1, len(w) - 33)) as s from docs where len(w) >= 35
+),
+wins as (select r, s, md5(array_to_string(w[s:s + 34], ' ')) as h from starts),
+often as (select r, s from wins qualify count(*) over (partition by h) > 1),
+gone as (
+  select distinct r, unnest(range(s, s + 35)) as i from often
+),
+words as (select r, unnest(w) as word, unnest(range(1, len(w) + 1)) as i from docs),
+kept as (
+  select words.r, string_agg(word, ' ' order by words.i) as t, count(*) as n
+  from words left join gone on words.r = gone.r and words.i = gone.i
+  where gone.r is null group by words.r
+)
+select doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n_removed,
+       sha256(coalesce(t, '')) as kept_sha256
+from docs left join kept using (r)
+"""
+
+
 def op4_byte_bpe(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = table(spark, sf_dir, "documents")
@@ -67,6 +98,7 @@ def op8_simhash(spark, sf_dir):
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_token_files": op5_token_files,
     "op6_best_fit_packing": op6_best_fit_packing,
@@ -75,4 +107,5 @@ QUERIES = {
 
 ORACLES = {
     "op1_exact_dedup": OP1_SQL,
+    "op3_substring_dedup": OP3_SQL,
 }
