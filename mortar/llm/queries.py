@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, packing, simhash, substring_dedup, token_files
+from . import bpe, packing, quality, simhash, substring_dedup, token_files
 from . import exact_dedup as dedup
 from .common import table
 
@@ -96,6 +96,17 @@ def op8_simhash(spark, sf_dir):
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score_quality(docs, model).select(
+        "doc_id",
+        F.coalesce(quality.held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_substring_dedup": op3_substring_dedup,
@@ -103,6 +114,7 @@ QUERIES = {
     "op5_token_files": op5_token_files,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op8_simhash": op8_simhash,
+    "op9_quality": op9_quality,
 }
 
 ORACLES = {
