@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, packing, quality, simhash, substring_dedup, token_files
+from . import bpe, langid, packing, quality, simhash, substring_dedup, token_files
 from . import exact_dedup as dedup
 from .common import table
 
@@ -107,12 +107,19 @@ def op9_quality(spark, sf_dir):
     )
 
 
+def op7_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = langid.predict_language(docs, langid.fit(docs))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_token_files": op5_token_files,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_language_id": op7_language_id,
     "op8_simhash": op8_simhash,
     "op9_quality": op9_quality,
 }
