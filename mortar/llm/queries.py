@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, langid, packing, quality, simhash, substring_dedup, token_files
+from . import bpe, langid, packing, quality, simhash, substring_dedup, token_files, topk
 from . import exact_dedup as dedup
 from .common import table
 
@@ -31,6 +31,28 @@ select doc_id,
 from norm
 """
 
+def op2_topk_search(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"), k=5, every=50)
+
+
+OP2_SQL = """
+with clean as (
+  select vec_id, [floor(256 * x::double)::bigint for x in embedding] as v
+  from embeddings
+  where embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+),
+scored as (
+  select q.vec_id as query_id, c.vec_id,
+         list_sum([q.v[i] * c.v[i] for i in range(1, len(q.v) + 1)])::bigint as score
+  from clean q join clean c on q.vec_id <> c.vec_id
+  where q.vec_id % 50 = 0
+)
+select query_id, (row_number() over best)::int as rank, vec_id, score from scored
+window best as (partition by query_id order by score desc, vec_id)
+qualify row_number() over best <= 5
+"""
+
+
 def op3_substring_dedup(spark, sf_dir):
     return substring_dedup.substring_dedup(table(spark, sf_dir, "documents")).drop("kept")
 
@@ -115,6 +137,7 @@ def op7_language_id(spark, sf_dir):
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_topk_search": op2_topk_search,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_token_files": op5_token_files,
@@ -126,5 +149,6 @@ QUERIES = {
 
 ORACLES = {
     "op1_exact_dedup": OP1_SQL,
+    "op2_topk_search": OP2_SQL,
     "op3_substring_dedup": OP3_SQL,
 }
