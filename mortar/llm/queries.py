@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, langid, packing, quality, simhash, substring_dedup, token_files, topk
+from . import bpe, langid, packing, pii, quality, simhash, substring_dedup, token_files, topk
 from . import exact_dedup as dedup
 from .common import table
 
@@ -135,6 +135,19 @@ def op7_language_id(spark, sf_dir):
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op10_pii(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_spans(docs, pii.fit(docs))
+    base = F.filter("spans", lambda m: m["base"])
+    count = lambda name: F.size(F.filter("spans", lambda m: m["base"] & (m["k"] == pii.NAMES.index(name)))).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(k.name).alias(f"n_{k.name}") for k in pii.BASE],
+        F.sha2(pii.joined(base), 256).alias("base_sha256"),
+        pii.joined(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_topk_search": op2_topk_search,
@@ -145,6 +158,7 @@ QUERIES = {
     "op7_language_id": op7_language_id,
     "op8_simhash": op8_simhash,
     "op9_quality": op9_quality,
+    "op10_pii": op10_pii,
 }
 
 ORACLES = {
