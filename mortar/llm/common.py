@@ -7,6 +7,8 @@ import types
 import uuid
 from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +33,14 @@ def write_scratch(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_or_empty(col: Column | str) -> Column:
     col = F.col(col) if isinstance(col, str) else col
     return F.coalesce(col.cast("string"), F.lit(""))
@@ -74,13 +84,13 @@ def worker_cache() -> dict:
     return sys.modules[name].store
 
 
-def batches_of(texts: list[bytes], limit: int) -> Iterator[tuple[int, int]]:
-    """Cut a list into runs [a, b) of about ``limit`` bytes; a longer text is a run of its own."""
-    a = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > limit:
-            yield a, i
-            a, size = i, 0
-        size += len(t)
-    if a < len(texts):
-        yield a, len(texts)
+def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """Cut a batch into runs of about ``limit`` bytes in one column; a longer value is a run of its own."""
+    size = begin = 0
+    for i, n in enumerate(pc.binary_length(batch.column(column)).to_pylist()):
+        if size and size + (n or 0) > limit:
+            yield batch.slice(begin, i - begin)
+            begin, size = i, 0
+        size += n or 0
+    if begin < len(batch):
+        yield batch.slice(begin)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, explode_salts, salt_of, salts_seen, text_or_empty
+from .common import ascii_lower, explode_salts, free_name, salt_of, salts_seen, text_or_empty
 
 SALTS = 32
+RESULT = ("keep_id", "group_size", "kept", "text_digest")
 
 
 def _digest(text: Column) -> Column:
@@ -21,6 +22,7 @@ def exact_dedup(
     normalise=ascii_lower,
     digest=_digest,
     salts: int = SALTS,
+    result: tuple[str, str, str, str] = RESULT,
 ) -> DataFrame:
     """Mark, among rows of equal text, the one with the largest id.
 
@@ -37,13 +39,13 @@ def exact_dedup(
     job stops with an error instead of mixing them.
 
     Returns every column of ``docs`` but those named like a result column, plus ``keep_id``,
-    ``group_size`` (long), ``kept`` and ``text_digest`` (of the normalised text).
+    ``group_size`` (long), ``kept`` and ``text_digest`` (of the normalised text), or what
+    ``result`` calls them.
     Defined results: a null text counts as empty and equals the empty text; a null id is
     smaller than any other; of rows that repeat the winning id with an equal text one is
     kept; an empty table gives an empty result; no other column of ``docs`` is looked at.
     """
-    out = ["keep_id", "group_size", "kept", "text_digest"]
-    names = [c for c in docs.columns if c not in out]
+    names = [c for c in docs.columns if c not in result]
     carried = [f"_c{i}" for i in range(len(names))]
     hashable = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
     rows = docs.select(
@@ -83,8 +85,11 @@ def exact_dedup(
     first = F.row_number().over(Window.partitionBy("_digest", "_salt", "_id").orderBy("_tie"))
     return decided.withColumn("kept", top & (first == 1)).select(
         *[F.col(n).alias(c) for c, n in zip(names, carried)],
-        "keep_id",
-        "group_size",
-        "kept",
-        F.col("_digest").alias("text_digest"),
+        *[F.col(n).alias(c) for c, n in zip(result, ("keep_id", "group_size", "kept", "_digest"))],
     )
+
+
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", normalise=ascii_lower) -> DataFrame:
+    """The rows of ``docs`` that ``exact_dedup`` keeps, with the columns they have."""
+    result = tuple(free_name(docs, f"_{n}") for n in RESULT)
+    return exact_dedup(docs, id_col, text_col, normalise, result=result).where(F.col(result[2])).drop(*result)

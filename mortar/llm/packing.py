@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_or_empty, write_scratch
+from .common import free_name, text_or_empty, write_scratch
 from .tokens import encode_text, pieces_of
 
 CAPACITY = 1024
@@ -148,12 +148,13 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length_col: str = "length"
     """
     out = ["sequence_id", "offset"]
     rows = write_scratch(pieces.drop(*out), "pieces")
-    numbered = rows.withColumn("_row", F.monotonically_increasing_id())
+    number, shard = free_name(rows, "_row"), free_name(rows, "_shard")
+    numbered = rows.withColumn(number, F.monotonically_increasing_id())
     full = F.col(f"`{length_col}`") == capacity
     n = rows.where(~full).count()
     shards = max(1, -(-n // shard_pieces))
     # full sequences get negative numbers, packed ones shard * 2^32 + place in the shard
-    whole = numbered.where(full).select("*", (-1 - F.col("_row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    whole = numbered.where(full).select("*", (-1 - F.col(number)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     schema = T.StructType([*rows.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
     def pack_shard(group: pd.DataFrame) -> pd.DataFrame:
@@ -170,12 +171,12 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length_col: str = "length"
                 free[size] += 1
                 sequence[row], offset[row] = i, at
                 at += size
-        base = int(group["_shard"].iloc[0]) << 32
-        group = group.drop(columns=["_row", "_shard"])
+        base = int(group[shard].iloc[0]) << 32
+        group = group.drop(columns=[number, shard])
         return group.assign(sequence_id=sequence + base, offset=offset)
 
-    dealt = numbered.where(~full).withColumn("_shard", F.pmod(F.xxhash64("_row"), F.lit(shards)).cast("int"))
-    packed = dealt.groupBy("_shard").applyInPandas(pack_shard, schema)
-    return whole.drop("_row").unionByName(packed)
+    dealt = numbered.where(~full).withColumn(shard, F.pmod(F.xxhash64(number), F.lit(shards)).cast("int"))
+    packed = dealt.groupBy(shard).applyInPandas(pack_shard, schema)
+    return whole.drop(number).unionByName(packed)
 
 

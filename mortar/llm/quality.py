@@ -174,7 +174,8 @@ def score_quality(docs: DataFrame, model: RuleEnsemble, text_col: str = "text",
     """
     rest = [f"`{c}`" for c in docs.columns if c != score_col]
     stats = {s: F.col(f"_s_{s}") for s in statistics(F.lit(""))}
-    measured = docs.select(*rest, text_or_empty(F.col(f"`{text_col}`")).alias("_text"))
+    # the row goes along as one column, so no name of its columns meets one used here
+    measured = docs.select(F.struct(*rest).alias("_row"), text_or_empty(F.col(f"`{text_col}`")).alias("_text"))
     used = {s for _, rule in model.rules for s, _, _ in rule}
-    measured = measured.select(*rest, *[c.cast("double").alias(f"_s_{s}") for s, c in statistics(F.col("_text")).items() if s in used])
-    return measured.select(*rest, model.column(stats).alias(score_col))
+    measured = measured.select("_row", *[c.cast("double").alias(f"_s_{s}") for s, c in statistics(F.col("_text")).items() if s in used])
+    return measured.select("_row.*", model.column(stats).alias(score_col))

@@ -163,4 +163,4 @@ def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """
     found = simhash_groups(docs, id_col, text_col, shingle, radius, seed)
     kept = found.where(F.col(f"`{id_col}`").eqNullSafe(F.col("component_id"))).select(F.col("component_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col(f"`{id_col}`").eqNullSafe(F.col("_kept")), "left_semi")
+    return docs.join(kept, docs[f"`{id_col}`"].eqNullSafe(kept["_kept"]), "left_semi")

@@ -279,7 +279,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     working = write_scratch(working, "working")
 
     level = working
-    for shorter, length in zip(lengths, lengths[1:]):
+    for shorter, length in zip(lengths, lengths[1:] or lengths):
         found = repeated(write_scratch(next_level(level, shorter, length, window), "windows"), ["hash", "check"])
         if length < window:
             level = working.drop("hashes").join(found.groupBy("_row").agg(F.collect_list("hash").alias("hashes")), "_row")
