@@ -13,20 +13,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mortar.llm import exact_dedup, pii, quality, simhash
-from mortar.llm.common import table, write_scratch
+from mortar.llm.common import free_name, table, write_scratch
 from mortar.llm.queries import pack_documents
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, fitted on the labels, doesn't reject."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    scored = quality.score_quality(docs, model, score_col="_quality")
-    return scored.where(F.col("_quality") >= 0.5).select(docs.columns)
+    score = free_name(docs, "_score")
+    return quality.score_quality(docs, model, score_col=score).where(F.col(score) >= 0.5).drop(score)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts, the one with the largest id."""
-    return exact_dedup.exact_dedup(docs).where("kept").select(docs.columns)
+    return exact_dedup.drop_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
