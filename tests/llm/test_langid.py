@@ -1,0 +1,66 @@
+import zlib
+
+import numpy as np
+from llm_fixtures import clashing, docs_of  # noqa: F401
+
+from mortar.llm import langid
+from mortar.llm.queries import QUERIES
+
+SF_MID = "/root/testdata/sf0.01"
+
+
+def test_held_out_accuracy(spark):
+    known = {r.doc_id: (r.lang, r.text) for r in spark.read.parquet(f"{SF_MID}/documents.parquet").collect()}
+    got = QUERIES["op7_language_id"](spark, SF_MID).collect()
+    assert sorted(r.doc_id for r in got) == sorted(known)
+    for r in got:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+        assert 0 <= r.score <= 1
+    held = [r for r in got if r.held_out and known[r.doc_id][0] is not None]
+    right = [r.lang_pred == known[r.doc_id][0] for r in held]
+    assert np.mean(right) >= 0.97
+    # calibrated: the mean score is near the share of right answers
+    assert abs(np.mean([r.score for r in held]) - np.mean(right)) < 0.05
+
+
+def test_counts_do_not_depend_on_blocks(monkeypatch):
+    text = "Größe, naïve  ÇA va?! 123 où İstanbul\n\n été " * 40
+    is_letter = langid.letters()
+    whole = langid.ngram_counts(text, is_letter)
+    for block in (1, 2, 3, 17):
+        monkeypatch.setattr(langid, "BLOCK", block)
+        assert (langid.ngram_counts(text, is_letter) == whole).all()
+    assert langid.ngram_counts(" 12 --\n", is_letter) is None and langid.ngram_counts("", is_letter) is None
+
+
+def test_edge_cases(docs_of, clashing):
+    rows = [(i, ("der die das und nicht " if i % 2 else "the and with that ") * (1 + i % 5), "de" if i % 2 else "en") for i in range(120)]
+    rows += [(200, None, "en"), (201, "", None), (202, "12 34 !?", "de"), (203, "the the", None), (None, "und nicht", "de"), (3, rows[3][1], "de"), (204, "the and " * 90_000, None)]
+    df = clashing(docs_of(rows), "score", "_id", "_text", "lang_pred")
+    got = langid.predict_language(df, langid.fit(df)).collect()
+    assert len(got) == len(rows)
+    found = {r.doc_id: r.lang_pred for r in got}
+    assert (found[200], found[201], found[202]) == ("und",) * 3
+    assert (found[203], found[204], found[None], found[3], found[4]) == ("en", "en", "de", "de", "en")
+    assert {r.score for r in got if r.lang_pred == "und"} == {0.0}
+
+
+def test_nothing_to_learn(docs_of):
+    unlabelled = docs_of([(1, "the and"), (2, None)])
+    assert {(r.lang_pred, r.score) for r in langid.predict_language(unlabelled, langid.fit(unlabelled)).collect()} == {("und", 0.0)}
+    empty = docs_of([])
+    assert langid.predict_language(empty, langid.fit(empty)).count() == 0
+    no_letters = docs_of([(i, "123", "en") for i in range(9)])
+    assert {r.lang_pred for r in langid.predict_language(no_letters, langid.fit(no_letters)).collect()} == {"und"}
+
+
+def test_weights_are_sparse():
+    random = np.random.default_rng(0)
+    rows, y = [], []
+    for i in range(300):
+        at = np.sort(random.choice(1000, 20, replace=False))
+        y.append(i % 2)
+        at[0] = i % 2
+        rows.append((np.unique(at), np.ones(len(np.unique(at))) / 5))
+    w = langid.ftrl(rows, np.array(y), 2)
+    assert (w[1000:-1] == 0).all() and w[0, 0] > 0 > w[1, 0]

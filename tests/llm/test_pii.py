@@ -1,0 +1,129 @@
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from llm_fixtures import SF_SMALL, clashing, docs_of  # noqa: F401
+
+from mortar.llm import pii
+from mortar.llm.queries import QUERIES
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        v = int(c) * (1 + i % 2)
+        total += v - 9 if v > 9 else v
+    return total % 10 == 0
+
+
+def valid(kind, value):
+    d = re.sub("[^0-9]", "", value)
+    return {"email": lambda: True, "ip": lambda: all(int(x) <= 255 for x in value.split(".")), "card": lambda: 12 <= len(d) <= 19 and luhn(d), "phone": lambda: 9 <= len(d) <= 15}[kind]()
+
+
+def brute(text):
+    found = [(m.start(), k, m.end(), kind) for k, (kind, p) in enumerate(PATTERNS.items()) for m in re.finditer(p, text or "") if valid(kind, m.group())]
+    return ",".join(f"{kind}:{s}:{e}" for s, _, e, kind in sorted(found))
+
+
+TEXTS = [
+    "", None, "nothing here", "a@b.c.d_e@f.gg x", "a@b c@d. e@f.g", "1.2.3.4.5.6.7.8 1.2.3 256.1.1.1 00255.0.0.1 1.2.3.4444", "4111 1111 1111 1111 4111-1111-1111-1112 4111  1111", "+1 (171) 555-2028, +49 30 1234567 +1 ((( +1234567890123456", "é+1 (171) 555-2028é a@b.c", "😀 mail 😀 x.y+z@host-1.example.com 10.0.0.1",
+    "+4111 1111 1111 1111", "378282246310005", "@@ a@ @b.c . a.@b.-c", "12" * 40, "a" * 9000 + "@b.c", "1." * 4000, "a@b" + ".c" * 9000, "5-" * 6000,
+    ("word " * 300 + "mail me@you.org or +1 (171) 555-2028 now. ") * 30, "+1 555 0100 200 " * 900, "x@y.z" * 1500, "1 " * 9000,
+]
+
+
+def spans(df, model=pii.SpanModel({})):
+    return {r[0]: r[1] for r in pii.find_spans(df, model).select("doc_id", pii.joined(pii.F.col("spans"))).collect()}
+
+
+def test_base_spans_against_brute_force(docs_of):
+    got = spans(docs_of(list(enumerate(TEXTS))))
+    for i, t in enumerate(TEXTS):
+        assert got[i] == brute(t), (t or "")[:80]
+
+
+def test_base_spans_of_random_texts(docs_of):
+    rnd = random.Random(6)
+    tokens = ["a", "b@", "@", ".", "1", "23", " ", "-", "+", "(", ")", "_", "é", "\n", "255", "4111111111111111", "+1 (171) 555-2028", "x@y.zz", "10.0.0.1", ",", "😀"]
+    texts = ["".join(rnd.choice(tokens) for _ in range(rnd.randint(1, 40))) for _ in range(1500)]
+    texts += ["".join(rnd.choice(tokens) for _ in range(3000)) for _ in range(20)]
+    got = spans(docs_of(list(enumerate(texts))))
+    for i, t in enumerate(texts):
+        assert got[i] == brute(t), t
+
+
+def test_chunks_join_to_the_text(docs_of):
+    df = docs_of(list(enumerate(TEXTS)))
+    for r in df.select("text", pii.chunks_of(pii.text_or_empty("text")).alias("c")).collect():
+        assert "".join(c.chunk for c in r.c) == (r.text or "")
+        at = 0
+        for c in r.c:
+            assert c.at == at
+            at += len(c.chunk)
+
+
+MORE = 'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" and call (415) 555-2671 or me@you.org'
+
+
+def test_classifier_adds_spans_and_keeps_base_ones(docs_of, clashing):
+    rows = [(i, f"line {i} {MORE}") for i in range(30)] + [(100 + i, "an identifier_without_context_12 here") for i in range(30)] + [(900, None)]
+    df = clashing(docs_of(rows), "_text", "_c", "chunk", "spans")
+    model = pii.fit(df)
+    found = spans(df, model)
+    kinds = [x.split(":")[0] for x in found[5].split(",")]
+    assert kinds == ["secret", "phone", "email"] and found[105] == "" and found[900] == ""
+    masked = pii.mask(df, model)
+    assert masked.columns == df.columns
+    texts = {r.doc_id: r.text for r in masked.collect()}
+    assert texts[5] == 'line 5 token = "<SECRET>" and call <PHONE> or <EMAIL>'
+    assert texts[105] == rows[35][1] and texts[900] is None
+
+
+def test_overlapping_spans_become_one_mark(docs_of):
+    df = docs_of([(1, "see +4111 1111 1111 1111 now"), (2, "10.0.0.1@host.org x"), (3, "plain")])
+    got = {r.doc_id: r.text for r in pii.mask(df, pii.SpanModel({})).collect()}
+    assert got[3] == "plain" and not re.search("[0-9]", got[1]) and got[1].endswith(" now") and "@" not in got[2]
+
+
+def test_empty_table(docs_of):
+    empty = docs_of([])
+    model = pii.fit(empty)
+    assert model.weights == {} and pii.find_spans(empty, model).count() == 0 and pii.mask(empty, model).count() == 0
+
+
+def test_em_tells_reliable_labelers():
+    votes = np.array([[a, b, c, d] for a in (0, 1) for b in (0, 1) for c in (0, 1) for d in (0, 1)], dtype=float)
+    random = np.random.default_rng(0)
+    truth = random.random(4000) < 0.3
+    cast = np.stack([np.where(random.random(4000) < r, truth, ~truth) for r in (0.95, 0.9, 0.85, 0.55)], axis=1)
+    n = np.array([(cast == v).all(axis=1).sum() for v in votes], dtype=float)
+    p = pii.em(votes, n)
+    guess = {tuple(v): x >= 0.5 for v, x in zip(votes, p)}
+    assert np.mean([guess[tuple(map(float, c))] == t for c, t in zip(cast, truth)]) > 0.95
+    bias, *w = pii.span_classifier(votes, n, p)
+    assert w[0] > w[3] and np.mean([((bias + np.dot(w, v)) > 0) == (x >= 0.5) for v, x in zip(votes, p)]) > 0.85
+
+
+@pytest.mark.parametrize("name", ["op10_pii"])
+def test_query(spark, name):
+    texts = dict(spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect())
+    got = QUERIES[name](spark, SF_SMALL)
+    plan = got._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    for r in got.collect():
+        base = brute(texts.pop(r.doc_id))
+        assert r.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+        assert set(filter(None, base.split(","))) <= set(r.spans.split(","))
+        for kind in PATTERNS:
+            assert r[f"n_{kind}"] == base.count(f"{kind}:")
+    assert not texts
