@@ -30,7 +30,7 @@ def round_half_up(c: Column | str, digits: int = 2) -> Column:
 
 def idiv(a: Column, b: Column) -> Column:
     """Exact integer division of non-negative longs."""
-    return ((a - a % b) / b).cast("long")
+    return F.call_function("div", a.cast("long"), b.cast("long"))
 
 
 def round_ratio_units(num: Column | str, den: Column | str, digits: int = 2) -> Column:
@@ -57,11 +57,6 @@ def round_ratio(num: Column | str, den: Column | str, digits: int = 2) -> Column
     return round_ratio_units(num, den, digits) / F.lit(float(10**digits))
 
 
-def safe_ratio(num: Column | str, den: Column | str, digits: int = 2) -> Column:
-    """``round(num::float / nullif(den, 0), digits)``."""
-    return round_ratio(num, den, digits)
-
-
 def pct_change_units(cur: Column | str, prev: Column | str, digits: int = 2) -> Column:
     """Percent change ``(cur - prev) * 100 / prev`` in units of 10**-digits.
 
@@ -77,9 +72,17 @@ def pct_change(cur: Column | str, prev: Column | str, digits: int = 2) -> Column
 
 
 def cents_to_dollars(c: Column | str, decimal_places: int = 2) -> Column:
-    """Integer cents to a dollar amount rounded to ``decimal_places``."""
-    exact = _col(c).cast(DecimalType(38, 2)) / F.lit(100)
-    return F.round(exact, decimal_places).cast("double")
+    """Integer cents to a dollar amount rounded to ``decimal_places``.
+
+    Whole cents below 2^53 divided by 100 are the nearest double of their two
+    decimals, so only fewer places or larger amounts need decimal arithmetic.
+    """
+    cents = _col(c)
+    exact = F.round(cents.cast(DecimalType(38, 2)) / F.lit(100), decimal_places).cast("double")
+    if decimal_places < 2:
+        return exact
+    whole = (cents == F.floor(cents)) & (F.abs(cents) < F.lit(1 << 53))
+    return F.when(whole, cents / F.lit(100.0)).otherwise(exact)
 
 
 def money(c: Column | str, scale: int = 4) -> Column:

@@ -1,4 +1,4 @@
-"""Jaro-Winkler similarity: a small per-pair helper for the term classifier.
+"""Jaro-Winkler similarity as a column expression.
 
 Matching window ``max(len) // 2 - 1``, transpositions halved with integer
 division, Winkler boost ``prefix * 0.1 * (1 - jaro)`` for a common prefix of
@@ -8,58 +8,74 @@ string scores 0. Works on characters (code points).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 # Fixed values of the Winkler variant.
 PREFIX_WEIGHT = 0.1
 PREFIX_MAX = 4
 BOOST_THRESHOLD = 0.7
 
 
-def jaro(a: str, b: str) -> float:
-    la, lb = len(a), len(b)
-    if la == 0 or lb == 0:
-        return 0.0
-    if a == b:
-        return 1.0
-    window = max(max(la, lb) // 2 - 1, 0)
-    a_hit = [False] * la
-    b_hit = [False] * lb
-    matches = 0
-    for i, ch in enumerate(a):
-        lo, hi = max(0, i - window), min(lb, i + window + 1)
-        for j in range(lo, hi):
-            if not b_hit[j] and b[j] == ch:
-                a_hit[i] = b_hit[j] = True
-                matches += 1
-                break
-    if matches == 0:
-        return 0.0
-    transpositions = 0
-    j = 0
-    for i in range(la):
-        if a_hit[i]:
-            while not b_hit[j]:
-                j += 1
-            if a[i] != b[j]:
-                transpositions += 1
-            j += 1
-    m = float(matches)
-    return (m / la + m / lb + (m - transpositions // 2) / m) / 3.0
-
-
-def jaro_winkler(a: str, b: str) -> float:
-    sim = jaro(a, b)
-    if sim > BOOST_THRESHOLD:
-        prefix = 0
-        for x, y in zip(a[:PREFIX_MAX], b[:PREFIX_MAX]):
-            if x != y:
-                break
-            prefix += 1
-        sim += prefix * PREFIX_WEIGHT * (1.0 - sim)
-    return sim
-
-
-def similarity_score(a: str | None, b: str | None) -> int | None:
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, worked out once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _chars(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
+
+
+def _matched(a: Column, b: Column) -> Column:
+    """Places in ``b`` taken by the characters of ``a`` in turn, each the first free one in the window."""
+    none = F.expr("cast(array() as array<int>)")
+    window = F.greatest(F.floor(F.greatest(F.size(a), F.size(b)) / 2) - 1, F.lit(0)).cast("int")
+
+    def take(taken: Column, i: Column, w: Column) -> Column:
+        low, high = F.greatest(i - w, F.lit(0)), F.least(i + w, F.size(b) - 1)
+        free = F.filter(F.sequence(low, high), lambda j: (F.get(b, j) == F.get(a, i)) & ~F.array_contains(taken, j))
+        return F.when(low <= high, F.concat(taken, F.slice(free, 1, 1))).otherwise(taken)
+
+    return _let(window, lambda w: F.aggregate(F.sequence(F.lit(0), F.size(a) - 1), none, lambda taken, i: take(taken, i, w)))
+
+
+def _jaro(a: Column, b: Column) -> Column:
+    """Of two non-empty lists of characters; both ways of matching take as many, in the order of either side."""
+
+    def similarity(in_b: Column) -> Column:
+        m = F.size(in_b).cast("double")
+        # the characters of a that found a place are those in b, in a's order
+        of_a = F.transform(in_b, lambda j: F.get(b, j))
+        of_b = F.transform(F.array_sort(in_b), lambda j: F.get(b, j))
+        moved = F.size(F.filter(F.zip_with(of_a, of_b, lambda x, y: x != y), lambda x: x))
+        halved = F.floor(moved / 2).cast("double")
+        total = m / F.size(a) + m / F.size(b) + (m - halved) / m
+        return F.when(F.size(in_b) == 0, F.lit(0.0)).otherwise(total / F.lit(3.0))
+
+    return _let(_matched(a, b), similarity)
+
+
+def jaro_winkler(a: Column, b: Column) -> Column:
+    """0.0 to 1.0; NULL in, NULL out."""
+
+    def boosted(x: Column, y: Column, sim: Column) -> Column:
+        prefix = F.lit(PREFIX_MAX)
+        for i in reversed(range(PREFIX_MAX)):
+            same = F.coalesce(F.get(x, F.lit(i)) == F.get(y, F.lit(i)), F.lit(False))
+            prefix = F.when(~same, F.lit(i)).otherwise(prefix)
+        return F.when(sim > BOOST_THRESHOLD, sim + prefix * F.lit(PREFIX_WEIGHT) * (F.lit(1.0) - sim)).otherwise(sim)
+
+    compared = _let(_chars(a), lambda x: _let(_chars(b), lambda y: _let(_jaro(x, y), lambda sim: boosted(x, y, sim))))
+    return (
+        F.when(a.isNull() | b.isNull(), F.lit(None).cast("double"))
+        .when((a == "") | (b == ""), F.lit(0.0))
+        .when(a == b, F.lit(1.0))
+        .otherwise(compared)
+    )
+
+
+def similarity_score(a: Column, b: Column) -> Column:
     """0..100 integer score (floor of 100 x Jaro-Winkler); NULL in, NULL out."""
-    if a is None or b is None:
-        return None
-    return int(100.0 * jaro_winkler(a, b) // 1)
+    return F.floor(F.lit(100.0) * jaro_winkler(a, b)).cast("int")

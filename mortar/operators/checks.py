@@ -40,18 +40,6 @@ def check_accepted_values(df: DataFrame, column: str, values: Sequence) -> DataF
     )
 
 
-def check_relationships(df: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
-    """Child values without a parent row (left anti join; NULL children skipped)."""
-    parents = parent.select(F.col(field).alias("_mortar_parent")).distinct()
-    child = df.select(F.col(column).alias("from_field")).where(F.col("from_field").isNotNull())
-    return child.join(parents, F.col("from_field") == F.col("_mortar_parent"), "left_anti")
-
-
-def check_expression(df: DataFrame, condition: Column) -> DataFrame:
-    """Rows where the condition is false (NULL is not a violation)."""
-    return df.where(~condition)
-
-
 @dataclass
 class Tests:
     """Declared tests of one model."""

@@ -155,15 +155,6 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     ).select(*df.columns)
 
 
-def cumulative_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str) -> DataFrame:
-    """Running sum of ``value`` per key (NULL keys get NULL, like an equi self join)."""
-    res = prefix_scan(df, keys, order, sums={out: value})
-    null_key = F.lit(False)
-    for k in keys:
-        null_key = null_key | F.col(k).isNull()
-    return res.withColumn(out, F.when(~null_key, F.col(out)))
-
-
 def group_min_max(df: DataFrame, partition: Sequence[str], value: str) -> DataFrame:
     """Per-partition min and max of ``value`` as a small table (partial aggregation)."""
     return df.groupBy(*partition).agg(F.min(value).alias("_mortar_min"), F.max(value).alias("_mortar_max"))

@@ -39,20 +39,19 @@ def entity_days(entities: DataFrame, key: str, since: str, start: str, end: str,
 
     Replaces ``select distinct k, d from entities cross join spine where d >= since``:
     a key repeated with several dates yields the days from its earliest one,
-    so deduplicating to ``min(since)`` per key first is exact. No cross
-    product is formed; each key explodes its own day range.
+    so deduplicating to ``min(since)`` per key first is exact. NULL keys are
+    one entity, as ``distinct`` has it. No cross product is formed; each key
+    explodes its own day range.
     """
-    first = entities.where(F.col(key).isNotNull() & F.col(since).isNotNull()).groupBy(key).agg(
-        F.min(since).alias("_since")
-    )
+    first = entities.where(F.col(since).isNotNull()).groupBy(key).agg(F.min(since).alias("_since"))
     lo = F.greatest(F.col("_since").cast("date"), _date(start))
     hi = F.date_sub(_date(end), 1)
     return first.where(lo <= hi).select(key, F.explode(F.sequence(lo, hi)).alias(out))
 
 
 def clamp_day(day: Column, start: str) -> Column:
-    """Events before the spine act on its first day."""
-    return F.greatest(day, _date(start))
+    """Events before the spine act on its first day; a NULL day stays NULL (``greatest`` alone skips NULLs)."""
+    return F.when(day.isNotNull(), F.greatest(day, _date(start)))
 
 
 EventSpec = tuple  # (day: Column, condition: Column, values: dict[str, Column])
@@ -65,7 +64,8 @@ def interval_specs(
 
     ``+values`` at the first covered spine day and ``-values`` at
     ``hi_excl`` when that is still inside the spine; intervals that end
-    before the spine or start after it emit nothing. ``shift`` moves both
+    before the spine, start after it or have a NULL start (no day compares
+    as covered) emit nothing. ``shift`` moves both
     events ``shift`` days later: a running sum of shifted events on day d is
     the unshifted state on day d - shift (a lag by days).
     """
@@ -91,6 +91,7 @@ def point_spec(day: Column, values: dict[str, Column], start: str, end: str, con
 def emit_events(df: DataFrame, key: str | Sequence[str], specs: Sequence[EventSpec]) -> DataFrame:
     """All events of all specs from one pass over ``df``.
 
+    Rows with a NULL key emit nothing: no entity equals a NULL key in a join.
     Each input row yields an array of event structs (one per spec, value
     columns missing from a spec are 0) filtered by the specs' conditions and
     exploded: one scan of the source however many event kinds it feeds.
@@ -107,6 +108,8 @@ def emit_events(df: DataFrame, key: str | Sequence[str], specs: Sequence[EventSp
         fields += [(values[n].cast("long") if n in values else zero).alias(n) for n in names]
         structs.append(F.struct(*fields))
     kept = F.filter(F.array(*structs), lambda e: e["_ok"])
+    for k in keys:
+        df = df.where(F.col(k).isNotNull())
     rows = df.select(*[F.col(k) for k in keys], F.explode(kept).alias("_e"))
     return rows.select(*keys, F.col("_e.day").alias("day"), *[F.col(f"_e.{n}").alias(n) for n in names])
 
@@ -125,11 +128,6 @@ def interval_events(
     return emit_events(df, key, interval_specs(lo, hi_excl, values, start, end, shift))
 
 
-def point_events(df: DataFrame, key: str, day: Column, values: dict[str, Column], start: str, end: str) -> DataFrame:
-    """Events that start counting on ``day`` (clamped to the spine) and never stop."""
-    return emit_events(df, key, [point_spec(day, values, start, end)])
-
-
 def distinct_active_events(
     df: DataFrame,
     key: str,
@@ -177,9 +175,7 @@ def distinct_active_events(
 
 def entity_first_days(entities: DataFrame, key: str, since: str, start: str, end: str) -> DataFrame:
     """(key, first_day): the first spine day of each entity's grid (see ``entity_days``)."""
-    first = entities.where(F.col(key).isNotNull() & F.col(since).isNotNull()).groupBy(key).agg(
-        F.min(since).alias("_since")
-    )
+    first = entities.where(F.col(since).isNotNull()).groupBy(key).agg(F.min(since).alias("_since"))
     lo = F.greatest(F.col("_since").cast("date"), _date(start))
     return first.select(key, lo.alias("first_day")).where(F.col("first_day") <= F.date_sub(_date(end), 1))
 

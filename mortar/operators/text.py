@@ -4,7 +4,6 @@ lists to rows, and branded / unbranded classification of search terms.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,14 +11,15 @@ from pyspark.sql import types as T
 from ..functions.columns import round_half_up
 from ..functions.similarity import similarity_score
 
-# Search-console export row: {"keys": [...], "clicks", "impressions", "ctr", "position"}
+# Search-console export row: {"keys": [...], "clicks", "impressions", "ctr", "position"}.
+# Numbers are read as text and cast, so 3 and "3" are the same, as in the reference's casts.
 SEARCH_ROW = T.StructType(
     [
         T.StructField("keys", T.ArrayType(T.StringType())),
-        T.StructField("clicks", T.DoubleType()),
-        T.StructField("impressions", T.DoubleType()),
-        T.StructField("ctr", T.DoubleType()),
-        T.StructField("position", T.DoubleType()),
+        T.StructField("clicks", T.StringType()),
+        T.StructField("impressions", T.StringType()),
+        T.StructField("ctr", T.StringType()),
+        T.StructField("position", T.StringType()),
     ]
 )
 SEARCH_DOC = T.StructType([T.StructField("rows", T.ArrayType(SEARCH_ROW))])
@@ -34,14 +34,28 @@ DOMAIN_AFFIXES = r"^www\.|\.com$"
 
 def explode_json_rows(df: DataFrame, json_col: str, keep: list[str]) -> DataFrame:
     """``lateral flatten(parse_json(c):rows)``: one row per element (inner:
-    documents without rows, malformed or NULL, produce none)."""
-    doc = F.from_json(F.col(json_col), SEARCH_DOC)
+    NULL documents and those without rows produce none). A malformed document
+    fails the query, as ``parse_json`` does; ``malformed_json`` tells them
+    beforehand."""
+    doc = F.from_json(F.col(json_col), SEARCH_DOC, {"mode": "FAILFAST"})
     return df.select(*keep, F.explode(doc["rows"]).alias("_row"))
 
 
+def malformed_json(json_col: str) -> Column:
+    """Whether a document is there but is not a JSON object with rows of the expected shape."""
+    marked = T.StructType([*SEARCH_DOC.fields, T.StructField("_bad", T.StringType())])
+    doc = F.from_json(F.col(json_col), marked, {"columnNameOfCorruptRecord": "_bad"})
+    return F.col(json_col).isNotNull() & (doc.isNull() | doc["_bad"].isNotNull())
+
+
+def json_double(c: Column) -> Column:
+    """JSON number, also as a string, to double; text that is no number fails."""
+    return c.cast("double")
+
+
 def json_int(c: Column) -> Column:
     """JSON number to integer, rounding like a warehouse ``::integer`` cast."""
-    return F.round(c).cast("int")
+    return F.round(json_double(c)).cast("int")
 
 
 def explode_json_list(df: DataFrame, json_col: str, out: str) -> DataFrame:
@@ -58,23 +72,6 @@ def position_bucket(position: Column) -> Column:
     return expr.otherwise(POSITION_OTHER)
 
 
-@F.pandas_udf(T.IntegerType())
-def _similarity(terms: pd.Series, brands: pd.Series) -> pd.Series:
-    # Score each distinct (term, brand) pair of the Arrow batch once.
-    valid = terms.notna() & brands.notna()
-    out = pd.Series(pd.array([None] * len(terms), dtype="Int32"), index=terms.index)
-    if valid.any():
-        pairs = pd.DataFrame({"t": terms[valid], "b": brands[valid]})
-        uniq = pairs.drop_duplicates()
-        scores = pd.Series(
-            [similarity_score(t, b) for t, b in zip(uniq["t"], uniq["b"])],
-            index=pd.MultiIndex.from_frame(uniq),
-            dtype="Int32",
-        )
-        out[valid] = scores.reindex(pd.MultiIndex.from_frame(pairs)).to_numpy()
-    return out
-
-
 def brand_of_domain(domain: Column) -> Column:
     """``lower(regexp_replace(domain, '^www\\.|\\.com$', ''))``."""
     return F.lower(F.regexp_replace(domain, DOMAIN_AFFIXES, ""))
@@ -84,11 +81,10 @@ def classify_terms(df: DataFrame, term: str, domain: str, threshold: int = BRAND
     """Add ``brand_similarity_score`` (0..100) and ``search_type``.
 
     A term is Branded when its Jaro-Winkler score against the domain's brand
-    exceeds ``threshold``. Scoring runs in an Arrow-batched pandas UDF on the
-    rows' own partitions (no shuffle); each batch scores its distinct pairs
-    once.
+    exceeds ``threshold``. The score is a column expression: no shuffle and no
+    Python worker.
     """
-    score = _similarity(F.lower(F.col(term)), brand_of_domain(F.col(domain)))
+    score = similarity_score(F.lower(F.col(term)), brand_of_domain(F.col(domain)))
     return df.withColumn("brand_similarity_score", score.cast("long")).withColumn(
         "search_type", F.when(F.col("brand_similarity_score") > threshold, BRANDED).otherwise(UNBRANDED)
     )
@@ -104,8 +100,8 @@ def search_rows(stg_export: DataFrame) -> DataFrame:
         F.try_element_at(r["keys"], F.lit(1)).alias("search_term"),
         json_int(r["clicks"]).alias("clicks"),
         json_int(r["impressions"]).alias("impressions"),
-        r["ctr"].alias("ctr"),
-        r["position"].alias("position"),
+        json_double(r["ctr"]).alias("ctr"),
+        json_double(r["position"]).alias("position"),
     )
 
 

@@ -20,8 +20,6 @@ Semantics kept from the reference (see SURVEY 2.16):
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -124,7 +122,8 @@ def _login_events(logins: DataFrame, start: str, end: str, mode: str) -> list[Da
         *[(has_user & (F.col(f"_{t}") > 0)).cast("long").alias(f"{t}_unique_users") for t in USER_TYPES],
         F.col("_rows").alias("login_rows"),
     )
-    events = [point]
+    # a NULL customer's logins match no customer in the reference's join
+    events = [point.where(F.col(KEY).isNotNull())]
     if mode == "trailing":
         daily = logins.select(KEY, day.alias("day")).where(F.col("day").isNotNull()).groupBy(KEY, "day").agg(
             F.count(F.lit(1)).alias("_n")
@@ -209,12 +208,14 @@ def product_sets(
     customers: DataFrame, subscriptions: DataFrame, start: str = SPINE_START, end: str = SPINE_END
 ) -> DataFrame:
     """``array_agg(distinct product_id)`` per (customer_id, date) of active
-    subscriptions, sorted; days without a product have no row.
+    subscriptions, sorted; days without a product have an empty array.
 
     Coverage per (customer, product) is merged into non-overlapping on/off
     intervals first (transition events), and only those intervals are
     exploded onto spine days from the customer's first day: the rows made are
-    exactly the elements of the output arrays, with no range join.
+    exactly the elements of the output arrays, with no range join. The
+    customer's days themselves join in as rows without a product, so one
+    aggregation gives the whole grain.
     """
     firsts = entity_first_days(customers, KEY, "acquisition_date", start, end)
     lo = F.to_date("start_date")
@@ -231,6 +232,8 @@ def product_sets(
         KEY, "product_id", F.greatest("_on", "first_day").alias("_a"), F.col("_last").alias("_b")
     ).where(F.col("_a") <= F.col("_b"))
     days = spans.select(KEY, "product_id", F.explode(F.sequence("_a", "_b")).alias("date"))
+    grid = customer_dates(customers, start, end).select(KEY, F.lit(None).cast("string").alias("product_id"), "date")
+    days = days.unionByName(grid)
     return days.groupBy(KEY, "date").agg(F.sort_array(F.collect_set("product_id")).alias("product_ids"))
 
 
@@ -392,8 +395,10 @@ def daily_metrics(
     if latest_only:
         # Every customer's grid runs to the last spine day, so each latest day
         # is that day and the latest segments carry every score of it: the
-        # per-day bounds need no other segment. One row per customer is kept.
-        seg = latest_per_key(seg, [KEY], ["_hi"]).withColumn("_lo", F.col("_hi"))
+        # per-day bounds need no other segment. Exactly one segment of a customer
+        # ends there: a narrow filter, no aggregation.
+        last = F.date_sub(F.lit(end).cast("date"), 1)
+        seg = seg.where(F.col("_hi") == last).withColumn("_lo", F.col("_hi"))
     # Read twice (per-day bounds, then the rows): written once to shared
     # storage instead of being recomputed.
     seg = materialize(seg, "daily_metrics_latest" if latest_only else "daily_metrics_segments")
@@ -401,18 +406,17 @@ def daily_metrics(
     bounds = group_min_max(
         seg.select(F.explode(F.sequence("_lo", "_hi")).alias("date"), "_raw_units"), ["date"], "_raw_units"
     )
-    max_days = (_dt.date.fromisoformat(end) - _dt.date.fromisoformat(start)).days
-    assert max_days <= 100_000, "per-day bounds table must stay broadcastable"
     spread = F.col("_mortar_max") - F.col("_mortar_min")
     score = F.when(spread == 0, F.lit(50.0)).otherwise(
         round_ratio((F.col("_raw_units") - F.col("_mortar_min")) * 100, spread, 2)
     )
-    day_number = (F.datediff("date", "first_day") + 1).cast("long")
+    # The ticket table is joined on the id, which a NULL id never matches: 0.
+    day_number = F.when(F.col(KEY).isNotNull(), F.datediff("date", "first_day") + 1).otherwise(0).cast("long")
     return (
         explode_segments(seg)
-        .join(F.broadcast(bounds), "date", "inner")
+        .join(bounds, "date", "inner")  # one row a spine day: Spark broadcasts it by its size
         .withColumn("record_key", surrogate_key(KEY, "date"))
-        .withColumn("total_tickets_to_date", F.coalesce(F.col("_tix"), day_number) if tickets_mode == "cumulative" else day_number)
+        .withColumn("total_tickets_to_date", F.when(F.col(KEY).isNotNull(), F.coalesce("_tix", day_number)).otherwise(0) if tickets_mode == "cumulative" else day_number)
         .withColumn("customer_risk_score_raw", F.col("_raw_units") / F.lit(100.0))
         .withColumn("customer_risk_score", score)
         .select(*DAILY_COLUMNS)
@@ -424,12 +428,16 @@ def daily_metrics(
 ENRICHED_METRICS = [c for c in DAILY_COLUMNS if c not in ("record_key", "customer_id", "date")]
 
 
-def customers_enriched(customers: DataFrame, daily: DataFrame, as_of: str | None = None) -> DataFrame:
+def customers_enriched(customers: DataFrame, daily: DataFrame, as_of: str | None = None, is_latest: bool = False) -> DataFrame:
     """Customers with their latest day's metrics and day counts.
 
     ``as_of`` replaces the reference's ``current_date()`` (default: today).
+    ``is_latest`` says that ``daily`` has one row per customer already
+    (``daily_metrics(latest_only=True)``).
     """
-    latest = latest_per_key(daily.select(KEY, "date", *ENRICHED_METRICS), [KEY], ["date"])
+    latest = daily.select(KEY, "date", *ENRICHED_METRICS)
+    if not is_latest:
+        latest = latest_per_key(latest, [KEY], ["date"])
     today = F.lit(as_of).cast("date") if as_of else F.current_date()
     joined = customers.join(latest, KEY, "left")
     return joined.select(

@@ -1,17 +1,16 @@
 """Shop marts: staging views, fct_orders, the status pivot, dim_customers and
 customer_orders.
 
-Money is carried as exact decimals (cents scaled) and turned into a double
-only at the output, so sums do not depend on the order rows arrive in.
+Money is summed as whole numbers of its smallest unit and divided once, at
+the output, so sums do not depend on the order rows arrive in.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
 
-from ..functions.columns import cents_to_dollars, money
+from ..functions.columns import cents_to_dollars
 from ..operators.rank import global_row_number, prefix_scan
 from ..operators.shape import pivot_count_distinct
 from ..sources.fixtures import ORDER_STATUSES
@@ -42,9 +41,13 @@ def stg_payments(payments: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- marts
 
 
+# Payments are summed as whole ten-thousandths, the places that staging keeps: exact in any order.
+UNITS = 10_000
+
+
 def _payment_totals(stg_pay: DataFrame) -> DataFrame:
-    """Exact payment total per order (pre-aggregated before any join)."""
-    return stg_pay.groupBy("order_id").agg(F.sum(money("payment_amount")).alias("_amount"))
+    """Exact payment total per order, in ten-thousandths (pre-aggregated before any join)."""
+    return stg_pay.groupBy("order_id").agg(F.sum(F.round(F.col("payment_amount") * UNITS).cast("long")).alias("_units"))
 
 
 def fct_orders(stg_ord: DataFrame, stg_pay: DataFrame) -> DataFrame:
@@ -53,7 +56,7 @@ def fct_orders(stg_ord: DataFrame, stg_pay: DataFrame) -> DataFrame:
     joined = stg_ord.select("customer_id", "order_id").join(totals, "order_id", "left")
     # The reference groups by (customer_id, order_id); order ids can repeat,
     # so the per-order totals are summed again per group.
-    return joined.groupBy("customer_id", "order_id").agg(F.sum("_amount").cast("double").alias("amount"))
+    return joined.groupBy("customer_id", "order_id").agg((F.sum("_units") / F.lit(float(UNITS))).alias("amount"))
 
 
 def order_status_pivot(stg_ord: DataFrame) -> DataFrame:
@@ -77,7 +80,7 @@ def dim_customers(stg_cust: DataFrame, stg_ord: DataFrame, stg_pay: DataFrame) -
         F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("most_recent_order_date"),
         F.count("order_id").alias("number_of_orders"),
-        F.sum("_amount").alias("_ltv"),
+        F.sum("_units").alias("_ltv"),
     )
     return stg_cust.join(stats, "customer_id", "left").select(
         "customer_id",
@@ -86,48 +89,43 @@ def dim_customers(stg_cust: DataFrame, stg_ord: DataFrame, stg_pay: DataFrame) -
         "first_order_date",
         "most_recent_order_date",
         F.coalesce(F.col("number_of_orders"), F.lit(0)).cast("long").alias("number_of_orders"),
-        F.coalesce(F.col("_ltv"), F.lit(0).cast(DecimalType(28, 4))).cast("double").alias("lifetime_value"),
+        (F.coalesce("_ltv", F.lit(0)) / F.lit(float(UNITS))).alias("lifetime_value"),
+    )
+
+
+def customer_side(orders: DataFrame, customers: DataFrame) -> DataFrame:
+    """What an order takes from its customer, a row for each row of ``customers``.
+
+    Names, first order date, how often the id occurs (``_same``) and which of these rows it
+    is (``_which``): a repeated customer id multiplies its orders, as in the reference's join.
+    """
+    first = orders.where(F.col("user_id").isNotNull()).groupBy(F.col("user_id").alias("_cid")).agg(F.min("order_date").alias("fdos"))
+    same = Window.partitionBy("_cid")
+    named = customers.select(
+        F.col("id").alias("_cid"), F.col("first_name").alias("customer_first_name"), F.col("last_name").alias("customer_last_name")
+    ).where(F.col("_cid").isNotNull())
+    named = named.withColumn("_same", F.count(F.lit(1)).over(same)).withColumn(
+        "_which", F.row_number().over(same.orderBy("customer_first_name", "customer_last_name"))
     )
+    return named.join(first, "_cid", "left")
 
 
-def paid_orders(orders: DataFrame, payments: DataFrame, customers: DataFrame) -> DataFrame:
-    """Orders with their non-failed payment total and date, and customer names."""
+def paid_orders(orders: DataFrame, payments: DataFrame) -> DataFrame:
+    """Orders with their non-failed payment total and date; ``_dup`` tells rows of one order id apart."""
     pay = (
         payments.where(F.col("status") != "fail")
         .groupBy(F.col("orderid").alias("order_id"))
         .agg(F.max("created").alias("payment_finalized_date"), F.sum("amount").alias("_paid_cents"))
     )
-    cust = customers.select(
-        F.col("id").alias("_cid"), F.col("first_name").alias("customer_first_name"),
-        F.col("last_name").alias("customer_last_name"),
-    )
     o = orders.select(
         F.col("id").alias("order_id"),
         F.col("user_id").alias("customer_id"),
         F.col("order_date").alias("order_placed_at"),
         F.col("status").alias("order_status"),
     )
-    return (
-        o.join(pay, "order_id", "left")
-        .join(cust, F.col("customer_id") == F.col("_cid"), "left")
-        .select(
-            "order_id",
-            "customer_id",
-            "order_placed_at",
-            "order_status",
-            (F.col("_paid_cents") / F.lit(100.0)).alias("total_amount_paid"),
-            "payment_finalized_date",
-            "customer_first_name",
-            "customer_last_name",
-            "_paid_cents",
-        )
-    )
-
-
-def customer_first_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """customers left join orders, grouped: (customer_id, first_order_date)."""
-    first = orders.groupBy(F.col("user_id").alias("customer_id")).agg(F.min("order_date").alias("first_order_date"))
-    return customers.select(F.col("id").alias("customer_id")).join(first, "customer_id", "left")
+    # the window's exchange on order_id serves the join as well
+    dup = F.row_number().over(Window.partitionBy("order_id").orderBy("customer_id", "order_placed_at", "order_status"))
+    return o.withColumn("_dup", dup).join(pay, "order_id", "left")
 
 
 def customer_orders(orders: DataFrame, payments: DataFrame, customers: DataFrame) -> DataFrame:
@@ -137,35 +135,40 @@ def customer_orders(orders: DataFrame, payments: DataFrame, customers: DataFrame
     The reference sums, for each order, the payments of all earlier orders of
     the customer with a triangular self join (all pairs within a customer).
     Here it is a running sum in order_id order (``prefix_scan``), equal for
-    distinct order ids and linear per customer.
+    distinct order ids and linear per customer. The scan and its checkpoint
+    see narrow rows only; what it finds goes back to the orders by their id,
+    by which they are partitioned already. The customer's columns come by one
+    join. For a customer id that occurs m times the reference's joins give m
+    rows an order and m * m times the payments; so does this.
     """
-    paid = paid_orders(orders, payments, customers)
-    firsts = customer_first_orders(orders, customers)
-
-    seq = prefix_scan(
-        paid, ["customer_id"], ["order_id"], sums={"_clv_cents": "_paid_cents"}, row_number="customer_sales_seq"
+    paid = paid_orders(orders, payments)
+    scanned = prefix_scan(
+        paid.select("order_id", "_dup", "customer_id", "_paid_cents"),
+        ["customer_id"],
+        ["order_id", "_dup"],
+        sums={"_clv_cents": "_paid_cents"},
+        row_number="_seq",
+    ).select("order_id", "_dup", "_seq", "_clv_cents")
+    wide = paid.join(scanned, ["order_id", "_dup"]).join(
+        customer_side(orders, customers), F.col("customer_id") == F.col("_cid"), "left"
     )
-    # The reference's self join matches no row for a NULL customer.
-    seq = seq.withColumn("_clv_cents", F.when(F.col("customer_id").isNotNull(), F.col("_clv_cents")))
-
-    with_first = seq.join(firsts, "customer_id", "left")
-    numbered = global_row_number(with_first, ["order_id"], out="transaction_seq")
-    return numbered.select(
+    same = F.coalesce("_same", F.lit(1))
+    rows = wide.select(
         "order_id",
         "customer_id",
         "order_placed_at",
         "order_status",
-        "total_amount_paid",
+        (F.col("_paid_cents") / F.lit(100.0)).alias("total_amount_paid"),
         "payment_finalized_date",
         "customer_first_name",
         "customer_last_name",
-        "transaction_seq",
-        "customer_sales_seq",
-        F.when(F.col("first_order_date") == F.col("order_placed_at"), "new").otherwise("return").alias("nvsr"),
-        (F.col("_clv_cents") / F.lit(100.0)).alias("customer_lifetime_value"),
-        F.col("first_order_date").alias("fdos"),
-    ).sortWithinPartitions("order_id")
-    # ORDER BY order_id without a second exchange: global_row_number left the
-    # rows range-partitioned on order_id (partitions in key order) and the
-    # broadcast join keeps that layout, so sorting inside partitions yields
-    # the global order.
+        ((F.col("_seq") - 1) * same + F.coalesce("_which", F.lit(1))).cast("long").alias("customer_sales_seq"),
+        F.when(F.col("fdos") == F.col("order_placed_at"), "new").otherwise("return").alias("nvsr"),
+        # The reference's self join matches no row for a NULL customer.
+        F.when(F.col("customer_id").isNotNull(), F.col("_clv_cents") * same * same / F.lit(100.0)).alias("customer_lifetime_value"),
+        "fdos",
+    )
+    numbered = global_row_number(rows, ["order_id", "customer_sales_seq"], out="transaction_seq")
+    # The rows are range-partitioned by order_id (in key order), so sorting
+    # inside partitions gives the global order without a further exchange.
+    return numbered.sortWithinPartitions("order_id", "customer_sales_seq")

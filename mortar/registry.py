@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .plans import customers as saas
 from .plans import orders as shop
 from .plans import data_tests as dt
-from .plans import search
+from .plans import history, monitoring, search
 from .operators.checks import run_checks
 from .operators.compare import compare_all_columns, compare_relations
 from .sources.sinks import materialize
@@ -170,7 +170,7 @@ def q_daily_metrics(spark, sf_dir):
 
 def q_customers_enriched(spark, sf_dir):
     c, subs, logins, t = _saas(spark, sf_dir)
-    return saas.customers_enriched(c, saas.daily_metrics(c, subs, logins, t, latest_only=True), as_of=AS_OF)
+    return saas.customers_enriched(c, saas.daily_metrics(c, subs, logins, t, latest_only=True), as_of=AS_OF, is_latest=True)
 
 
 # --------------------------------------------------------------------------- search
@@ -224,7 +224,7 @@ def _ticket_plans(spark, sf_dir):
 
 
 def q_audit_open_tickets(spark, sf_dir):
-    """Row-set comparison of the two plans (expected: every row in both)."""
+    """Row-set comparison of the two plans: they differ for a NULL customer, whom the full plan's joins never match."""
     return compare_relations(*_ticket_plans(spark, sf_dir))
 
 
@@ -233,6 +233,64 @@ def q_audit_open_tickets_columns(spark, sf_dir):
     return compare_all_columns(*_ticket_plans(spark, sf_dir), ["customer_id", "date"])
 
 
+def _order_sides(spark, sf_dir):
+    """Order status and first date from the order headers and from their lines.
+
+    Either side lacks some orders and some dates, and the two dates differ.
+    """
+    s = _src(spark, sf_dir)
+    k = F.col("o_orderkey")
+    headers = s["orders"].where(k % 17 != 1).select(
+        k.alias("order_id"),
+        F.col("o_orderstatus").alias("status"),
+        F.when(k % 19 != 2, F.col("o_orderdate").cast("date")).alias("first_date"),
+    )
+    lines = s["lineitem"].where(F.col("l_orderkey") % 13 != 1).groupBy(F.col("l_orderkey").alias("order_id")).agg(
+        F.min("l_linestatus").alias("_low"), F.max("l_linestatus").alias("_high"), F.min(F.col("l_shipdate").cast("date")).alias("_day")
+    )
+    return headers, lines.select(
+        "order_id",
+        F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise("P").alias("status"),
+        F.when(F.col("order_id") % 38 != 2, F.col("_day")).alias("first_date"),
+    )
+
+
+def q_audit_order_status(spark, sf_dir):
+    """Row-set comparison of order status by header and by lines."""
+    headers, lines = _order_sides(spark, sf_dir)
+    return compare_relations(headers, lines, exclude=["first_date"])
+
+
+def q_audit_order_status_columns(spark, sf_dir):
+    """Column comparison of order headers and lines: every outcome occurs."""
+    return compare_all_columns(*_order_sides(spark, sf_dir), ["order_id"])
+
+
+# --------------------------------------------------------------------------- history and monitoring
+
+_CHANGES = ("restaurant_id", "day", "seq", "cuisines")
+HISTORY_START, HISTORY_END, SNAPSHOT_DAY = "1992-01-01", "1999-01-01", "1995-06-30"
+MONITORED = ["total_arr", "num_logins", "open_tickets", "customer_risk_score"]
+
+
+def q_cuisine_validity(spark, sf_dir):
+    return history.validity_ranges(fx.cuisine_changes(_src(spark, sf_dir)), *_CHANGES)
+
+
+def q_cuisine_daily(spark, sf_dir):
+    return history.daily_grain(q_cuisine_validity(spark, sf_dir), "restaurant_id", "cuisines", HISTORY_START, HISTORY_END)
+
+
+def q_cuisine_snapshot(spark, sf_dir):
+    """One day's snapshot, written partitioned by its date and read back through a view."""
+    taken = history.snapshot(fx.cuisine_changes(_src(spark, sf_dir)), *_CHANGES, as_of=SNAPSHOT_DAY)
+    return materialize(materialize(taken, "cuisine_snapshot", partition_by=["snapshot_date"]), "cuisine_snapshot_view", kind="view")
+
+
+def q_daily_metrics_monitor(spark, sf_dir):
+    return monitoring.metrics_by_day(q_daily_metrics(spark, sf_dir), "date", MONITORED)
+
+
 # --------------------------------------------------------------------------- data tests
 
 
@@ -256,7 +314,8 @@ def q_tests_support_tickets(spark, sf_dir):
 
 
 def q_tests_daily_metrics(spark, sf_dir):
-    daily = materialize(q_daily_metrics(spark, sf_dir), "daily_metrics")
+    # only what the tests look at is written
+    daily = materialize(q_daily_metrics(spark, sf_dir).select("record_key", "customer_risk_score"), "daily_metrics")
     return run_checks(daily, dt.daily_metrics_tests())
 
 
@@ -283,7 +342,9 @@ def q_tests_restaurant_metrics(spark, sf_dir):
 
 
 def q_tests_cuisine_metrics(spark, sf_dir):
-    return run_checks(q_cuisine_metrics(spark, sf_dir), dt.cuisine_metrics_tests())
+    # one run of the pipeline, not one for each test
+    cuisines = materialize(q_cuisine_metrics(spark, sf_dir).select("cuisine"), "cuisine_metrics")
+    return run_checks(cuisines, dt.cuisine_metrics_tests())
 
 
 QUERIES: dict[str, Query] = {
@@ -319,6 +380,12 @@ QUERIES: dict[str, Query] = {
     "cuisine_metrics": q_cuisine_metrics,
     "audit_open_tickets": q_audit_open_tickets,
     "audit_open_tickets_columns": q_audit_open_tickets_columns,
+    "audit_order_status": q_audit_order_status,
+    "audit_order_status_columns": q_audit_order_status_columns,
+    "cuisine_validity": q_cuisine_validity,
+    "cuisine_daily": q_cuisine_daily,
+    "cuisine_snapshot": q_cuisine_snapshot,
+    "daily_metrics_monitor": q_daily_metrics_monitor,
     "tests_saas_customers": q_tests_saas_customers,
     "tests_subscriptions": q_tests_subscriptions,
     "tests_login_events": q_tests_login_events,

@@ -40,7 +40,7 @@ def _pick(index: Column, values: list[str]) -> Column:
 
 
 def shop_customers(src: Sources) -> DataFrame:
-    """jaffle_shop.customers(id, first_name, last_name)."""
+    """customers(id, first_name, last_name)."""
     c = src["customer"]
     return c.select(
         F.col("c_custkey").alias("id"),
@@ -50,7 +50,7 @@ def shop_customers(src: Sources) -> DataFrame:
 
 
 def shop_orders(src: Sources) -> DataFrame:
-    """jaffle_shop.orders(id, user_id, order_date, status)."""
+    """orders(id, user_id, order_date, status)."""
     o = src["orders"]
     k = F.col("o_orderkey")
     status = (
@@ -69,7 +69,7 @@ def shop_orders(src: Sources) -> DataFrame:
 
 
 def stripe_payments(src: Sources) -> DataFrame:
-    """stripe.payment(id, orderid, paymentmethod, status, amount, created); amount in cents."""
+    """payments(id, orderid, paymentmethod, status, amount, created); amount in cents."""
     li = src["lineitem"]
     cents = F.round(F.col("l_extendedprice") * 100).cast("long")
     pid = F.concat_ws(
@@ -95,15 +95,19 @@ def stripe_payments(src: Sources) -> DataFrame:
 
 
 def saas_customers(src: Sources) -> DataFrame:
-    """customers(customer_id, acquisition_date, region, industry)."""
+    """customers(customer_id, acquisition_date, region, industry).
+
+    Some rows have no id or no acquisition date.
+    """
     c = src["customer"]
+    k = F.col("c_custkey")
     seg = F.col("c_mktsegment")
     industry = (
         F.when(seg.isin("BUILDING", "MACHINERY"), "technology").when(seg == "AUTOMOBILE", "banking").otherwise("retail")
     )
     return c.select(
-        coded_id("cust", F.col("c_custkey") + 1).alias("customer_id"),
-        add_days(SAAS_EPOCH, (F.col("c_custkey") * 37) % 1000).alias("acquisition_date"),
+        F.when(k % 97 != 5, coded_id("cust", k + 1)).alias("customer_id"),
+        F.when(k % 89 != 7, add_days(SAAS_EPOCH, (k * 37) % 1000)).alias("acquisition_date"),
         _pick(F.col("c_nationkey") % 4, REGIONS).alias("region"),
         industry.alias("industry"),
     )
@@ -113,45 +117,55 @@ def saas_subscriptions(src: Sources) -> DataFrame:
     """subscriptions(customer_id, product_id, quantity, start_date, end_date, arr).
 
     One subscription per order; like the reference model, only rows with
-    ``end_date > start_date`` are kept.
+    ``end_date > start_date`` are kept, and some whose start is unknown. Some
+    have no product or customer, a quantity of 0 or an arr off the list.
     """
     o = src["orders"]
     k = F.col("o_orderkey")
     prio = F.col("o_orderpriority")
-    arr = F.when(prio == "1-URGENT", 999).when(prio == "2-HIGH", 1999).otherwise(4999)
-    start = add_days(SAAS_EPOCH, (k * 7919) % 1000)
+    arr = F.when(k % 73 == 6, 1234).when(prio == "1-URGENT", 999).when(prio == "2-HIGH", 1999).otherwise(4999)
+    start = F.when(k % 83 != 3, add_days(SAAS_EPOCH, (k * 7919) % 1000))
     end = add_days(SAAS_EPOCH, (k * 104729) % 1000 + 30 + (k * 31) % 730)
     subs = o.select(
-        coded_id("cust", F.col("o_custkey") + 1).alias("customer_id"),
-        coded_id("prod", k % 50 + 1, 4).alias("product_id"),
-        (k % 5 + 1).cast("int").alias("quantity"),
+        F.when(k % 103 != 8, coded_id("cust", F.col("o_custkey") + 1)).alias("customer_id"),
+        F.when(k % 79 != 4, coded_id("prod", k % 50 + 1, 4)).alias("product_id"),
+        F.when(k % 71 == 9, 0).otherwise(k % 5 + 1).cast("int").alias("quantity"),
         start.alias("start_date"),
         end.alias("end_date"),
         arr.cast("int").alias("arr"),
     )
-    return subs.where(F.col("end_date") > F.col("start_date"))
+    return subs.where((F.col("end_date") > F.col("start_date")) | F.col("start_date").isNull())
 
 
 def saas_login_events(src: Sources) -> DataFrame:
-    """login_events(user_id, customer_id, user_type, login_timestamp)."""
+    """login_events(user_id, customer_id, user_type, login_timestamp).
+
+    Some rows have no customer, no timestamp or a type off the list.
+    """
     e = src["events"]
-    et = F.col("event_type")
-    user_type = F.when(et == "signup", "admin").when(et.isin("purchase", "click"), "advanced").otherwise("standard")
+    et, n = F.col("event_type"), F.col("event_id")
+    user_type = (
+        F.when(n % 67 == 10, "guest").when(et == "signup", "admin").when(et.isin("purchase", "click"), "advanced").otherwise("standard")
+    )
     minutes = F.lit(-365 * 24 * 60) + (F.col("event_id") % 23) * (30 * 24 * 60)
     return e.select(
         coded_id("user", F.col("event_id") % 2000 + 1).alias("user_id"),
-        coded_id("cust", F.col("user_id") + 1).alias("customer_id"),
+        F.when(n % 61 != 11, coded_id("cust", F.col("user_id") + 1)).alias("customer_id"),
         user_type.alias("user_type"),
-        add_minutes(F.col("ts"), minutes).alias("login_timestamp"),
+        F.when(n % 59 != 12, add_minutes(F.col("ts"), minutes)).alias("login_timestamp"),
     )
 
 
 def saas_support_tickets(src: Sources) -> DataFrame:
-    """support_tickets(ticket_id, customer_id, status, created_date, ticket_category, closed_date)."""
+    """support_tickets(ticket_id, customer_id, status, created_date, ticket_category, closed_date).
+
+    Some rows repeat an id, have a status off the list, an unknown creation
+    date, no customer, or one that doesn't exist.
+    """
     o = src["orders"]
     k = F.col("o_orderkey")
     st = F.col("o_orderstatus")
-    status = F.when(st == "O", "open").when(st == "P", "on-hold").otherwise("closed")
+    status = F.when(k % 53 == 13, "lost").when(st == "O", "open").when(st == "P", "on-hold").otherwise("closed")
     prio = F.col("o_orderpriority")
     category = (
         F.when(prio == "1-URGENT", "incident")
@@ -162,11 +176,12 @@ def saas_support_tickets(src: Sources) -> DataFrame:
     base = F.lit(f"{SAAS_EPOCH} 00:00:00").cast("timestamp_ntz")
     created = add_minutes(base, (k * 7919) % 1000000)
     closed = F.when(status == "closed", add_minutes(created, 60 + (k * 31) % 10080))
+    customer = F.when(k % 47 == 14, F.lit("custnone")).when(k % 43 != 15, coded_id("cust", F.col("o_custkey") + 1))
     return o.select(
-        coded_id("ticket", k + 1).alias("ticket_id"),
-        coded_id("cust", F.col("o_custkey") + 1).alias("customer_id"),
+        coded_id("ticket", F.when(k % 41 == 16, k).otherwise(k + 1)).alias("ticket_id"),
+        customer.alias("customer_id"),
         status.alias("status"),
-        created.alias("created_date"),
+        F.when(k % 37 != 17, created).alias("created_date"),
         category.alias("ticket_category"),
         closed.alias("closed_date"),
     )
@@ -185,10 +200,11 @@ def _fixed(n: Column, decimals: int) -> Column:
 
 
 def search_export(src: Sources) -> DataFrame:
-    """hex_case_gsc_export(restaurant_id, domain, _updated_at, _created_at, status, data).
+    """Search exports (restaurant_id, domain, _updated_at, _created_at, status, data).
 
     One restaurant per part brand; each export document carries the search
-    rows of up to EXPORT_CHUNK consecutive parts of that brand.
+    rows of up to EXPORT_CHUNK consecutive parts of that brand. Some rows have
+    their clicks as a JSON string.
     """
     p = src["part"]
     k = F.col("p_partkey")
@@ -203,7 +219,8 @@ def search_export(src: Sources) -> DataFrame:
     ctr_bp = ((clicks * 20000 + impressions) - (clicks * 20000 + impressions) % (impressions * 2)) / (impressions * 2)
     position = (k * 7) % 300 + 10
     fragment = F.concat(
-        F.lit('{"keys":["'), term, F.lit('"],"clicks":'), clicks.cast("string"),
+        F.lit('{"keys":["'), term, F.lit('"],"clicks":'),
+        F.when(k % 11 == 3, F.concat(F.lit('"'), clicks.cast("string"), F.lit('"'))).otherwise(clicks.cast("string")),
         F.lit(',"impressions":'), impressions.cast("string"),
         F.lit(',"ctr":'), _fixed(ctr_bp.cast("long"), 4),
         F.lit(',"position":'), _fixed(position, 1), F.lit("}"),
@@ -231,8 +248,21 @@ def search_export(src: Sources) -> DataFrame:
     )
 
 
+def cuisine_changes(src: Sources) -> DataFrame:
+    """Change events (restaurant_id, day, seq, cuisines): one for each order; ``seq`` orders those of a day."""
+    o = src["orders"]
+    k = F.col("o_orderkey")
+    n = (k * 31 + F.length("o_orderpriority")) % 5
+    cuisines = (
+        F.when(n == 0, F.lit('["Italian"]')).when(n == 1, F.lit('["Thai"]')).when(n == 2, F.lit('["Mexican","Thai"]')).when(n == 3, F.lit("[]"))
+    )
+    return o.select(
+        (F.col("o_custkey") % 40 + 10).cast("int").alias("restaurant_id"), F.col("o_orderdate").cast("date").alias("day"), k.alias("seq"), cuisines.alias("cuisines")
+    )
+
+
 def cuisine_export(src: Sources) -> DataFrame:
-    """hex_brand_cuisine_export(restaurant_id, cuisines JSON list), one row per brand."""
+    """Cuisines (restaurant_id, cuisines JSON list), one row per brand."""
     p = src["part"]
     brands = p.select(F.split_part("p_brand", F.lit("#"), F.lit(2)).cast("int").alias("restaurant_id")).distinct()
     n = F.col("restaurant_id")

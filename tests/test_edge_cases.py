@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mortar import oracle
-from mortar.operators import checks
+from mortar.operators import checks, text
 from mortar.plans import customers as saas
 from mortar.plans import examples, orders as shop, search
 from mortar.verify import compare
@@ -40,6 +40,8 @@ def saas_tables(spark):
             ("cust000001", D(2023, 6, 1), "east", "technology"),  # repeated id, later date
             ("cust000002", D(2025, 1, 5), "west", "retail"),  # acquired after the spine: no days
             ("cust000003", D(2022, 12, 1), "north", "banking"),  # acquired before the spine
+            (None, D(2024, 6, 1), "north", "banking"),  # no id: days, but nothing joins
+            ("cust000004", None, "north", "banking"),  # no acquisition date: no days
         ],
         "customer_id string, acquisition_date date, region string, industry string",
     )
@@ -52,6 +54,8 @@ def saas_tables(spark):
             ("cust000003", "prod0004", 1, D(2022, 1, 1), D(2023, 1, 15), 999),  # ends early in the spine
             ("cust000003", "prod0004", 1, D(2024, 12, 1), D(2025, 3, 1), 999),  # ends after the spine
             ("cust000009", "prod0001", 1, D(2023, 1, 1), D(2024, 1, 1), 999),  # unknown customer
+            ("cust000001", "prod0009", 1, None, D(2024, 1, 1), 999),  # no start: never active
+            (None, "prod0001", 1, D(2023, 1, 1), D(2024, 12, 1), 999),  # no customer
         ],
         "customer_id string, product_id string, quantity int, start_date date, end_date date, arr int",
     )
@@ -75,6 +79,8 @@ def saas_tables(spark):
             ("t4", "cust000001", "on-hold", TS(2023, 3, 5, 8), "feature request", TS(2023, 3, 6, 8)),  # not closed
             ("t5", "cust000001", "closed", TS(2023, 1, 10, 8), "bug", TS(2023, 3, 20, 8)),  # before acquisition
             ("t6", "cust000003", "closed", TS(2023, 5, 1, 8), "bug", TS(2025, 2, 1, 8)),  # closes after the spine
+            ("t7", "cust000001", "open", None, "bug", None),  # no creation date: never open
+            ("t8", None, "open", TS(2024, 7, 1, 8), "bug", None),  # no customer
             *[(f"a{i}", "cust000003", "open", TS(2023, 1, 1 + i, 8), "bug", None) for i in range(5)],  # aging
         ],
         "ticket_id string, customer_id string, status string, created_date timestamp_ntz, "
@@ -234,19 +240,30 @@ def test_search_edge_rows(spark):
     assert {r["cuisine"] for r in cm.collect()} == {"Italian", "Thai"}  # trimmed; empty list drops
 
 
-def test_malformed_and_empty_json(spark):
+EXPORT = "restaurant_id int, domain string, _updated_at timestamp_ntz, _created_at timestamp_ntz, status string, data string"
+
+
+def test_malformed_json_fails_and_can_be_told_beforehand(spark):
     export = spark.createDataFrame(
         [
             (1, "www.a.com", None, None, "ok", "{not json"),
             (2, "www.b.com", None, None, "ok", None),
             (3, "www.c.com", None, None, "ok", '{"rows":[{"keys":[],"clicks":1,"impressions":2,"ctr":0.5,"position":1}]}'),
+            (4, "www.d.com", None, None, "ok", '{"rows":[{"keys":["x"],"clicks":"3","impressions":"2","ctr":"0.5","position":"1.25"}]}'),
+            (5, "www.e.com", None, None, "ok", '{"other":1}'),
         ],
-        "restaurant_id int, domain string, _updated_at timestamp_ntz, _created_at timestamp_ntz, status string, data string",
+        EXPORT,
     )
-    terms = search.search_terms(search.stg_search_export(export)).collect()
-    assert len(terms) == 1
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        search.search_terms(search.stg_search_export(export)).collect()
+    bad = export.where(text.malformed_json("data"))
+    assert [r["restaurant_id"] for r in bad.collect()] == [1]
+    good = export.where(~text.malformed_json("data"))
+    terms = sorted(search.search_terms(search.stg_search_export(good)).collect(), key=lambda r: r["restaurant_id"])
+    assert [r["restaurant_id"] for r in terms] == [3, 4]
     assert terms[0]["search_term"] is None  # keys[0] of an empty list
     assert terms[0]["search_type"] == "Unbranded" and terms[0]["brand_similarity_score"] is None
+    assert (terms[1]["clicks"], terms[1]["impressions"], terms[1]["ctr"], terms[1]["avg_position"]) == (3, 2, 0.5, 1.25)
 
 
 # --------------------------------------------------------------------------- examples and checks
@@ -261,3 +278,59 @@ def test_example_models_and_checks(spark):
     assert summary[("not_null", "id")] == 1  # the NULL id is reported, as designed
     assert summary[("unique", "id")] == 0
     assert checks.check_not_null(first, "id").count() == 1
+
+
+def test_repeated_customer_multiplies_orders_as_the_joins_do(spark):
+    customers = spark.createDataFrame([(1, "A", "One"), (1, "A", "One"), (2, "B", "Two")], "id long, first_name string, last_name string")
+    orders = spark.createDataFrame(
+        [(10, 1, D(2020, 1, 1), "completed"), (11, 2, D(2020, 1, 1), "placed"), (12, 1, D(2020, 2, 1), "returned")],
+        "id long, user_id long, order_date date, status string",
+    )
+    payments = spark.createDataFrame(
+        [("p1", 10, "coupon", "success", 1000, D(2020, 1, 2)), ("p2", 12, "coupon", "success", 50, D(2020, 1, 2))],
+        "id string, orderid long, paymentmethod string, status string, amount long, created date",
+    )
+    con = _duck_tables(spark, {"shop_customers": customers, "shop_orders": orders, "stripe_payments": payments})
+    got = shop.customer_orders(orders, payments, customers)
+    seqs = ["transaction_seq", "customer_sales_seq"]
+    # the two rows of an order are equal but for their numbers, which may be dealt either way
+    sql = oracle.shop_on_tables(oracle.CUSTOMER_ORDERS)
+    res = compare(got.drop(*seqs), f"select * exclude ({', '.join(seqs)}) from ({sql}) t", con)
+    assert res["exact"] and res["spark_rows"] == 5, res
+    for s in seqs:
+        res = compare(got.select("order_id", s), f"select order_id, {s} from ({sql}) t", con)
+        assert res["exact"], res
+
+
+def test_ratios_are_exact_above_doubles(spark):
+    from mortar.functions.columns import cents_to_dollars, idiv, round_ratio_units
+
+    big = (1 << 53) + 1
+    row = spark.createDataFrame([(big, 1)], "a long, b long").select(
+        idiv(F.col("a"), F.col("b")).alias("q"),
+        round_ratio_units(F.col("a") - 1, F.col("a") - 1, 2).alias("r"),
+        cents_to_dollars(F.lit(1999), 4).alias("d"),
+        cents_to_dollars(F.lit(1999), 1).alias("e"),
+    ).first()
+    assert (row["q"], row["r"], row["d"], row["e"]) == (big, 100, 19.99, 20.0)
+
+
+def test_compare_tells_differing_missing_and_null_rows(spark):
+    from mortar.operators.compare import compare_all_columns, compare_relations
+
+    a = spark.createDataFrame([(1, "x"), (2, "y"), (3, None), (4, "z")], "id int, v string")
+    b = spark.createDataFrame([(1, "x"), (2, "w"), (3, None), (5, "z")], "id int, v string")
+    counts = {(r["in_a"], r["in_b"]): r["count"] for r in compare_relations(a, b).collect()}
+    assert counts == {(True, True): 2, (True, False): 2, (False, True): 2}
+    r = compare_all_columns(a, b, ["id"]).first()
+    assert (r["perfect_match"], r["null_in_both"], r["conflicting"], r["missing_from_a"], r["missing_from_b"]) == (1, 1, 1, 1, 1)
+
+
+def test_every_kind_of_check_counts_failures(spark):
+    df = spark.createDataFrame([(1, "a", 5), (1, "b", -1), (None, "q", None), (3, "q", 2)], "id int, kind string, n int")
+    parent = spark.createDataFrame([(1,)], "pid int")
+    spec = checks.Tests(
+        not_null=["id"], unique=["id"], accepted={"kind": ["a", "b"]}, expressions={"n > 0": ("n", F.col("n") > 0)}, relationships={"id": (parent, "pid")}
+    )
+    got = {(r["test"], r["column_name"]): r["failures"] for r in checks.run_checks(df, spec).collect()}
+    assert got == {("not_null", "id"): 1, ("unique", "id"): 1, ("accepted_values", "kind"): 1, ("n > 0", "n"): 1, ("relationships", "id"): 1}
