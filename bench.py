@@ -15,7 +15,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from mortar.registry import QUERIES  # noqa: E402
-from mortar.session import get_session  # noqa: E402
+from mortar.session import get_session, remove_scratch  # noqa: E402
 
 HEADLINE = [
     "dim_customers",
@@ -33,7 +33,9 @@ EXTRA = ["open_tickets_daily", "active_subscriptions", "search_terms"]
 def run(spark, name: str, sf_dir: str) -> float:
     t0 = time.perf_counter()
     QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - t0
+    took = time.perf_counter() - t0
+    remove_scratch(spark)
+    return took
 
 
 def main() -> None:

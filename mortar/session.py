@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -76,3 +77,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="mortar-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+_scratch: list[str] = []
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder name under the shared checkpoint folder, remembered for ``remove_scratch``."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Delete what this process wrote to scratch folders; returns how many there were.
+
+    Call it when results that read them are written. DataFrames built before can't be used
+    afterwards.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    while _scratch:
+        path = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        removed += bool(path.getFileSystem(conf).delete(path, True))
+    return removed

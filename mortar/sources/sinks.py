@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 
-from ..session import checkpoint_dir
+from ..session import scratch_path
 
 
 def materialize(
@@ -22,7 +20,8 @@ def materialize(
     kind="view": a temporary view, nothing written.
     kind="scratch": Parquet under the shared ``spark.checkpoint.dir`` (or
     ``path``); used where a result is read more than once, so it is computed
-    once, survives executor loss and cuts the lineage.
+    once, survives executor loss and cuts the lineage. ``session.remove_scratch``
+    deletes these folders when their readers are done.
     """
     spark = df.sparkSession
     if kind == "view":
@@ -36,6 +35,6 @@ def materialize(
         return spark.table(name)
     if kind != "scratch":
         raise ValueError(f"unknown materialization {kind!r}")
-    target = path or f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    target = path or scratch_path(spark, name)
     writer.parquet(target)
     return spark.read.parquet(target)
