@@ -74,8 +74,7 @@ def prefix_scan(
         local = local.withColumn(f"_mortar_s_{out}", F.sum(src).over(running))
     local = _once(local)
 
-    # Totals per (key, slice); the checkpointed window output keeps its
-    # clustering on (keys, slice), so this aggregation adds no exchange.
+    # Totals per (key, slice), over the checkpointed rows of the window above.
     totals = local.groupBy(*slice_keys).agg(
         F.max(rn_col).alias("_mortar_n"), *[F.sum(src).alias(f"_mortar_t_{out}") for out, src in sums.items()]
     )
