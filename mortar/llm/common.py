@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import sys
 import types
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -12,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import scratch_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -28,8 +27,10 @@ def write_scratch(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage with a table that every executor can read again.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, f"llm-{name}")
     df.write.parquet(path)
+    # the step is over: lets Spark's cleaner drop its shuffle files now, not at some later time
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

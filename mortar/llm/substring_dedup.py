@@ -178,61 +178,149 @@ def first_level(keyed: DataFrame, length: int, window: int) -> DataFrame:
     return keyed.mapInArrow(anchors, schema)
 
 
+class Survivors:
+    """Full windows of a batch of working texts whose anchor is repeated."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        self.numbers = batch.column("_row").to_numpy()
+        self.texts = batch.column("_text").cast(pa.large_binary()).to_pylist()
+        self.often = [np.asarray(x, dtype=np.int64) for x in batch.column("hashes").to_numpy(zero_copy_only=False)]
+
+    def starts(self, unit: Unit, length: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Their places, the places of their anchors, and the hashes of these."""
+        at, h = unit.anchors(length, window)
+        starts = np.flatnonzero(unit.starts)
+        row = unit.origin(starts)[0]
+        anchor = h[at[starts]].view(np.int64)
+        cuts = np.searchsorted(row, np.arange(len(self.texts) + 1))
+        alive = [np.isin(anchor[a:b], self.often[i]) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
+        keep = np.concatenate(alive) if alive else np.zeros(0, dtype=bool)
+        return starts[keep], at[starts[keep]], anchor[keep]
+
+
+def full_hashes(unit: Unit, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent hashes of every full window; the second is cut to 32 bits."""
+    other = window_hashes(unit.words * np.uint64(0xD6E8FEB86659FD93) ^ (unit.words >> np.uint64(31)), window)
+    return window_hashes(unit.words, window), other >> np.uint64(32)
+
+
 def next_level(working: DataFrame, shorter: int, length: int, window: int) -> DataFrame:
-    """For full windows whose anchor of the shorter length is repeated: (row, place, hash) of their next anchors.
+    """(row, hash) of the anchors of the doubled length, for full windows whose shorter anchor is repeated."""
+
+    def extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = word_hashes()
+        for batch in batches:
+            known = Survivors(batch)
+            for unit in units(known.texts, window, cache):
+                starts, _, _ = known.starts(unit, shorter, window)
+                if len(starts):
+                    at, h = unit.anchors(length, window)
+                    places = np.unique(at[starts])
+                    row, _ = unit.origin(places)
+                    yield pa.RecordBatch.from_arrays([pa.array(known.numbers[row]), pa.array(h[places].view(np.int64))], names=["_row", "hash"])
+
+    return working.select("_row", "_text", "hashes").mapInArrow(extended, "_row long, hash long")
+
+
+def contexts_of(working: DataFrame, length: int, window: int) -> DataFrame:
+    """A row for each repeated anchor: the ``n`` full windows from ``start`` on that it stands for, as one hash.
 
-    At the full length a window is its own anchor, and ``check`` is a second hash of it.
+    ``context`` and ``check`` are 96 bits of all these windows and of where the anchor lies in them.
     """
-    schema = "_row long, place long, hash long, check int"
 
-    def extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = word_hashes()
         for batch in batches:
-            texts = batch.column("_text").cast(pa.large_binary()).to_pylist()
-            numbers = batch.column("_row").to_numpy()
-            often = [np.asarray(x, dtype=np.int64) for x in batch.column("hashes").to_numpy(zero_copy_only=False)]
-            for unit in units(texts, window, cache):
-                at, h = unit.anchors(shorter, window)
-                starts = np.flatnonzero(unit.starts)
-                row = unit.origin(starts)[0]
-                anchor = h[at[starts]].view(np.int64)
-                cuts = np.searchsorted(row, np.arange(len(texts) + 1))
-                alive = [np.isin(anchor[a:b], often[i]) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
-                starts = starts[np.concatenate(alive)] if alive else starts[:0]
+            known = Survivors(batch)
+            for unit in units(known.texts, window, cache):
+                starts, at, anchor = known.starts(unit, length, window)
                 if not len(starts):
                     continue
-                if length < window:
-                    at, h = unit.anchors(length, window)
-                    starts = np.unique(at[starts])
-                    check = np.zeros(len(starts), dtype=np.int32)
-                else:
-                    h = window_hashes(unit.words, length)
-                    other = window_hashes(unit.words * np.uint64(0xD6E8FEB86659FD93) ^ (unit.words >> np.uint64(31)), length)
-                    check = (other[starts] >> np.uint64(32)).astype(np.uint32).view(np.int32)
-                row, place = unit.origin(starts)
+                first = np.flatnonzero(np.concatenate([[True], (np.diff(at) != 0) | (np.diff(starts) != 1)]))
+                h, other = full_hashes(unit, window)
+                shift = (at - starts).astype(np.uint64) + np.uint64(1)
+                context = np.add.reduceat(mix(h[starts], shift * np.uint64(0x9FB21C651E98DF25)), first)
+                check = np.add.reduceat(mix(other[starts], shift), first) >> np.uint64(32)
+                row, place = unit.origin(starts[first])
+                n = np.diff(np.append(first, len(starts)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(numbers[row]), pa.array(place), pa.array(h[starts].view(np.int64)), pa.array(check)], names=["_row", "place", "hash", "check"]
+                    [pa.array(known.numbers[row]), pa.array(place), pa.array(n), pa.array(anchor[first]), pa.array(context.view(np.int64)), pa.array(check.astype(np.uint32).view(np.int32))],
+                    names=["_row", "start", "n", "hash", "context", "check"],
                 )
 
-    return working.select("_row", "_text", "hashes").mapInArrow(extended, schema)
+    return working.select("_row", "_text", "hashes").mapInArrow(gathered, "_row long, start long, n long, hash long, context long, check int")
+
+
+def windows_of(working: DataFrame, window: int) -> DataFrame:
+    """Single full windows of the contexts listed in ``todo``: (row, place, occurs, hash, check)."""
+
+    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = word_hashes()
+        for batch in batches:
+            numbers = batch.column("_row").to_numpy()
+            texts = batch.column("_text").cast(pa.large_binary()).to_pylist()
+            todo = [sorted((c["start"], c["n"], c["occurs"]) for c in r) for r in batch.column("todo").to_pylist()]
+            for unit in units(texts, window, cache):
+                starts = np.flatnonzero(unit.starts)
+                row, place = unit.origin(starts)
+                cuts = np.searchsorted(row, np.arange(len(texts) + 1))
+                occurs = np.zeros(len(starts), dtype=np.int64)
+                for i, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
+                    if b > a:
+                        begin, n, times = np.array(todo[i], dtype=np.int64).T
+                        last = np.searchsorted(begin, place[a:b], side="right") - 1
+                        inside = (last >= 0) & (place[a:b] < (begin + n)[np.maximum(last, 0)])
+                        occurs[a:b] = np.where(inside, times[np.maximum(last, 0)], 0)
+                pick = np.flatnonzero(occurs)
+                if len(pick):
+                    h, other = full_hashes(unit, window)
+                    at = starts[pick]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(numbers[row[pick]]), pa.array(place[pick]), pa.array(occurs[pick]), pa.array(h[at].view(np.int64)), pa.array(other[at].astype(np.uint32).view(np.int32))],
+                        names=["_row", "start", "occurs", "hash", "check"],
+                    )
+
+    return working.select("_row", "_text", "todo").mapInArrow(single, "_row long, start long, occurs long, hash long, check int")
+
+
+def repeated_windows(working: DataFrame, level: DataFrame, length: int, window: int) -> DataFrame:
+    """Runs (row, start, n) of full windows that start anywhere else too.
+
+    The windows of an anchor are compared as a whole first: most repeats, those inside copied
+    passages, are settled by one row. Only contexts that occur once, at the rims of passages,
+    are taken apart, against one representative of each distinct context with the same anchor.
+    """
+    found = write_scratch(contexts_of(level, length, window), "contexts")
+    keys = ["hash", "context", "check"]
+    each = found.groupBy(*keys).agg(F.count(F.lit(1)).alias("occurs"), F.min(F.struct("_row", "start", "n")).alias("_first"))
+    each = write_scratch(each, "distinct-contexts")
+    settled = found.join(each.where("occurs > 1").select(*keys), keys, "left_semi").select("_row", "start", "n")
+
+    open_ = each.groupBy("hash").agg(F.count(F.lit(1)).alias("_m"), F.min("occurs").alias("_least")).where("_m > 1 and _least = 1").select("hash")
+    todo = each.join(open_, "hash", "left_semi").select("_first.*", "occurs")
+    todo = todo.groupBy("_row").agg(F.collect_list(F.struct("start", "n", "occurs")).alias("todo"))
+    windows = write_scratch(windows_of(working.drop("hashes").join(todo, "_row"), window), "rims")
+    often = windows.groupBy("hash", "check").agg(F.sum("occurs").alias("_n")).where("_n > 1").drop("_n")
+    rims = windows.where("occurs = 1").join(often, ["hash", "check"], "left_semi").select("_row", "start", F.lit(1).cast("long").alias("n"))
+    return settled.unionByName(rims)
 
 
 def remove_windows(working: DataFrame, window: int) -> DataFrame:
-    """Remove the words that the windows beginning at ``starts`` cover."""
+    """Remove the words that the windows of the runs in ``runs`` cover."""
 
     def removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("_text").cast(pa.large_binary()).to_pylist()
-            begins = batch.column("starts").to_numpy(zero_copy_only=False)
+            runs = batch.column("runs").to_pylist()
             gone, kept_texts, shas = [], [], []
-            for text, starts in zip(texts, begins):
-                starts = np.unique(np.asarray(starts, dtype=np.int64))
+            for text, listed in zip(texts, runs):
+                begin, n_windows = np.array(sorted((r["start"], r["n"]) for r in listed), dtype=np.int64).T
+                end = np.maximum.accumulate(begin + n_windows - 1 + window)  # the words before it are covered
                 kept, n = [], 0
                 for at, words in word_blocks(text, 0):
-                    # a place is covered if a window begins at most window - 1 before it
                     place = np.arange(at, at + len(words))
-                    last = np.searchsorted(starts, place, side="right") - 1
-                    free = (last < 0) | (place - starts[np.maximum(last, 0)] >= window)
+                    last = np.searchsorted(begin, place, side="right") - 1
+                    free = (last < 0) | (place >= end[np.maximum(last, 0)])
                     kept += [words[i] for i in np.flatnonzero(free).tolist()]
                     n += len(words)
                 out = b" ".join(kept)
@@ -243,7 +331,7 @@ def remove_windows(working: DataFrame, window: int) -> DataFrame:
                 [batch.column("_k"), batch.column("_l"), pa.array(gone, pa.int64()), pa.array(kept_texts, pa.string()), pa.array(shas)], names=["_k", "_l", "n_removed", "kept", "sha_kept"]
             )
 
-    return working.select("_k", "_l", "_text", "starts").mapInArrow(removed, "_k long, _l long, n_removed long, kept string, sha_kept string")
+    return working.select("_k", "_l", "_text", "runs").mapInArrow(removed, "_k long, _l long, n_removed long, kept string, sha_kept string")
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, halvings: int = HALVINGS) -> DataFrame:
@@ -254,7 +342,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shorter window in it with the least hash: equal windows have equal anchors, so a window
     whose anchor occurs at one place only is unique and goes no further. Only full windows
     whose anchor is repeated are looked at with the doubled length, until the full length
-    decides, by 96 bits of two hashes. Neighbouring windows share anchors, so the first level
+    decides, by 96 bits of two hashes (see ``repeated_windows``). Neighbouring windows share anchors, so the first level
     moves about one row for fourteen words. Texts move once, those with a
     repeated anchor are kept as a written table for the further levels.
 
@@ -274,17 +362,17 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = write_scratch(first_level(keyed, lengths[0], window), "windows")
     anchors = first.select("_k", F.explode("hashes").alias("hash"))
     # texts of one key share their hashes: at worst a window too many is looked at again
-    alive = repeated(anchors, ["hash"]).groupBy("_k").agg(F.collect_list("hash").alias("hashes"))
+    alive = repeated(anchors, ["hash"]).groupBy("_k").agg(F.collect_set("hash").alias("hashes"))
     working = keyed.drop("_id").join(alive, "_k").withColumn("_row", F.monotonically_increasing_id())
     working = write_scratch(working, "working")
 
     level = working
-    for shorter, length in zip(lengths, lengths[1:] or lengths):
-        found = repeated(write_scratch(next_level(level, shorter, length, window), "windows"), ["hash", "check"])
-        if length < window:
-            level = working.drop("hashes").join(found.groupBy("_row").agg(F.collect_list("hash").alias("hashes")), "_row")
-    starts = found.groupBy("_row").agg(F.collect_list("place").alias("starts"))
-    removed = remove_windows(working.join(starts, "_row"), window).dropDuplicates(["_k", "_l"])
+    for shorter, length in zip(lengths, lengths[1:-1]):
+        found = repeated(write_scratch(next_level(level, shorter, length, window), "windows"), ["hash"])
+        level = working.drop("hashes").join(found.groupBy("_row").agg(F.collect_set("hash").alias("hashes")), "_row")
+    runs = repeated_windows(working, level, lengths[-2] if len(lengths) > 1 else window, window)
+    runs = runs.groupBy("_row").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
+    removed = remove_windows(working.join(runs, "_row"), window).dropDuplicates(["_k", "_l"])
     return first.join(removed, ["_k", "_l"], "left").select(
         F.col("_id").alias(id_col),
         "n_words",
