@@ -16,11 +16,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_or_empty, worker_cache
+from .common import slices, text_or_empty, worker_cache
 
 LEAF_CHARS = 16_384
 SEGMENT_CHARS = 1 << 20
@@ -175,11 +176,12 @@ def encode(docs: DataFrame, path: str, pattern: str, id_cols: list[str], text_co
     keys = [f"_k{i}" for i in range(len(id_cols))]
     rows = docs.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(id_cols, keys)], text.alias("_text"))
 
-    @F.pandas_udf(T.BinaryType())
-    def encode_short(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def encode_short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, pattern).encode_ordinary
-        for texts in batches:
-            yield pd.Series([to_row(reduce_tree(t, enc, leaf_chars))[0] for t in texts], dtype=object)
+        for batch in batches:
+            for part in slices(batch, "_text"):
+                ids = [to_row(reduce_tree(t.as_py(), enc, leaf_chars))[0] for t in part.column("_text")]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(ids, pa.binary())], names=[*keys, "ids"])
 
     @F.pandas_udf(PIECE)
     def encode_segment(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -196,7 +198,8 @@ def encode(docs: DataFrame, path: str, pattern: str, id_cols: list[str], text_co
             out[name] = [value]
         return out
 
-    short = rows.where(F.length("_text") <= segment_chars).select(*keys, encode_short("_text").alias("ids"))
+    short = rows.where(F.length("_text") <= segment_chars)
+    short = short.mapInArrow(encode_short, T.StructType([*short.schema.fields[:-1], T.StructField("ids", T.BinaryType())]))
     # rows that repeat ids and text are told apart, so that their segments don't mix
     long = rows.where(F.length("_text") > segment_chars).withColumn("_same", F.monotonically_increasing_id())
     parts = F.regexp_extract_all("_text", F.lit(f"(?s).{{1,{segment_chars}}}"), F.lit(0))
@@ -219,18 +222,20 @@ def encode(docs: DataFrame, path: str, pattern: str, id_cols: list[str], text_co
     return both.select(*[F.col(k).alias(c) for k, c in zip(keys, id_cols)], "ids")
 
 
-def decode(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
-    """Add ``decoded`` (binary): the bytes of the tokens, concatenated up the tree."""
+def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
+    """Add ``decoded`` (binary): the bytes of the tokens, concatenated up the tree; no ids give no bytes."""
 
-    @F.pandas_udf(T.BinaryType())
-    def to_bytes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def tokens_of_rank() -> np.ndarray:
         cache, key = worker_cache(), ("tokens", path)
         if key not in cache:
             ranks = load_ranks(path)
             cache[key] = np.empty(max(ranks.values()) + 1, dtype=object)
             for token, rank in ranks.items():
                 cache[key][rank] = token
-        tokens = cache[key]
+        return cache[key]
+
+    def to_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = tokens_of_rank()
 
         def up(ids: np.ndarray) -> bytes:
             if len(ids) <= LEAF_CHARS:
@@ -238,7 +243,10 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids") ->
             half = len(ids) // 2
             return up(ids[:half]) + up(ids[half:])
 
-        for ids in batches:
-            yield pd.Series([up(np.frombuffer(x, dtype="<u4")) for x in ids], dtype=object)
+        for batch in batches:
+            for part in slices(batch, ids_col):
+                decoded = [up(np.frombuffer(x.as_py(), dtype="<u4")) for x in part.column(ids_col)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(decoded, pa.binary())], names=[*part.schema.names, "decoded"])
 
-    return encoded.withColumn("decoded", to_bytes(F.col(f"`{ids_col}`")))
+    rest = encoded.drop("decoded")
+    return rest.mapInArrow(to_bytes, T.StructType([*rest.schema.fields, T.StructField("decoded", T.BinaryType())]))

@@ -88,7 +88,7 @@ def op4_byte_bpe(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = table(spark, sf_dir, "documents")
     ids = bpe.encode(docs, path, public_tokenizers.PATTERN, ["doc_id"])
-    return bpe.decode(ids, path, public_tokenizers.PATTERN).select(
+    return bpe.decode(ids, path).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
