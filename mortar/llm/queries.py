@@ -98,7 +98,7 @@ def op4_byte_bpe(spark, sf_dir):
 
 def op5_token_files(spark, sf_dir):
     path = public_tokenizers.path("word_bpe_49k.json")
-    folder = token_files.write_token_files(table(spark, sf_dir, "documents"), path, vocabulary=49408, end_id=1)
+    folder = token_files.write_token_files(table(spark, sf_dir, "documents"), path, vocabulary=49408, end_id=1, words=True)
     return token_files.read_token_index(spark, folder).withColumnRenamed("ids_digest", "ids_crc32")
 
 

@@ -15,7 +15,6 @@ starts, so a block is unpacked in one vectorised step and one document by its ow
 
 from __future__ import annotations
 
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -26,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import checkpoint_dir
+from ..session import scratch_path
 from .common import text_or_empty
 from .tokens import encode_text, pieces_of
 
@@ -86,10 +85,12 @@ def write_token_files(
     id_col: str = "doc_id",
     text_col: str = "text",
     block_ids: int = BLOCK_IDS,
+    words: bool | None = None,
 ) -> str:
     """Encode whole texts and write them in ascending order of ``id_col``; returns the folder.
 
-    The folder lies in the shared checkpoint folder unless ``path`` names one. Documents are
+    The folder lies in the shared checkpoint folder unless ``path`` names one. ``words``
+    tells the kind of vocabulary (see ``tokens.pieces_of``). Documents are
     range-partitioned by (id, text hash), so repeated ids spread as well; each task encodes
     its range in order and cuts blocks of about ``block_ids`` ids, whole documents each.
     Defined results: a null text is empty and has the end id alone (nothing without one);
@@ -97,13 +98,13 @@ def write_token_files(
     text; an empty table gives a folder without blocks.
     """
     spark = docs.sparkSession
-    path = path or f"{checkpoint_dir(spark).rstrip('/')}/llm-tokens-{uuid.uuid4().hex}"
+    path = path or scratch_path(spark, "llm-tokens")
     width = width_of(vocabulary)
     schema = block_schema(docs.schema[id_col].dataType)
     end = b"" if end_id is None else np.array([end_id], dtype="<u4").tobytes()
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, arrow = pieces_of(tokenizer_path), None
+        pieces, arrow = pieces_of(tokenizer_path, words), None
         part, block, first = TaskContext.get().partitionId(), 0, 0
         ids: list[bytes] = []
         names: list = []

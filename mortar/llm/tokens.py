@@ -8,6 +8,8 @@ its words, and the ids of a text are the ids of its pieces in order.
 from __future__ import annotations
 
 import re
+import unicodedata
+from array import array
 
 import numpy as np
 
@@ -21,20 +23,85 @@ MOST_PIECES = 300_000
 LONGEST_PIECE = 64
 
 
+def byte_characters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: its own if it can be printed, else the next free one from U+0100."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = iter(range(0x100, 0x200))
+    return [chr(b if b in shown else next(rest)) for b in range(256)]
+
+
+def latin_classes() -> tuple[str, str]:
+    """Letters and numbers below U+0250, as the inside of a character class each."""
+    points = [chr(i) for i in range(0x21, 0x250)]
+    kinds = [unicodedata.category(c)[0] for c in points]
+    return tuple(re.escape("".join(c for c, k in zip(points, kinds) if k == kind)) for kind in "LN")
+
+
+class Latin:
+    """Ids of a Latin word by the merges of a vocabulary alone; None for what needs the whole tokenizer.
+
+    For characters below U+0250 without white space or apostrophe, the split patterns cut runs
+    of letters, of numbers and of what is left. A word vocabulary lower-cases, takes numbers
+    singly and drops white space; composed characters need no normalising. In a byte vocabulary
+    one space goes with what follows it, and one line end before a word stands alone.
+    """
+
+    def __init__(self, tokenizer, words: bool):
+        self.words, self.tokenize = words, tokenizer.model.tokenize
+        letters, numbers = latin_classes()
+        one = "" if words else "+"
+        self.plain = re.compile("[!-&(-~¡-ɏ]+").fullmatch
+        self.split = re.compile(f"[{letters}]+|[{numbers}]{one}|[^{letters}{numbers}]+").findall
+        self.shown = byte_characters()
+
+    def part_ids(self, part: str) -> list[int]:
+        if part.isascii():  # printed characters stand for themselves
+            return [t.id for t in self.tokenize(part.replace(" ", self.shown[32]).replace("\n", self.shown[10]))]
+        return [t.id for t in self.tokenize("".join([self.shown[b] for b in part.encode()]))]
+
+    def ids(self, piece: str) -> list[int] | None:
+        space = "" if self.words or piece[0] not in " \n" else piece[0]
+        word = piece[len(space) :]
+        if not self.plain(word):
+            return None
+        if self.words:
+            low = word.lower()
+            if low.isascii():
+                return [t.id for part in self.split(low) for t in self.tokenize(part)]
+            if not self.plain(low) or not unicodedata.is_normalized("NFC", word):
+                return None
+            return [i for part in self.split(low) for i in self.part_ids(part)]
+        parts = self.split(word)
+        if space == " ":
+            parts[0] = " " + parts[0]
+        elif space:
+            parts.insert(0, space)
+        return [i for part in parts for i in self.part_ids(part)]
+
+
 class Pieces(dict):
     """Piece -> its ids as little-endian unsigned 32-bit integers.
 
     When the young generation is full it becomes the old one; a piece found there comes back.
     """
 
-    def __init__(self, tokenizer):
-        self.encode = tokenizer.encode
+    def __init__(self, tokenizer, words: bool | None = None):
+        self.whole = tokenizer.encode
+        self.latin = (lambda piece: None) if words is None else Latin(tokenizer, words).ids
+        # white space around words gives no ids in a word vocabulary
+        self.cut = str.split if words else CHUNK.findall
         self.old: dict[str, bytes] = {}
 
+    def encode(self, piece: str) -> bytes:
+        ids = self.latin(piece)
+        if ids is not None:
+            return array("I", ids).tobytes()
+        return np.array(self.whole(piece, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
     def __missing__(self, piece: str) -> bytes:
         ids = self.old.get(piece)
         if ids is None:
-            ids = np.array(self.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            ids = self.encode(piece)
         if len(piece) <= LONGEST_PIECE:
             if len(self) >= MOST_PIECES:
                 self.old = dict(self)
@@ -43,20 +110,26 @@ class Pieces(dict):
         return ids
 
 
-def pieces_of(path: str) -> Pieces:
-    """The memory of this worker for one vocabulary; special tokens in a text are ordinary text."""
+def pieces_of(path: str, words: bool | None = None) -> Pieces:
+    """The memory of this worker for one vocabulary; special tokens in a text are ordinary text.
+
+    ``words``: True if the vocabulary lower-cases and drops white space, False if it is one of
+    bytes, for a quicker way; None for any other.
+    """
     from tokenizers import Tokenizer
 
-    cache = worker_cache()
-    if ("pieces", path) not in cache:
+    cache, key = worker_cache(), ("pieces", path, words)
+    if key not in cache:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
-        cache["pieces", path] = Pieces(tokenizer)
-    return cache["pieces", path]
+        cache[key] = Pieces(tokenizer, words)
+    return cache[key]
 
 
 def encode_text(text: str, pieces: Pieces) -> bytes:
     """The ids of a whole text as little-endian unsigned 32-bit integers."""
+    if not text:
+        return b""
     if ODD_SPACE.search(text):
         return pieces[text]
-    return b"".join(map(pieces.__getitem__, CHUNK.findall(text)))
+    return b"".join(map(pieces.__getitem__, pieces.cut(text)))
