@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 PREFIX_WEIGHT = 0.1
 PREFIX_MAX = 4
 BOOST_THRESHOLD = 0.7
+# Overwrites a character that is taken: no character (U+FFFF is none in any text).
+TAKEN = "\uffff"
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -28,20 +30,33 @@ def _chars(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
 
 
-def _matched(a: Column, b: Column) -> Column:
-    """Places in ``b`` taken by the characters of ``a`` in turn, each the first free one in the window."""
-    none = F.expr("cast(array() as array<int>)")
-    window = F.greatest(F.floor(F.greatest(F.size(a), F.size(b)) / 2) - 1, F.lit(0)).cast("int")
-
-    def take(taken: Column, i: Column, w: Column) -> Column:
-        low, high = F.greatest(i - w, F.lit(0)), F.least(i + w, F.size(b) - 1)
-        free = F.filter(F.sequence(low, high), lambda j: (F.get(b, j) == F.get(a, i)) & ~F.array_contains(taken, j))
-        return F.when(low <= high, F.concat(taken, F.slice(free, 1, 1))).otherwise(taken)
-
-    return _let(window, lambda w: F.aggregate(F.sequence(F.lit(0), F.size(a) - 1), none, lambda taken, i: take(taken, i, w)))
+def _matched(a: Column, b: Column, b_text: Column) -> Column:
+    """Places in ``b`` taken by the characters of ``a`` in turn, each the first free one in the window.
 
-
-def _jaro(a: Column, b: Column) -> Column:
+    A taken place is overwritten in the text, so the next search is one ``locate``.
+    """
+    window = F.greatest(F.floor(F.greatest(F.size(a), F.size(b)) / 2) - 1, F.lit(0)).cast("int")
+    start = F.struct(b_text.alias("rest"), F.expr("cast(array() as array<int>)").alias("taken"))
+
+    def take(acc: Column, i: Column, w: Column) -> Column:
+        low = F.greatest(i - w, F.lit(0))
+        near = F.substring(acc["rest"], low + 1, F.least(i + w, F.size(b) - 1) - low + 1)
+        return _let(
+            F.call_function("locate", F.get(a, i), near),
+            lambda at: F.when(
+                at > 0,
+                F.struct(
+                    F.overlay(acc["rest"], F.lit(TAKEN), low + at, F.lit(1)).alias("rest"),
+                    F.concat(acc["taken"], F.array(low + at - 1)).alias("taken"),
+                ),
+            ).otherwise(acc),
+        )
+
+    each = F.sequence(F.lit(0), F.size(a) - 1)
+    return _let(window, lambda w: F.aggregate(each, start, lambda acc, i: take(acc, i, w), lambda acc: acc["taken"]))
+
+
+def _jaro(a: Column, b: Column, b_text: Column) -> Column:
     """Of two non-empty lists of characters; both ways of matching take as many, in the order of either side."""
 
     def similarity(in_b: Column) -> Column:
@@ -54,7 +69,7 @@ def _jaro(a: Column, b: Column) -> Column:
         total = m / F.size(a) + m / F.size(b) + (m - halved) / m
         return F.when(F.size(in_b) == 0, F.lit(0.0)).otherwise(total / F.lit(3.0))
 
-    return _let(_matched(a, b), similarity)
+    return _let(_matched(a, b, b_text), similarity)
 
 
 def jaro_winkler(a: Column, b: Column) -> Column:
@@ -67,7 +82,7 @@ def jaro_winkler(a: Column, b: Column) -> Column:
             prefix = F.when(~same, F.lit(i)).otherwise(prefix)
         return F.when(sim > BOOST_THRESHOLD, sim + prefix * F.lit(PREFIX_WEIGHT) * (F.lit(1.0) - sim)).otherwise(sim)
 
-    compared = _let(_chars(a), lambda x: _let(_chars(b), lambda y: _let(_jaro(x, y), lambda sim: boosted(x, y, sim))))
+    compared = _let(_chars(a), lambda x: _let(_chars(b), lambda y: _let(_jaro(x, y, b), lambda sim: boosted(x, y, sim))))
     return (
         F.when(a.isNull() | b.isNull(), F.lit(None).cast("double"))
         .when((a == "") | (b == ""), F.lit(0.0))

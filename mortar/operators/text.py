@@ -81,8 +81,7 @@ def classify_terms(df: DataFrame, term: str, domain: str, threshold: int = BRAND
     """Add ``brand_similarity_score`` (0..100) and ``search_type``.
 
     A term is Branded when its Jaro-Winkler score against the domain's brand
-    exceeds ``threshold``. The score is a column expression: no shuffle and no
-    Python worker.
+    exceeds ``threshold``. The score is a column expression: no Python worker.
     """
     score = similarity_score(F.lower(F.col(term)), brand_of_domain(F.col(domain)))
     return df.withColumn("brand_similarity_score", score.cast("long")).withColumn(
@@ -107,7 +106,9 @@ def search_rows(stg_export: DataFrame) -> DataFrame:
 
 def search_terms(stg_export: DataFrame) -> DataFrame:
     """int_gsc_search_terms: rounded metrics, flags, bucket and classification."""
-    rows = search_rows(stg_export)
+    # Documents differ in size and scoring is the costly part: deal the rows out evenly.
+    parts = int(stg_export.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = search_rows(stg_export).repartition(parts)
     out = rows.select(
         "restaurant_id",
         "domain",
