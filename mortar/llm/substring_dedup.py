@@ -7,11 +7,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_or_empty, worker_cache, write_scratch
+from .common import explode_salts, salt_of, salts_seen, text_or_empty, worker_cache, write_scratch
 from .words import word_blocks
 
 WINDOW = 35
@@ -20,6 +20,7 @@ HALVINGS = 2
 #: Words that are hashed together; a longer text is hashed in overlapping blocks.
 UNIT_WORDS = 1 << 19
 UNIT_BYTES = 1 << 22
+SALTS = 32
 MOST_WORDS = 300_000
 #: An order key holds a hash above and a place below; a unit has fewer words than places.
 PLACE_BITS = 24
@@ -138,14 +139,28 @@ def lists(found: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int64, copy=False)))
 
 
-def repeated(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The rows whose ``keys`` occur more than once.
+def where_group(rows: DataFrame, keys: list[str], owner: str, aggregates: dict[str, Column], condition: str, salts: int = SALTS) -> DataFrame:
+    """The rows whose group by ``keys`` meets a condition on its aggregates.
 
-    Counting is partly done before the shuffle, so a frequent window is one row a task; the
-    join back has one row a window on its other side, and Spark splits it where it is skewed.
+    Groups are aggregated partly before the shuffle, so a frequent window is one row a task.
+    The answer goes back over (keys, salt), the salt being a hash of ``owner``: a window that
+    a third of all texts have meets its rows in ``salts`` places instead of one.
     """
-    often = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
-    return rows.join(often, keys, "left_semi")
+    salted = rows.withColumn("_salt", F.coalesce(salt_of([F.col(owner)], salts), F.lit(0)))
+    found = salted.groupBy(*keys).agg(*[c.alias(n) for n, c in aggregates.items()], salts_seen(F.col("_salt"), salts).alias("_salts"))
+    found = found.where(condition).select(*keys, explode_salts(F.col("_salts"), salts).alias("_salt"))
+    return salted.join(found, [*keys, "_salt"], "left_semi").drop("_salt")
+
+
+def repeated(rows: DataFrame, keys: list[str], owner: str) -> DataFrame:
+    """The rows whose ``keys`` occur more than once."""
+    return where_group(rows, keys, owner, {"_n": F.count(F.lit(1))}, "_n > 1")
+
+
+def at_most_twice(hashes: np.ndarray) -> np.ndarray:
+    """Each value once, or twice if it occurs more often: enough to know that it is repeated."""
+    values, n = np.unique(hashes, return_counts=True)
+    return np.repeat(values, np.minimum(n, 2))
 
 
 def first_level(keyed: DataFrame, length: int, window: int) -> DataFrame:
@@ -170,7 +185,7 @@ def first_level(keyed: DataFrame, length: int, window: int) -> DataFrame:
                 places = np.unique(at[unit.starts])
                 rows.append(unit.origin(places)[0])
                 hashes.append(h[places].view(np.int64))
-            got = by_row(len(texts), rows, hashes)
+            got = [at_most_twice(x) for x in by_row(len(texts), rows, hashes)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_id"), batch.column("_k"), batch.column("_l"), pa.array(counts, pa.int64()), pa.array(shas), lists(got)], names=schema.names
             )
@@ -217,7 +232,10 @@ def next_level(working: DataFrame, shorter: int, length: int, window: int) -> Da
                     at, h = unit.anchors(length, window)
                     places = np.unique(at[starts])
                     row, _ = unit.origin(places)
-                    yield pa.RecordBatch.from_arrays([pa.array(known.numbers[row]), pa.array(h[places].view(np.int64))], names=["_row", "hash"])
+                    found = np.stack([row, h[places].view(np.int64)], axis=1)
+                    pairs, n = np.unique(found, axis=0, return_counts=True)
+                    pairs = np.repeat(pairs, np.minimum(n, 2), axis=0)  # twice is enough to be repeated
+                    yield pa.RecordBatch.from_arrays([pa.array(known.numbers[pairs[:, 0]]), pa.array(pairs[:, 1])], names=["_row", "hash"])
 
     return working.select("_row", "_text", "hashes").mapInArrow(extended, "_row long, hash long")
 
@@ -296,12 +314,13 @@ def repeated_windows(working: DataFrame, level: DataFrame, length: int, window:
     each = write_scratch(each, "distinct-contexts")
     settled = found.join(each.where("occurs > 1").select(*keys), keys, "left_semi").select("_row", "start", "n")
 
-    open_ = each.groupBy("hash").agg(F.count(F.lit(1)).alias("_m"), F.min("occurs").alias("_least")).where("_m > 1 and _least = 1").select("hash")
-    todo = each.join(open_, "hash", "left_semi").select("_first.*", "occurs")
+    each = each.withColumn("_owner", F.col("_first._row"))
+    todo = where_group(each, ["hash"], "_owner", {"_m": F.count(F.lit(1)), "_least": F.min("occurs")}, "_m > 1 and _least = 1")
+    todo = todo.select("_first.*", "occurs")
     todo = todo.groupBy("_row").agg(F.collect_list(F.struct("start", "n", "occurs")).alias("todo"))
     windows = write_scratch(windows_of(working.drop("hashes").join(todo, "_row"), window), "rims")
-    often = windows.groupBy("hash", "check").agg(F.sum("occurs").alias("_n")).where("_n > 1").drop("_n")
-    rims = windows.where("occurs = 1").join(often, ["hash", "check"], "left_semi").select("_row", "start", F.lit(1).cast("long").alias("n"))
+    rims = where_group(windows, ["hash", "check"], "_row", {"_n": F.sum("occurs")}, "_n > 1")
+    rims = rims.where("occurs = 1").select("_row", "start", F.lit(1).cast("long").alias("n"))
     return settled.unionByName(rims)
 
 
@@ -362,13 +381,13 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = write_scratch(first_level(keyed, lengths[0], window), "windows")
     anchors = first.select("_k", F.explode("hashes").alias("hash"))
     # texts of one key share their hashes: at worst a window too many is looked at again
-    alive = repeated(anchors, ["hash"]).groupBy("_k").agg(F.collect_set("hash").alias("hashes"))
+    alive = repeated(anchors, ["hash"], "_k").groupBy("_k").agg(F.collect_set("hash").alias("hashes"))
     working = keyed.drop("_id").join(alive, "_k").withColumn("_row", F.monotonically_increasing_id())
     working = write_scratch(working, "working")
 
     level = working
     for shorter, length in zip(lengths, lengths[1:-1]):
-        found = repeated(write_scratch(next_level(level, shorter, length, window), "windows"), ["hash"])
+        found = repeated(write_scratch(next_level(level, shorter, length, window), "windows"), ["hash"], "_row")
         level = working.drop("hashes").join(found.groupBy("_row").agg(F.collect_set("hash").alias("hashes")), "_row")
     runs = repeated_windows(working, level, lengths[-2] if len(lengths) > 1 else window, window)
     runs = runs.groupBy("_row").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
