@@ -34,6 +34,7 @@ def token_pieces(
     capacity: int = CAPACITY,
     id_col: str = "doc_id",
     text_col: str = "text",
+    words: bool | None = None,
 ) -> DataFrame:
     """Encode whole texts, end each with ``end_id`` and cut longer ones: a row for each piece.
 
@@ -47,7 +48,7 @@ def token_pieces(
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = pieces_of(tokenizer_path)
+        memory = pieces_of(tokenizer_path, words)
         for batch in batches:
             kind = batch.schema.field(0).type
             rows: list[tuple] = []

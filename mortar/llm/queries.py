@@ -108,7 +108,7 @@ def op6_best_fit_packing(spark, sf_dir):
 
 def pack_documents(docs):
     path = public_tokenizers.path("byte_bpe_50k.json")
-    pieces = packing.token_pieces(docs, path, end_id=2)
+    pieces = packing.token_pieces(docs, path, end_id=2, words=False)
     narrow = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packing.pack(narrow)
 

@@ -16,6 +16,8 @@ import numpy as np
 from .common import worker_cache
 
 CHUNK = re.compile(r"\s*\S+|\s+")
+#: Where white space doesn't stand singly after something else, or NUL stands.
+AWKWARD = re.compile(r"\s\s|\A\s|[\x00\t\x0b\x0c\r\x85\xa0]|[\u1680-\u3000]")
 #: Characters on which libraries disagree whether they are white space: such a text goes whole.
 ODD_SPACE = re.compile("[\x1c-\x1f᠎​﻿]")
 #: Remembered pieces in each of a worker's two generations, and the longest that is remembered.
@@ -23,6 +25,13 @@ MOST_PIECES = 300_000
 LONGEST_PIECE = 64
 
 
+def chunks(text: str) -> list[str]:
+    """Runs of white space with what follows them; in plain texts the cuts are before each space and line end."""
+    if AWKWARD.search(text):
+        return CHUNK.findall(text)
+    return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
+
+
 def byte_characters() -> list[str]:
     """The character that stands for each byte in a byte-level vocabulary: its own if it can be printed, else the next free one from U+0100."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -89,7 +98,7 @@ class Pieces(dict):
         self.whole = tokenizer.encode
         self.latin = (lambda piece: None) if words is None else Latin(tokenizer, words).ids
         # white space around words gives no ids in a word vocabulary
-        self.cut = str.split if words else CHUNK.findall
+        self.cut = str.split if words else chunks
         self.old: dict[str, bytes] = {}
 
     def encode(self, piece: str) -> bytes:
