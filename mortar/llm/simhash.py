@@ -30,10 +30,8 @@ def fingerprint(text: bytes, shingle: int, seed: int) -> int:
 
     xxh = xxhash.xxh64_intdigest
     ones, n = np.zeros(BITS, dtype=np.int64), 0
-    for at, words in word_blocks(text, shingle - 1):
+    for _, words in word_blocks(text, shingle - 1):
         if len(words) < shingle:
-            if at == 0 and words:  # the whole text has fewer words
-                return xxh(b" ".join(words), seed)
             continue
         joined = b" ".join(words)
         ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1)
@@ -44,7 +42,9 @@ def fingerprint(text: bytes, shingle: int, seed: int) -> int:
             part = hashes[i : i + CHUNK].view(np.uint8).reshape(-1, 8)
             ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
         n += len(hashes)
-    return int(np.dot((2 * ones > n).astype(object), [1 << i for i in range(BITS)])) if n else 0
+    if n == 0:  # the whole text has fewer words, which the last block holds all
+        return xxh(b" ".join(words), seed) if words else 0
+    return int(np.dot((2 * ones > n).astype(object), [1 << i for i in range(BITS)]))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42) -> DataFrame:

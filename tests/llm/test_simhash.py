@@ -94,6 +94,15 @@ def test_fingerprints(docs_of, clashing, monkeypatch):
         assert sorted(((r.doc_id, r.fp % (1 << 64)) for r in simhash.fingerprints(df).collect()), key=str) == expect
 
 
+def test_first_words_that_fill_a_block(docs_of, monkeypatch):
+    """One or two words before the first border, or white space after them, are not the whole text."""
+    begins = ["x" * 200, "x " + "y" * 200, "x" + " " * 200, "x y" + "\n" * 200, " " * 200, " " * 200 + "x"]
+    rows = list(enumerate(b + rest for b in begins for rest in ("", " a", " a b c d", " a b" + " " * 200, " a b c d" * 60, " " * 200 + "q r s t")))
+    monkeypatch.setattr(words.word_blocks, "__defaults__", (64,))
+    got = {r.doc_id: r.fp % (1 << 64) for r in simhash.fingerprints(docs_of(rows)).collect()}
+    assert got == {i: brute_fingerprint(t) for i, t in rows}
+
+
 def test_representatives(docs_of, clashing):
     rows = [(5, "a b c d"), (3, "A B  c d"), (9, "quite another text altogether"), (7, None), (8, ""), (None, "a b c d")]
     df = clashing(docs_of(rows), "fp", "_salt", "_kept", "component_id")
