@@ -5,7 +5,9 @@ All work on texts is done by Spark's own functions. Only counts of vote patterns
 
 Texts are searched in chunks, so that positions are summed over a few matches at a time. A
 chunk ends where no pattern can go on: after a character that none of them holds, or between
-a letter and a space, which none holds side by side.
+a letter and a space, which none holds side by side. What stands before a span is looked up in
+the chunk before where its own chunk begins too late, so a sentence gets the same votes wherever
+a border falls.
 """
 
 from __future__ import annotations
@@ -113,10 +115,20 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def matches(chunk: Column, kind: Kind) -> Column:
-    """Matches of a kind: array of (s, e, value, before); positions are code points of the chunk."""
+def matches(chunk: Column, kind: Kind, lead: Column) -> Column:
+    """Matches of a kind: array of (s, e, value, before); positions are code points of the chunk.
+
+    ``before`` is what the text has since the last match of the kind, at most ``BEFORE``
+    characters of it; ``lead``, the chunk before, gives what ``chunk`` lacks of it and no spans.
+    """
     none = F.expr("cast(array() as array<struct<s:bigint,e:bigint,value:string,before:string>>)")
 
+    since = F.element_at(F.split(lead, kind.pattern, -1), -1)
+
+    def before(gap: Column, i: Column) -> Column:
+        first = (i == 0) & (F.length(gap) < BEFORE)
+        return F.right(F.when(first, F.concat(since, gap)).otherwise(gap), F.lit(BEFORE))
+
     def placed(values: Column, gaps: Column) -> Column:
         start = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("out"))
 
@@ -128,7 +140,7 @@ def matches(chunk: Column, kind: Kind) -> Column:
                     s + F.length(F.get(values, i)),
                     lambda e: F.struct(
                         e.alias("at"),
-                        F.concat(acc["out"], F.array(F.struct(s.alias("s"), e.alias("e"), F.get(values, i).alias("value"), F.right(F.get(gaps, i), F.lit(BEFORE)).alias("before")))).alias("out"),
+                        F.concat(acc["out"], F.array(F.struct(s.alias("s"), e.alias("e"), F.get(values, i).alias("value"), before(F.get(gaps, i), i).alias("before")))).alias("out"),
                     ),
                 ),
             )
@@ -143,7 +155,7 @@ def matches(chunk: Column, kind: Kind) -> Column:
 
 
 def chunks_of(text: Column) -> Column:
-    """Array of (at, chunk): whole text in order; texts without a digit or @ have none, as they hold no span."""
+    """Array of (at, chunk, lead): whole text in order; ``lead`` is the chunk before, empty for the first one."""
     cut = F.when(F.length(text) <= 2 * CHUNK_CHARS, F.array(text)).otherwise(F.regexp_extract_all(text, F.lit(CHUNK), F.lit(0)))
     begins = lambda parts: F.aggregate(
         parts,
@@ -151,7 +163,8 @@ def chunks_of(text: Column) -> Column:
         lambda acc, c: F.struct((acc["at"] + F.length(c)).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")),
         lambda acc: acc["out"],
     )
-    return let(cut, lambda parts: F.zip_with(begins(parts), parts, lambda at, c: F.struct(at.alias("at"), c.alias("chunk"))))
+    lead = lambda parts, i: F.coalesce(F.get(parts, i - 1), F.lit("")).alias("lead")
+    return let(cut, lambda parts: F.transform(begins(parts), lambda at, i: F.struct(at.alias("at"), F.get(parts, i).alias("chunk"), lead(parts, i))))
 
 
 def may_hold(text: Column) -> Column:
@@ -171,14 +184,14 @@ class SpanModel:
         return (total > 0) & (sum(votes[1:], votes[0]) >= LEAST_VOTES)
 
 
-def spans_in(chunk: Column, model: SpanModel) -> Column:
-    """All spans of a chunk in order: base ones, and accepted ones that overlap none of these."""
+def spans_in(chunk: Column, lead: Column, model: SpanModel) -> Column:
+    """All spans of a chunk in order: base ones, and accepted ones that overlap none of these; see ``matches`` for ``lead``."""
     shaped = lambda kind, base: lambda m: F.struct(
         m["s"].alias("s"), F.lit(NAMES.index(kind.name)).alias("k"), m["e"].alias("e"), F.lit(base).alias("base")
     )
-    base = F.concat(*[F.transform(matches(chunk, kind), shaped(kind, True)) for kind in BASE])
+    base = F.concat(*[F.transform(matches(chunk, kind, lead), shaped(kind, True)) for kind in BASE])
     # a lambda's second parameter would be the index, so the kind is bound by a call
-    accepted = lambda kind: F.filter(matches(chunk, kind), lambda m: model.accepts(kind, m["value"], m["before"]))
+    accepted = lambda kind: F.filter(matches(chunk, kind, lead), lambda m: model.accepts(kind, m["value"], m["before"]))
     more = [F.transform(accepted(kind), shaped(kind, False)) for kind in EXTRA if kind.name in model.weights]
     if not more:
         return F.array_sort(base)
@@ -224,11 +237,11 @@ def fit(docs: DataFrame, text_col: str = "text") -> SpanModel:
     """Count the vote patterns of all candidate spans of all texts, and learn from the counts."""
     text = F.col("_text")
     texts = docs.select(text_or_empty(F.col(f"`{text_col}`")).alias("_text")).where(may_hold(text))
-    parts = texts.select(F.explode(chunks_of(text)).alias("_c")).select("_c.chunk").where(F.col("chunk").rlike("[0-9]"))
+    parts = texts.select(F.explode(chunks_of(text)).alias("_c")).select("_c.chunk", "_c.lead").where(F.col("chunk").rlike("[0-9]"))
     votes = lambda kind: lambda m: F.struct(
         F.lit(kind.name).alias("kind"), *[vote(m["value"], m["before"]).cast("int").alias(f"v{i}") for i, vote in enumerate(kind.votes.values())]
     )
-    cast = F.concat(*[F.transform(matches(F.col("chunk"), kind), votes(kind)) for kind in EXTRA])
+    cast = F.concat(*[F.transform(matches(F.col("chunk"), kind, F.col("lead")), votes(kind)) for kind in EXTRA])
     n_votes = len(EXTRA[0].votes)
     keys = ["kind", *[f"v{i}" for i in range(n_votes)]]
     counts = parts.select(F.explode(cast).alias("_v")).select("_v.*").groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).orderBy(*keys).collect()
@@ -250,7 +263,7 @@ def find_spans(docs: DataFrame, model: SpanModel, text_col: str = "text", result
     searched by itself, so repeated rows get equal spans; a column named like the result is replaced.
     """
     text = text_or_empty(F.col(f"`{text_col}`"))
-    moved = lambda c: F.transform(spans_in(c["chunk"], model), lambda m: F.struct((m["s"] + c["at"]).alias("s"), m["k"].alias("k"), (m["e"] + c["at"]).alias("e"), m["base"].alias("base")))
+    moved = lambda c: F.transform(spans_in(c["chunk"], c["lead"], model), lambda m: F.struct((m["s"] + c["at"]).alias("s"), m["k"].alias("k"), (m["e"] + c["at"]).alias("e"), m["base"].alias("base")))
     found = F.flatten(F.transform(chunks_of(text), moved))
     return docs.withColumn(result, F.when(may_hold(text), found).otherwise(F.expr(f"cast(array() as {SPAN})")))
 
@@ -269,7 +282,7 @@ def mask(docs: DataFrame, model: SpanModel, text_col: str = "text") -> DataFrame
     text = F.col(f"`{text_col}`")
     marks = F.array(*[F.lit(f"<{n.upper()}>") for n in NAMES])
 
-    def masked(c: Column) -> Column:
+    def masked(c: Column, lead: Column) -> Column:
         start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
 
         def add(acc: Column, m: Column) -> Column:
@@ -278,7 +291,7 @@ def mask(docs: DataFrame, model: SpanModel, text_col: str = "text") -> DataFrame
             return F.struct(F.greatest(acc["at"], m["e"]).alias("at"), F.when(m["s"] >= acc["at"], apart).otherwise(acc["out"]).alias("out"))
 
         rest = lambda acc: F.concat(acc["out"], F.substring(c, (acc["at"] + 1).cast("int"), F.length(c)))
-        return let(spans_in(c, model), lambda spans: F.when(F.size(spans) == 0, c).otherwise(F.aggregate(spans, start, add, rest)))
+        return let(spans_in(c, lead, model), lambda spans: F.when(F.size(spans) == 0, c).otherwise(F.aggregate(spans, start, add, rest)))
 
-    changed = F.array_join(F.transform(chunks_of(text.cast("string")), lambda c: masked(c["chunk"])), "")
+    changed = F.array_join(F.transform(chunks_of(text.cast("string")), lambda c: masked(c["chunk"], c["lead"])), "")
     return docs.withColumn(text_col, F.when(may_hold(text), changed).otherwise(text))

@@ -89,6 +89,39 @@ def test_classifier_adds_spans_and_keeps_base_ones(docs_of, clashing):
     assert texts[105] == rows[35][1] and texts[900] is None
 
 
+ADDED = [
+    'password: "Xk29QpL7vTz3Rm8Wb4Ns" end', "token Xk29QpL7vTz3Rm8Wb4Ns end", "call (415) 555-2671, (415) 555-2672 end", "ssn=123-45-6789 end",
+    "id Xk29QpL7vTz3Rm8_key_Ns, Xk29QpL7vTz3Rm8Wb4Nt end",  # the first one's _key_ announces nothing
+]
+
+
+def test_added_spans_at_every_offset_around_a_border(docs_of, monkeypatch):
+    """Spans, marks and counts of votes are those of the text in one piece."""
+    rows, at = [], {}
+    for k, sentence in enumerate(ADDED):
+        for offset in range(1930, 2020):
+            fill = ("word " * 500)[: offset - 1] + " "
+            at[len(rows)] = (k, offset)
+            rows.append((len(rows), fill + sentence + " word" * 500))
+    df = docs_of(rows).cache()
+    model = pii.SpanModel({kind.name: (-1.5, 1.0, 1.0, 1.0, 1.0) for kind in pii.EXTRA})
+
+    def found():
+        spans_of, masked = spans(df, model), {r.doc_id: r.text for r in pii.mask(df, model).collect()}
+        return spans_of, masked, pii.fit(df)
+
+    got = found()
+    monkeypatch.setattr(pii, "CHUNK_CHARS", 1 << 20)
+    whole = found()
+    df.unpersist()
+    for i in at:
+        assert got[0][i] == whole[0][i], at[i]
+        assert got[1][i] == whole[1][i], at[i]
+    assert got[2] == whole[2]
+    n_spans = [len(list(filter(None, whole[0][i].split(",")))) for i, (_, offset) in at.items() if offset == 1930]
+    assert n_spans == [1, 1, 2, 1, 0]
+
+
 def test_overlapping_spans_become_one_mark(docs_of):
     df = docs_of([(1, "see +4111 1111 1111 1111 now"), (2, "10.0.0.1@host.org x"), (3, "plain")])
     got = {r.doc_id: r.text for r in pii.mask(df, pii.SpanModel({})).collect()}
