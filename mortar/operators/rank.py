@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
@@ -48,7 +48,7 @@ def _partitions(df: DataFrame, parts: int | None) -> int:
 def prefix_scan(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[str],
+    order: Sequence[str | Column],
     sums: dict[str, str] | None = None,
     row_number: str | None = None,
     parts: int | None = None,
@@ -103,7 +103,7 @@ def prefix_scan(
     return result.drop(*drop)
 
 
-def global_row_number(df: DataFrame, order: Sequence[str], out: str = "row_number", parts: int | None = None) -> DataFrame:
+def global_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "row_number", parts: int | None = None) -> DataFrame:
     """``row_number() over (order by ...)`` without a single-partition window.
 
     Range-partition and sort, number rows inside each partition from the

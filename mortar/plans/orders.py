@@ -137,19 +137,21 @@ def customer_orders(orders: DataFrame, payments: DataFrame, customers: DataFrame
     Here it is a running sum in order_id order (``prefix_scan``), equal for
     distinct order ids and linear per customer. The scan and its checkpoint
     see narrow rows only; what it finds goes back to the orders by their id,
-    by which they are partitioned already. The customer's columns come by one
-    join. For a customer id that occurs m times the reference's joins give m
+    null ids included: an order without an id has no payments and a NULL
+    lifetime value, as in the reference's left joins, and comes last, as the
+    oracle sorts. The customer's columns come by one join. For a customer id that occurs m times the reference's joins give m
     rows an order and m * m times the payments; so does this.
     """
     paid = paid_orders(orders, payments)
+    by_id = F.asc_nulls_last("order_id")
     scanned = prefix_scan(
         paid.select("order_id", "_dup", "customer_id", "_paid_cents"),
         ["customer_id"],
-        ["order_id", "_dup"],
+        [by_id, "_dup"],
         sums={"_clv_cents": "_paid_cents"},
         row_number="_seq",
-    ).select("order_id", "_dup", "_seq", "_clv_cents")
-    wide = paid.join(scanned, ["order_id", "_dup"]).join(
+    ).select(F.col("order_id").alias("_oid"), F.col("_dup").alias("_odup"), "_seq", "_clv_cents")
+    wide = paid.join(scanned, F.col("order_id").eqNullSafe(F.col("_oid")) & (F.col("_dup") == F.col("_odup"))).join(
         customer_side(orders, customers), F.col("customer_id") == F.col("_cid"), "left"
     )
     same = F.coalesce("_same", F.lit(1))
@@ -164,11 +166,11 @@ def customer_orders(orders: DataFrame, payments: DataFrame, customers: DataFrame
         "customer_last_name",
         ((F.col("_seq") - 1) * same + F.coalesce("_which", F.lit(1))).cast("long").alias("customer_sales_seq"),
         F.when(F.col("fdos") == F.col("order_placed_at"), "new").otherwise("return").alias("nvsr"),
-        # The reference's self join matches no row for a NULL customer.
-        F.when(F.col("customer_id").isNotNull(), F.col("_clv_cents") * same * same / F.lit(100.0)).alias("customer_lifetime_value"),
+        # The reference's self join matches no row for a NULL customer or order.
+        F.when(F.col("customer_id").isNotNull() & F.col("order_id").isNotNull(), F.col("_clv_cents") * same * same / F.lit(100.0)).alias("customer_lifetime_value"),
         "fdos",
     )
-    numbered = global_row_number(rows, ["order_id", "customer_sales_seq"], out="transaction_seq")
+    numbered = global_row_number(rows, [by_id, "customer_sales_seq"], out="transaction_seq")
     # The rows are range-partitioned by order_id (in key order), so sorting
     # inside partitions gives the global order without a further exchange.
-    return numbered.sortWithinPartitions("order_id", "customer_sales_seq")
+    return numbered.sortWithinPartitions(by_id, "customer_sales_seq")

@@ -334,3 +334,30 @@ def test_every_kind_of_check_counts_failures(spark):
     )
     got = {(r["test"], r["column_name"]): r["failures"] for r in checks.run_checks(df, spec).collect()}
     assert got == {("not_null", "id"): 1, ("unique", "id"): 1, ("accepted_values", "kind"): 1, ("n > 0", "n"): 1, ("relationships", "id"): 1}
+
+
+def test_customer_orders_keeps_orders_without_an_id(spark):
+    customers = spark.createDataFrame([(1, "A", "One"), (2, "B", "Two")], "id long, first_name string, last_name string")
+    rows = [
+        (10, 1, D(2020, 1, 1), "completed"),
+        (0, 1, D(2020, 1, 3), "placed"),
+        (None, 1, D(2019, 12, 1), "placed"),  # the customer's first date, and the last number
+        (12, 2, D(2020, 2, 1), "returned"),
+    ]
+    more = [(None, 1, D(2020, 1, 5), "placed"), (None, 2, D(2020, 1, 5), None), (None, None, None, None), (None, 7, D(2020, 1, 5), "placed")]
+    payments = spark.createDataFrame(
+        [("p1", 10, "coupon", "success", 1000, D(2020, 1, 2)), ("p2", None, "coupon", "success", 70, D(2020, 1, 2)), ("p3", 12, "coupon", "success", 50, D(2020, 1, 2))],
+        "id string, orderid long, paymentmethod string, status string, amount long, created date",
+    )
+    sql = oracle.shop_on_tables(oracle.CUSTOMER_ORDERS)
+    seqs = ["transaction_seq", "customer_sales_seq"]
+    for given, free in ((rows, []), (rows + more, seqs)):  # several orders without an id may be numbered either way
+        orders = spark.createDataFrame(given, "id long, user_id long, order_date date, status string")
+        con = _duck_tables(spark, {"shop_customers": customers, "shop_orders": orders, "stripe_payments": payments})
+        got = shop.customer_orders(orders, payments, customers)
+        res = compare(got.drop(*free), f"select * exclude ({', '.join(free)}) from ({sql}) t" if free else sql, con)
+        assert res["exact"] and res["spark_rows"] == len(given), res
+        found = got.collect()
+        assert sorted(r["transaction_seq"] for r in found) == list(range(1, len(given) + 1))
+        assert [r["order_id"] for r in found] == [0, 10, 12] + [None] * (len(given) - 3)
+        assert sorted(r["customer_sales_seq"] for r in found if r["customer_id"] == 1) == list(range(1, sum(r[1] == 1 for r in given) + 1))
