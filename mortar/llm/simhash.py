@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import explode_salts, salt_of, salts_seen, text_or_empty, write_scratch
+from .common import explode_salts, free_name, salt_of, salts_seen, text_or_empty, write_scratch
 from .words import word_blocks
 
 BITS = 64
@@ -156,11 +156,17 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2, seed: int = 42) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their near-duplicate component.
+    """One row of each near-duplicate component, the one with the smallest id.
 
-    Ids are taken to name one text each; where rows repeat an id, those stay whose own
-    component has it as smallest. A null id stays only in a component of null ids.
+    A null id is larger than any other. Of rows that share the smallest id, or have none, the
+    one with the least hash of all its columns stays (columns that hold maps aside), and any
+    one of rows that are equal throughout.
     """
-    found = simhash_groups(docs, id_col, text_col, shingle, radius, seed)
-    kept = found.where(F.col(f"`{id_col}`").eqNullSafe(F.col("component_id"))).select(F.col("component_id").alias("_kept")).distinct()
-    return docs.join(kept, docs[f"`{id_col}`"].eqNullSafe(kept["_kept"]), "left_semi")
+    a, b = (free_name(docs, n) for n in ("_hash_a", "_hash_b"))
+    hashable = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    # two hashes of the row tell rows apart that share an id or have none
+    keyed = docs.select("*", F.xxhash64(F.lit(0), *hashable).alias(a), F.xxhash64(F.lit(1), *hashable).alias(b))
+    row = F.struct(F.col(f"`{id_col}`").isNull().alias("no_id"), F.col(f"`{id_col}`").alias("id"), F.col(a).alias("a"), F.col(b).alias("b"))
+    found = simhash_groups(keyed.select(row.alias("_row"), F.col(f"`{text_col}`").alias("_text")), "_row", "_text", shingle, radius, seed)
+    kept = found.select(F.col("component_id.a").alias(a), F.col("component_id.b").alias(b)).distinct()
+    return keyed.join(kept, [a, b], "left_semi").dropDuplicates([a, b]).select(*[F.col(f"`{c}`") for c in docs.columns])

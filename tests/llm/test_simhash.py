@@ -112,6 +112,25 @@ def test_representatives(docs_of, clashing):
     assert simhash.keep_representatives(docs_of([])).count() == 0
 
 
+def test_one_representative_whatever_the_ids(docs_of, clashing):
+    """Null ids, repeated ids and repeated rows: one row of each component stays."""
+    near, other, third = "a b c d", "quite another text altogether", "words of a third kind here"
+    given = [
+        ([(None, near), (None, near.upper()), (None, "A b c D")], [None]),  # copies without an id
+        ([(None, near), (None, near), (None, other)], [None, None]),  # two components without ids
+        ([(None, near), (4, near), (None, other)], [4, None]),  # the copy with an id stays
+        ([(3, near), (3, near.upper()), (3, near), (5, near)], [3]),  # copies that share an id, equal rows among them
+        ([(3, near), (3, other), (2, other), (3, third)], [2, 3, 3]),  # one id, several texts
+    ]
+    for rows, expect in given:
+        df = clashing(docs_of(rows), "_row", "_text", "_hash_a", "component_id")
+        kept = simhash.keep_representatives(df)
+        assert kept.columns == df.columns
+        found = kept.collect()
+        assert sorted((r.doc_id for r in found), key=str) == sorted(expect, key=str), rows
+        assert len({brute_fingerprint(r.text) for r in found}) == len({brute_fingerprint(t) for _, t in rows}) == len(found)
+
+
 def test_query(spark):
     docs = [(r.doc_id, brute_fingerprint(r.text)) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
     got = sorted((r.doc_id, int(r.fingerprint, 16), r.component_id) for r in QUERIES["op8_simhash"](spark, SF_SMALL).collect())
