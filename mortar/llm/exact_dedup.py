@@ -74,10 +74,14 @@ def exact_dedup(
         .select(
             "_digest",
             "keep_id",
-            F.when(F.col("_classes") == 1, F.col("group_size"))
-            .otherwise(F.raise_error(F.concat(F.lit("two texts share the digest "), F.col("_digest"))).cast("long"))
-            .alias("group_size"),
-            explode_salts(F.col("_salts"), salts).alias("_salt"),
+            "group_size",
+            # the join goes by the salt, so no choice of columns leaves the guard out
+            explode_salts(
+                F.when(F.col("_classes") == 1, F.col("_salts")).otherwise(
+                    F.raise_error(F.concat(F.lit("two texts share the digest "), F.col("_digest"))).cast("long")
+                ),
+                salts,
+            ).alias("_salt"),
         )
     )
     decided = rows.drop("_text").join(classes, ["_digest", "_salt"])
@@ -89,7 +93,7 @@ def exact_dedup(
     )
 
 
-def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", normalise=ascii_lower) -> DataFrame:
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", normalise=ascii_lower, digest=_digest) -> DataFrame:
     """The rows of ``docs`` that ``exact_dedup`` keeps, with the columns they have."""
     result = tuple(free_name(docs, f"_{n}") for n in RESULT)
-    return exact_dedup(docs, id_col, text_col, normalise, result=result).where(F.col(result[2])).drop(*result)
+    return exact_dedup(docs, id_col, text_col, normalise, digest, result=result).where(F.col(result[2])).drop(*result)

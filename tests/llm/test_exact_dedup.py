@@ -63,6 +63,15 @@ def test_a_shared_digest_stops_the_job(docs_of):
         exact_dedup(docs_of([(1, "a"), (2, "b")]), digest=weak).collect()
 
 
+def test_a_shared_digest_stops_the_job_whatever_columns_are_read(docs_of):
+    weak = lambda text: F.substring(F.sha2(text, 256), 1, 0)
+    df = docs_of([(1, "a"), (2, "b")])
+    marked = exact_dedup(df, digest=weak)
+    for found in (drop_copies(df, digest=weak), marked.select("kept"), marked.select("keep_id"), marked.select("text_digest"), marked.select("text")):
+        with pytest.raises(Exception, match="two texts share the digest"):
+            found.collect()
+
+
 def test_no_python_in_the_plan(docs_of):
     plan = exact_dedup(docs_of(ROWS))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
