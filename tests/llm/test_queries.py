@@ -7,8 +7,8 @@ from mortar.llm.queries import ORACLES, QUERIES
 from mortar.verify import compare
 
 
-def test_ten_operators():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_thirteen_operators():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
 
 
