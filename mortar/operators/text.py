@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import round_half_up
 from ..functions.similarity import similarity_score
+from ..sources.sinks import materialize
 
 # Search-console export row: {"keys": [...], "clicks", "impressions", "ctr", "position"}.
 # Numbers are read as text and cast, so 3 and "3" are the same, as in the reference's casts.
@@ -77,16 +78,41 @@ def brand_of_domain(domain: Column) -> Column:
     return F.lower(F.regexp_replace(domain, DOMAIN_AFFIXES, ""))
 
 
+def brand_scores(df: DataFrame, term: str, domain: str) -> DataFrame:
+    """The dictionary of ``classify_terms``: (term, domain, n, score), a row for each distinct pair.
+
+    Rows are counted by pair before any shuffle, so only distinct pairs move and
+    are scored; they are dealt out evenly first, as scoring is the costly part.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = df.groupBy(F.col(term).alias("term"), F.col(domain).alias("domain")).agg(F.count(F.lit(1)).alias("n")).repartition(parts)
+    return pairs.withColumn("score", similarity_score(F.lower("term"), brand_of_domain(F.col("domain"))).cast("long"))
+
+
+#: A pair is hot when it holds more than this share of all rows, so there are fewer than its inverse.
+HOT_SHARE = 0.001
+
+
 def classify_terms(df: DataFrame, term: str, domain: str, threshold: int = BRAND_THRESHOLD) -> DataFrame:
     """Add ``brand_similarity_score`` (0..100) and ``search_type``.
 
     A term is Branded when its Jaro-Winkler score against the domain's brand
-    exceeds ``threshold``. The score is a column expression: no Python worker.
+    exceeds ``threshold``. Each distinct (term, domain) is scored once
+    (``brand_scores``, written to the shared folder) and its score returns to
+    the rows. A dictionary under Spark's broadcast limit goes to the rows; a
+    larger one is joined by pair, but for hot pairs: at most 1 / ``HOT_SHARE``
+    of them, broadcast, while their rows are spread over keys that match nothing.
     """
-    score = similarity_score(F.lower(F.col(term)), brand_of_domain(F.col(domain)))
-    return df.withColumn("brand_similarity_score", score.cast("long")).withColumn(
-        "search_type", F.when(F.col("brand_similarity_score") > threshold, BRANDED).otherwise(UNBRANDED)
-    )
+    scores = materialize(brand_scores(df, term, domain), "brand-scores")
+    total = scores.agg(F.sum("n")).first()[0] or 0
+    hot = scores.where(F.col("n") > total * HOT_SHARE).select(F.col("term").alias("_t"), F.col("domain").alias("_d"), F.col("score").alias("_hot"), F.lit(True).alias("_is_hot"))
+    cold = scores.where(F.col("n") <= total * HOT_SHARE).select(F.col("term").alias("_t"), F.col("domain").alias("_d"), F.col("score").alias("_cold"), F.lit(-1).cast("long").alias("_s"))
+    same = F.col(term).eqNullSafe(F.col("_t")) & F.col(domain).eqNullSafe(F.col("_d"))
+    marked = df.join(F.broadcast(hot), same, "left").drop("_t", "_d")
+    spread = marked.withColumn("_spread", F.when(F.col("_is_hot"), F.monotonically_increasing_id()).otherwise(-1))
+    found = spread.join(cold, same & (F.col("_spread") == F.col("_s")), "left")
+    scored = found.withColumn("brand_similarity_score", F.coalesce("_hot", "_cold")).select(*df.columns, "brand_similarity_score")
+    return scored.withColumn("search_type", F.when(F.col("brand_similarity_score") > threshold, BRANDED).otherwise(UNBRANDED))
 
 
 def search_rows(stg_export: DataFrame) -> DataFrame:
@@ -106,10 +132,7 @@ def search_rows(stg_export: DataFrame) -> DataFrame:
 
 def search_terms(stg_export: DataFrame) -> DataFrame:
     """int_gsc_search_terms: rounded metrics, flags, bucket and classification."""
-    # Documents differ in size and scoring is the costly part: deal the rows out evenly.
-    parts = int(stg_export.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = search_rows(stg_export).repartition(parts)
-    out = rows.select(
+    out = search_rows(stg_export).select(
         "restaurant_id",
         "domain",
         "updated_at",

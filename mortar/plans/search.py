@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import round_ratio, round_ratio_units
-from ..operators.text import BRANDED, UNBRANDED, explode_json_list, search_terms as _search_terms
+from ..operators.similar import similar_pairs
+from ..operators.text import BRAND_THRESHOLD, BRANDED, UNBRANDED, brand_of_domain, explode_json_list, search_terms as _search_terms
+from ..sources.sinks import materialize
 
 OVERALL = "Overall"
 TYPES = [OVERALL, BRANDED, UNBRANDED]
@@ -81,6 +83,31 @@ def search_terms(stg_export: DataFrame) -> DataFrame:
     return _search_terms(stg_export)
 
 
+# --------------------------------------------------------------------------- other brands
+
+
+def other_brand_terms(terms: DataFrame, threshold: int = BRAND_THRESHOLD) -> DataFrame:
+    """Where searches for another restaurant's brand turn up a restaurant.
+
+    One row per (restaurant_id, domain, search_term) and other domain whose brand the
+    term resembles: (.., other_domain, brand_similarity_score, n_rows, clicks, impressions).
+    All brands of the table are compared with all terms, by a similarity join of
+    the distinct strings (``similar_pairs``). Sums ignore NULLs; a NULL term
+    matches nothing; a restaurant without a domain is met by every brand.
+    """
+    asked = terms.groupBy("restaurant_id", "domain", "search_term").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("clicks").cast("long").alias("clicks"), F.sum("impressions").cast("long").alias("impressions")
+    )
+    asked = materialize(asked.withColumn("_term", F.lower("search_term")), "asked-terms")
+    brands = asked.select(F.col("domain").alias("other_domain"), brand_of_domain(F.col("domain")).alias("_brand")).distinct()
+    pairs = similar_pairs(asked, "_term", brands, "_brand", threshold, score="brand_similarity_score")
+    met = asked.join(pairs.join(brands, "_brand"), "_term").where(~F.col("domain").eqNullSafe(F.col("other_domain")))
+    return met.select(
+        "restaurant_id", "domain", "search_term", "other_domain", F.col("brand_similarity_score").cast("long").alias("brand_similarity_score"),
+        "n_rows", "clicks", "impressions",
+    )
+
+
 # --------------------------------------------------------------------------- restaurant metrics
 
 

@@ -192,6 +192,16 @@ def q_search_terms(spark, sf_dir):
     return _terms(spark, sf_dir)
 
 
+def q_other_brand_terms(spark, sf_dir):
+    """Search terms of the exports against the brands of all other restaurants."""
+    return search.other_brand_terms(_terms(spark, sf_dir))
+
+
+def q_other_brand_titles(spark, sf_dir):
+    """Titles of web pages against the names of all other sites."""
+    return search.other_brand_terms(fx.site_searches(_src(spark, sf_dir)))
+
+
 def q_search_term_metrics(spark, sf_dir):
     m = search.metrics_with_overall(search.term_metrics(_terms(spark, sf_dir)))
     return search.means_to_doubles(m)
@@ -376,6 +386,8 @@ QUERIES: dict[str, Query] = {
     "stg_cuisines": q_stg_cuisines,
     "search_terms": q_search_terms,
     "search_term_metrics": q_search_term_metrics,
+    "other_brand_terms": q_other_brand_terms,
+    "other_brand_titles": q_other_brand_titles,
     "restaurant_metrics": q_restaurant_metrics,
     "cuisine_metrics": q_cuisine_metrics,
     "audit_open_tickets": q_audit_open_tickets,

@@ -248,6 +248,26 @@ def search_export(src: Sources) -> DataFrame:
     )
 
 
+def site_searches(src: Sources) -> DataFrame:
+    """Search rows (restaurant_id, domain, search_term, clicks, impressions): one for each web page.
+
+    A site is a restaurant whose domain is www.name.com, the name being its host without
+    ``.example`` and what follows; a page was found by the first two words of
+    its title, ASCII letters only.
+    """
+    p = src["pages"]
+    letters = F.regexp_replace(F.regexp_extract("html", "<title>(.*?)</title>", 1), "[^A-Za-z ]", "")
+    words = F.split(F.trim(F.regexp_replace(F.lower(letters), " +", " ")), " ")
+    name = F.regexp_extract("url", r"^[a-z]+://([^/]+)\.example\.", 1)
+    return p.select(
+        F.substring(F.md5(name.cast("binary")), 1, 8).alias("restaurant_id"),
+        F.concat(F.lit("www."), name, F.lit(".com")).alias("domain"),
+        F.array_join(F.slice(words, 1, 2), " ").alias("search_term"),
+        (F.col("page_id") % 40).cast("long").alias("clicks"),
+        F.length("html").cast("long").alias("impressions"),
+    )
+
+
 def cuisine_changes(src: Sources) -> DataFrame:
     """Change events (restaurant_id, day, seq, cuisines): one for each order; ``seq`` orders those of a day."""
     o = src["orders"]

@@ -39,6 +39,7 @@ SCHEMAS: dict[str, T.StructType] = {
     "events": _schema(
         ("event_id", _L), ("ts", _TS), ("user_id", _L), ("event_type", _S), ("value", _D), ("props", _S)
     ),
+    "pages": _schema(("page_id", _L), ("url", _S), ("html", _S)),
 }
 
 
