@@ -7,8 +7,10 @@ derivations) and runs over all of their rows.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date as dt_date
+from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .plans import customers as saas
@@ -17,6 +19,7 @@ from .plans import data_tests as dt
 from .plans import history, monitoring, search
 from .operators.checks import run_checks
 from .operators.compare import compare_all_columns, compare_relations
+from .session import scratch_path
 from .sources.sinks import materialize
 from .sources import fixtures as fx
 from .sources import generate as gen
@@ -297,6 +300,49 @@ def q_cuisine_snapshot(spark, sf_dir):
     return materialize(materialize(taken, "cuisine_snapshot", partition_by=["snapshot_date"]), "cuisine_snapshot_view", kind="view")
 
 
+def q_cuisine_sales_daily(spark, sf_dir):
+    """Orders by day and the cuisines that their restaurant had on that day."""
+    s = _src(spark, sf_dir)
+    ranges = history.validity_ranges(fx.cuisine_changes(s), *_CHANGES)
+    sold = history.value_on_day(fx.restaurant_sales(s), "day", ranges, "restaurant_id", "cuisines")
+    return sold.groupBy("day", "cuisines").agg(
+        F.count(F.lit(1)).alias("n_orders"), F.count_distinct("restaurant_id").alias("n_restaurants"), F.sum("cents").cast("long").alias("cents")
+    )
+
+
+#: Month ends of a year, and the one whose snapshot is taken again.
+SNAPSHOT_DAYS = [str(d) for d in (dt_date(1996, m + 1, 1) - timedelta(days=1) for m in range(1, 12))]
+RERUN_DAY = "1996-06-30"
+
+
+def _late(seq: Column) -> Column:
+    """Whether a change event comes in after the snapshots were taken."""
+    return seq % 7 == 3
+
+
+def q_cuisine_snapshots(spark, sf_dir):
+    """A growing table of month-end snapshots, a day at a time; then one day anew, with the events that came late.
+
+    Every event is read; a late one is seen by the rerun day alone, as the other days stay as written.
+    """
+    events = fx.cuisine_changes(_src(spark, sf_dir))
+    path = scratch_path(spark, "cuisine-snapshots")
+    taken = lambda known, day: history.write_snapshots(history.snapshot(known, *_CHANGES, as_of=day), path, [day])
+    for day in SNAPSHOT_DAYS:
+        taken(events.where(~_late(F.col("seq"))), day)
+    taken(events, RERUN_DAY)
+    return spark.read.parquet(path).select("snapshot_date", "restaurant_id", "cuisines")
+
+
+def q_cuisine_validity_merged(spark, sf_dir):
+    """Validity ranges kept in a table, from three batches of events that are out of order."""
+    events = fx.cuisine_changes(_src(spark, sf_dir))
+    path = scratch_path(spark, "cuisine-ranges")
+    for batch in range(3):
+        history.merge_changes(path, events.where(F.pmod("seq", F.lit(3)) == batch), *_CHANGES)
+    return history.read_ranges(spark, path, "restaurant_id", "cuisines")
+
+
 def q_daily_metrics_monitor(spark, sf_dir):
     return monitoring.metrics_by_day(q_daily_metrics(spark, sf_dir), "date", MONITORED)
 
@@ -397,6 +443,9 @@ QUERIES: dict[str, Query] = {
     "cuisine_validity": q_cuisine_validity,
     "cuisine_daily": q_cuisine_daily,
     "cuisine_snapshot": q_cuisine_snapshot,
+    "cuisine_snapshots": q_cuisine_snapshots,
+    "cuisine_validity_merged": q_cuisine_validity_merged,
+    "cuisine_sales_daily": q_cuisine_sales_daily,
     "daily_metrics_monitor": q_daily_metrics_monitor,
     "tests_saas_customers": q_tests_saas_customers,
     "tests_subscriptions": q_tests_subscriptions,

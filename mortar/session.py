@@ -89,15 +89,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of a name, whatever store it is in."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), found
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, found = _hadoop_path(spark, path)
+    return fs.exists(found)
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder or file with all in it; whether there was one."""
+    fs, found = _hadoop_path(spark, path)
+    return fs.delete(found, True)
+
+
 def remove_scratch(spark: SparkSession) -> int:
     """Delete what this process wrote to scratch folders; returns how many there were.
 
     Call it when results that read them are written. DataFrames built before can't be used
     afterwards.
     """
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     removed = 0
     while _scratch:
-        path = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
-        removed += bool(path.getFileSystem(conf).delete(path, True))
+        removed += bool(remove_path(spark, _scratch.pop()))
     return removed

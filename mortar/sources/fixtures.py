@@ -281,6 +281,16 @@ def cuisine_changes(src: Sources) -> DataFrame:
     )
 
 
+def restaurant_sales(src: Sources) -> DataFrame:
+    """Sales (restaurant_id, day, cents): one for each order, also before a restaurant's first change and of some without one."""
+    o = src["orders"]
+    return o.select(
+        (F.col("o_custkey") % 43 + 10).cast("int").alias("restaurant_id"),
+        F.date_sub(F.col("o_orderdate").cast("date"), (F.col("o_orderkey") % 30).cast("int")).alias("day"),
+        F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"),
+    )
+
+
 def cuisine_export(src: Sources) -> DataFrame:
     """Cuisines (restaurant_id, cuisines JSON list), one row per brand."""
     p = src["part"]
