@@ -347,6 +347,16 @@ def q_daily_metrics_monitor(spark, sf_dir):
     return monitoring.metrics_by_day(q_daily_metrics(spark, sf_dir), "date", MONITORED)
 
 
+def q_daily_metrics_sketch(spark, sf_dir):
+    """Quantiles of days, weeks and four weeks from one stored sketch a day."""
+    return monitoring.sketched_quantiles(q_daily_metrics(spark, sf_dir), "date", MONITORED)
+
+
+def q_daily_metrics_anomalies(spark, sf_dir):
+    """Robust scores of each day's figures against the four weeks before."""
+    return monitoring.anomalies(q_daily_metrics_monitor(spark, sf_dir), "date", "metric", monitoring.FIGURES)
+
+
 # --------------------------------------------------------------------------- data tests
 
 
@@ -447,6 +457,8 @@ QUERIES: dict[str, Query] = {
     "cuisine_validity_merged": q_cuisine_validity_merged,
     "cuisine_sales_daily": q_cuisine_sales_daily,
     "daily_metrics_monitor": q_daily_metrics_monitor,
+    "daily_metrics_sketch": q_daily_metrics_sketch,
+    "daily_metrics_anomalies": q_daily_metrics_anomalies,
     "tests_saas_customers": q_tests_saas_customers,
     "tests_subscriptions": q_tests_subscriptions,
     "tests_login_events": q_tests_login_events,
