@@ -37,4 +37,4 @@ def materialize(
         raise ValueError(f"unknown materialization {kind!r}")
     target = path or scratch_path(spark, name)
     writer.parquet(target)
-    return spark.read.parquet(target)
+    return spark.read.schema(df.schema).parquet(target)
