@@ -14,13 +14,15 @@ Semantics kept from the reference (see SURVEY 2.16):
   ``tickets="cumulative"`` counts tickets created so far.
 - Login look-backs only see the day's own logins (``logins="literal"``):
   ``*_last_3m`` is the day's login rows, ``*_prev_3m`` 0. ``logins="trailing"``
-  counts login rows over true [d-90, d] and [d-180, d-91] windows.
+  counts login rows over true [d-90, d] and [d-180, d-91] windows, for unique
+  users too, as both branches of the reference count rows; ``logins="distinct"``
+  counts those windows' distinct users.
 - ``lag(.., 90)`` is by rows of the dense spine; the lag sees NULL arr.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import pct_change_units, round_ratio, round_ratio_units, surrogate_key, true_or_false
@@ -36,6 +38,7 @@ from ..operators.temporal import (
     running_segments,
     split_segments,
 )
+from ..session import path_exists, remove_path
 from ..sources.sinks import materialize
 from ..sources.fixtures import TICKET_CATEGORIES, USER_TYPES
 
@@ -124,7 +127,7 @@ def _login_events(logins: DataFrame, start: str, end: str, mode: str) -> list[Da
     )
     # a NULL customer's logins match no customer in the reference's join
     events = [point.where(F.col(KEY).isNotNull())]
-    if mode == "trailing":
+    if mode in ("trailing", "distinct"):
         daily = logins.select(KEY, day.alias("day")).where(F.col("day").isNotNull()).groupBy(KEY, "day").agg(
             F.count(F.lit(1)).alias("_n")
         )
@@ -138,6 +141,12 @@ def _login_events(logins: DataFrame, start: str, end: str, mode: str) -> list[Da
         events.append(emit_events(daily, KEY, specs))
     elif mode != "literal":
         raise ValueError(f"unknown logins mode {mode!r}")
+    if mode == "distinct":
+        # a login covers 91 days of the one window, then 90 of the other; a user's
+        # overlapping ones count once. Distinct days first: repeats add nothing.
+        seen = logins.select(KEY, "user_id", day.alias("_day")).where(F.col("_day").isNotNull()).distinct()
+        for out, a, b in (("users3", 0, 91), ("prev_users3", 91, 181)):
+            events.append(distinct_active_events(seen, KEY, "user_id", F.date_add("_day", a), F.date_add("_day", b), start, end, out=out))
     return events
 
 
@@ -179,7 +188,8 @@ def daily_segments(
     if logins is not None:
         events += _login_events(logins, start, end, logins_mode)
         point += _LOGIN_POINT
-        running += ["last3", "prev3"] if logins_mode == "trailing" else []
+        running += ["last3", "prev3"] if logins_mode != "literal" else []
+        running += ["users3", "prev_users3"] if logins_mode == "distinct" else []
     sparse = running_segments(firsts, KEY, events, running, point, end=end)
     seg = split_segments(sparse, F.date_add("first_day", LAG_DAYS))
     seg = seg.select(
@@ -259,19 +269,21 @@ def daily_logins(customers: DataFrame, logins: DataFrame, logins_mode: str = "li
     """The reference's daily_login_metrics (NULL look-backs where it has no rows)."""
     s = daily_state(customers, logins=logins, logins_mode=logins_mode, **kw)
     counts = [F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in _LOGIN_POINT[:-1]]
-    if logins_mode == "trailing":
-        last = F.when(F.col("last3") != 0, F.col("last3"))
-        prev = F.when(F.col("prev3") != 0, F.col("prev3"))
+    if logins_mode != "literal":
+        last, prev = F.nullif(F.col("last3"), F.lit(0)), F.nullif(F.col("prev3"), F.lit(0))
     else:
         last, prev = F.col("login_rows"), F.lit(None).cast("long")
+    users, prev_users = last, prev
+    if logins_mode == "distinct":
+        users, prev_users = F.nullif(F.col("users3"), F.lit(0)), F.nullif(F.col("prev_users3"), F.lit(0))
     return s.select(
         KEY,
         "date",
         *counts,
         last.alias("num_logins_last_3m"),
         prev.alias("num_logins_prev_3m"),
-        last.alias("num_unique_users_last_3m"),
-        prev.alias("num_unique_users_prev_3m"),
+        users.alias("num_unique_users_last_3m"),
+        prev_users.alias("num_unique_users_prev_3m"),
     )
 
 
@@ -306,7 +318,7 @@ DAILY_COLUMNS = [
 ]
 
 
-def daily_metrics(
+def metric_segments(
     customers: DataFrame,
     subscriptions: DataFrame,
     logins: DataFrame,
@@ -315,24 +327,23 @@ def daily_metrics(
     end: str = SPINE_END,
     tickets_mode: str = "literal",
     logins_mode: str = "literal",
-    latest_only: bool = False,
 ) -> DataFrame:
-    """customer_daily_metrics: 36 columns per (customer, day).
-
-    ``latest_only`` returns only each customer's latest day (what
-    ``customers_enriched`` reads): the latest segment per customer is taken
-    before the explode, so only one day per customer is produced.
-    """
+    """Every column of the daily table that depends on the customer alone, as segments of constant days."""
     s = daily_segments(customers, subscriptions, logins, tickets, start, end, tickets_mode, logins_mode)
     z = F.lit(0)
 
     def c0(name):
         return F.expr(f"cast(coalesce({name}, 0) as bigint)")
 
-    if logins_mode == "trailing":
+    if logins_mode != "literal":
         last3, prev3 = c0("last3"), c0("prev3")
     else:
         last3, prev3 = c0("login_rows"), F.lit(0).cast("long")
+    users, prev_users, users_change = "_last3", "_prev3", "_p_logins"
+    if logins_mode == "distinct":
+        s = s.select("*", c0("users3").alias("_users3"), c0("prev_users3").alias("_prev_users3"))
+        s = s.select("*", pct_change_units("_users3", "_prev_users3").alias("_p_users"))
+        users, prev_users, users_change = "_users3", "_prev_users3", "_p_users"
     # Every value below is constant over a segment, so it is computed once
     # per segment, not once per day. Stepwise projections keep each
     # intermediate a column of its own (no re-expansion inside the score).
@@ -350,7 +361,8 @@ def daily_metrics(
         (
             F.coalesce(F.col("_p_products"), z)
             + F.coalesce(F.col("_p_arr"), z)
-            + F.coalesce(F.col("_p_logins"), z) * 2  # logins and unique users share the look-back
+            + F.coalesce(F.col("_p_logins"), z)
+            + F.coalesce(F.col(users_change), z)
         ).alias("_p_sum"),
     )
     open_ = F.col("open")
@@ -375,11 +387,11 @@ def daily_metrics(
         (F.col("_p_arr") / F.lit(100.0)).alias("pct_change_mrr_90d"),
         *[c0(c).alias(c) for c in _LOGIN_POINT[:-1]],
         F.col("_last3").alias("num_logins_last_3m"),
-        F.col("_last3").alias("num_unique_users_last_3m"),
+        F.col(users).alias("num_unique_users_last_3m"),
         F.col("_prev3").alias("num_logins_prev_3m"),
-        F.col("_prev3").alias("num_unique_users_prev_3m"),
+        F.col(prev_users).alias("num_unique_users_prev_3m"),
         (p_logins / F.lit(100.0)).alias("pct_change_logins_3m"),
-        (p_logins / F.lit(100.0)).alias("pct_change_unique_users_3m"),
+        (F.col(users_change) / F.lit(100.0)).alias("pct_change_unique_users_3m"),
         (F.col("tix").cast("long") if tickets_mode == "cumulative" else F.lit(None).cast("long")).alias("_tix"),
         open_.cast("long").alias("open_tickets"),
         *[F.expr(f"cast(open_{_cat(c)} as bigint) as open_{_cat(c)}_tickets") for c in TICKET_CATEGORIES],
@@ -388,10 +400,31 @@ def daily_metrics(
             "avg_days_to_resolution"
         ),
         true_or_false(p_logins < 0).alias("is_logins_declining"),
-        true_or_false(p_logins < 0).alias("is_unique_users_declining"),
+        true_or_false(F.col(users_change) < 0).alias("is_unique_users_declining"),
         true_or_false(F.col("open14") > 3).alias("has_high_aging_tickets"),
         "_raw_units",
     )
+    return seg
+
+
+def daily_metrics(
+    customers: DataFrame,
+    subscriptions: DataFrame,
+    logins: DataFrame,
+    tickets: DataFrame,
+    start: str = SPINE_START,
+    end: str = SPINE_END,
+    tickets_mode: str = "literal",
+    logins_mode: str = "literal",
+    latest_only: bool = False,
+) -> DataFrame:
+    """customer_daily_metrics: 36 columns per (customer, day).
+
+    ``latest_only`` returns only each customer's latest day (what
+    ``customers_enriched`` reads): the latest segment per customer is taken
+    before the explode, so only one day per customer is produced.
+    """
+    seg = metric_segments(customers, subscriptions, logins, tickets, start, end, tickets_mode, logins_mode)
     if latest_only:
         # Every customer's grid runs to the last spine day, so each latest day
         # is that day and the latest segments carry every score of it: the
@@ -401,7 +434,11 @@ def daily_metrics(
         seg = seg.where(F.col("_hi") == last).withColumn("_lo", F.col("_hi"))
     # Read twice (per-day bounds, then the rows): written once to shared
     # storage instead of being recomputed.
-    seg = materialize(seg, "daily_metrics_latest" if latest_only else "daily_metrics_segments")
+    return daily_rows(materialize(seg, "daily_metrics_latest" if latest_only else "daily_metrics_segments"), tickets_mode)
+
+
+def daily_rows(seg: DataFrame, tickets_mode: str = "literal") -> DataFrame:
+    """The daily table from stored segments: one row a day, with the scores that compare a day's customers."""
     # Min-max per day over narrow (date, score) rows: at most (end - start) groups.
     bounds = group_min_max(
         seg.select(F.explode(F.sequence("_lo", "_hi")).alias("date"), "_raw_units"), ["date"], "_raw_units"
@@ -423,6 +460,49 @@ def daily_metrics(
     )
 
 
+# --------------------------------------------------------------------------- kept up to date
+
+#: Folders that stored segments are divided in, by a hash of the customer.
+BUCKETS = 64
+
+
+def refresh_segments(path: str, changed: DataFrame, customers: DataFrame, *inputs: DataFrame, buckets: int = BUCKETS, **modes) -> int:
+    """Work out anew the stored segments of the ``changed`` customers (a table with their ids); returns the folders written.
+
+    A customer's segments depend on that customer's rows alone, so what any new, late or
+    corrected input changes is the customers it names. Inputs are cut to these by a semi
+    join; folders without one of them are neither read nor written, and in the others the
+    customers that didn't change are carried over. ``daily_rows`` of the store equals
+    ``daily_metrics`` of all inputs, as only per-day bounds span customers. The first call,
+    with all customers, builds the store.
+    """
+    spark = customers.sparkSession
+    names = materialize(changed.select(F.col(KEY).alias("_k")).distinct(), "changed-customers")
+    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(buckets)).cast("int")
+    touched = sorted(r[0] for r in names.select(bucket("_k").alias("b")).distinct().collect())  # at most ``buckets``
+    if not touched:
+        return 0
+    cut = lambda df: df.join(names, F.col(KEY).eqNullSafe(F.col("_k")), "left_semi")
+    seg = metric_segments(cut(customers), *(cut(df) for df in inputs), **modes).withColumn("bucket", bucket(KEY))
+    if path_exists(spark, path):
+        stored = spark.read.parquet(path).where(F.col("bucket").isin(touched))
+        seg = seg.unionByName(stored.join(names, F.col(KEY).eqNullSafe(F.col("_k")), "left_anti"))
+    aside = materialize(seg, "refreshed-segments")
+    # a customer that has no days any more leaves no row; a folder that is empty now must go
+    left = {r[0] for r in aside.select("bucket").distinct().collect()}
+    dealt = aside.repartition("bucket", KEY)
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+    for b in touched:
+        if b not in left:
+            remove_path(spark, f"{path}/bucket={b}")
+    return len(touched)
+
+
+def stored_daily_metrics(spark: SparkSession, path: str, tickets_mode: str = "literal") -> DataFrame:
+    """The daily table of the segments stored at ``path``."""
+    return daily_rows(spark.read.parquet(path).drop("bucket"), tickets_mode)
+
+
 # --------------------------------------------------------------------------- enriched
 
 ENRICHED_METRICS = [c for c in DAILY_COLUMNS if c not in ("record_key", "customer_id", "date")]

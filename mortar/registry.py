@@ -20,8 +20,9 @@ from .plans import history, monitoring, search
 from .operators.checks import run_checks
 from .operators.compare import compare_all_columns, compare_relations
 from .operators.diff import diff_tables
+from .operators.rank import latest_per_key
 from .session import scratch_path
-from .sources.sinks import materialize
+from .sources.sinks import clustered_table, materialize
 from .sources import fixtures as fx
 from .sources import generate as gen
 from .sources.tables import Sources
@@ -158,6 +159,16 @@ def q_daily_logins_trailing(spark, sf_dir):
     return saas.daily_logins(c, logins, logins_mode="trailing")
 
 
+def q_daily_logins_distinct(spark, sf_dir):
+    c, _, logins, _ = _saas(spark, sf_dir)
+    return saas.daily_logins(c, logins, logins_mode="distinct")
+
+
+def q_daily_metrics_distinct(spark, sf_dir):
+    """The daily table with the look-backs as meant: rows and distinct users of 90 days."""
+    return saas.daily_metrics(*_saas(spark, sf_dir), logins_mode="distinct")
+
+
 def q_open_tickets_daily(spark, sf_dir):
     c, _, _, t = _saas(spark, sf_dir)
     return saas.open_tickets_daily(c, t)
@@ -177,6 +188,29 @@ def q_customers_enriched(spark, sf_dir):
     return saas.customers_enriched(c, saas.daily_metrics(c, subs, logins, t, latest_only=True), as_of=AS_OF, is_latest=True)
 
 
+def q_daily_metrics_refreshed(spark, sf_dir):
+    """The daily table kept up to date: built before some tickets and logins came, then refreshed for their customers."""
+    c, subs, logins, tickets = _saas(spark, sf_dir)
+    path = scratch_path(spark, "daily-segments")
+    late_login, late_ticket = F.crc32("user_id") % 10 == 3, F.crc32("ticket_id") % 10 == 3
+    saas.refresh_segments(path, c, c, subs, logins.where(~late_login), tickets.where(~late_ticket))
+    changed = logins.where(late_login).select("customer_id").unionByName(tickets.where(late_ticket).select("customer_id"))
+    saas.refresh_segments(path, changed, c, subs, logins, tickets)
+    return saas.stored_daily_metrics(spark, path)
+
+
+def q_customers_enriched_clustered(spark, sf_dir):
+    """Customers with their latest day, from a daily table stored in buckets of customers."""
+    c = clustered_table(fx.saas_customers(_src(spark, sf_dir)), "customers_clustered", ["customer_id"])
+    daily = clustered_table(q_daily_metrics(spark, sf_dir), "daily_metrics_clustered", ["customer_id"], ["date"])
+    return saas.customers_enriched(c, daily, as_of=AS_OF)
+
+
+def q_latest_tickets(spark, sf_dir):
+    """Each customer's latest ticket; of those created at the same time, the one with the greatest id."""
+    return latest_per_key(fx.saas_support_tickets(_src(spark, sf_dir)), ["customer_id"], ["created_date"])
+
+
 # --------------------------------------------------------------------------- search
 
 
@@ -439,10 +473,15 @@ QUERIES: dict[str, Query] = {
     "product_sets": q_product_sets,
     "daily_logins": q_daily_logins,
     "daily_logins_trailing": q_daily_logins_trailing,
+    "daily_logins_distinct": q_daily_logins_distinct,
+    "daily_metrics_distinct": q_daily_metrics_distinct,
     "open_tickets_daily": q_open_tickets_daily,
     "open_tickets_cumulative": q_open_tickets_cumulative,
     "daily_metrics": q_daily_metrics,
+    "daily_metrics_refreshed": q_daily_metrics_refreshed,
     "customers_enriched": q_customers_enriched,
+    "customers_enriched_clustered": q_customers_enriched_clustered,
+    "latest_tickets": q_latest_tickets,
     "stg_search_export": q_stg_search_export,
     "stg_cuisines": q_stg_cuisines,
     "search_terms": q_search_terms,
