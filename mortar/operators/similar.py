@@ -101,7 +101,9 @@ def sides(left: DataFrame, a: str, right: DataFrame, b: str, threshold: int) ->
     if bounds[0] is not None:
         # a text far longer than any of the other side is not looked at, whatever it holds
         x = x.where((F.col("n") >= bounds[0] * ratio - EPS) & (F.col("n") * ratio <= bounds[1] + EPS))
-    x = materialize(x.withColumn("tokens", numbered_characters(F.col("text"))), "similar-left")
+    # strings are narrow but dear to index: dealt out evenly, whatever their bytes
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    x = materialize(x.repartition(parts).withColumn("tokens", numbered_characters(F.col("text"))), "similar-left")
     y = materialize(y.withColumn("tokens", numbered_characters(F.col("text"))), "similar-right")
     tokens = x.select(F.explode("tokens").alias("t")).unionAll(y.select(F.explode("tokens").alias("t")))
     often = [r["t"] for r in tokens.groupBy("t").count().orderBy(F.desc("count"), "t").limit(RANKED).collect()]
