@@ -4,7 +4,7 @@ lists to rows, and branded / unbranded classification of search terms.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,6 +91,8 @@ def brand_scores(df: DataFrame, term: str, domain: str) -> DataFrame:
 
 #: A pair is hot when it holds more than this share of all rows, so there are fewer than its inverse.
 HOT_SHARE = 0.001
+#: A dictionary of so many bytes of text at most goes to all rows as it is.
+SMALL_BYTES = 8 << 20
 
 
 def classify_terms(df: DataFrame, term: str, domain: str, threshold: int = BRAND_THRESHOLD) -> DataFrame:
@@ -99,19 +101,28 @@ def classify_terms(df: DataFrame, term: str, domain: str, threshold: int = BRAND
     A term is Branded when its Jaro-Winkler score against the domain's brand
     exceeds ``threshold``. Each distinct (term, domain) is scored once
     (``brand_scores``, written to the shared folder) and its score returns to
-    the rows. A dictionary under Spark's broadcast limit goes to the rows; a
-    larger one is joined by pair, but for hot pairs: at most 1 / ``HOT_SHARE``
-    of them, broadcast, while their rows are spread over keys that match nothing.
+    the rows. A dictionary of up to ``SMALL_BYTES``, measured as it is written, is
+    broadcast, and no row moves. A larger one is joined by pair, but for hot
+    pairs: there are at most 1 / ``HOT_SHARE`` of them, which are broadcast, while their
+    rows are spread over keys that match nothing.
     """
-    scores = materialize(brand_scores(df, term, domain), "brand-scores")
-    total = scores.agg(F.sum("n")).first()[0] or 0
-    hot = scores.where(F.col("n") > total * HOT_SHARE).select(F.col("term").alias("_t"), F.col("domain").alias("_d"), F.col("score").alias("_hot"), F.lit(True).alias("_is_hot"))
-    cold = scores.where(F.col("n") <= total * HOT_SHARE).select(F.col("term").alias("_t"), F.col("domain").alias("_d"), F.col("score").alias("_cold"), F.lit(-1).cast("long").alias("_s"))
+    seen = Observation()
+    size = F.coalesce(F.octet_length("term"), F.lit(0)) + F.coalesce(F.octet_length("domain"), F.lit(0)) + 24
+    watched = brand_scores(df, term, domain).observe(seen, F.sum("n").alias("n"), F.sum(size).alias("bytes"))
+    scores = materialize(watched, "brand-scores").select(F.col("term").alias("_t"), F.col("domain").alias("_d"), F.col("n").alias("_n"), F.col("score").alias("_score"))
     same = F.col(term).eqNullSafe(F.col("_t")) & F.col(domain).eqNullSafe(F.col("_d"))
-    marked = df.join(F.broadcast(hot), same, "left").drop("_t", "_d")
-    spread = marked.withColumn("_spread", F.when(F.col("_is_hot"), F.monotonically_increasing_id()).otherwise(-1))
-    found = spread.join(cold, same & (F.col("_spread") == F.col("_s")), "left")
-    scored = found.withColumn("brand_similarity_score", F.coalesce("_hot", "_cold")).select(*df.columns, "brand_similarity_score")
+    if (seen.get["bytes"] or 0) <= SMALL_BYTES:
+        score = F.col("_score")
+        found = df.join(F.broadcast(scores), same, "left")
+    else:
+        most = seen.get["n"] * HOT_SHARE
+        hot = scores.where(F.col("_n") > most).select("_t", "_d", F.col("_score").alias("_hot"), F.lit(True).alias("_is_hot"))
+        cold = scores.where(F.col("_n") <= most).select("_t", "_d", F.col("_score").alias("_cold"), F.lit(-1).cast("long").alias("_s"))
+        marked = df.join(F.broadcast(hot), same, "left").drop("_t", "_d")
+        spread = marked.withColumn("_spread", F.when(F.col("_is_hot"), F.monotonically_increasing_id()).otherwise(-1))
+        found = spread.join(cold, same & (F.col("_spread") == F.col("_s")), "left")
+        score = F.coalesce("_hot", "_cold")
+    scored = found.select(*df.columns, score.alias("brand_similarity_score"))
     return scored.withColumn("search_type", F.when(F.col("brand_similarity_score") > threshold, BRANDED).otherwise(UNBRANDED))
 
 

@@ -83,8 +83,9 @@ def searches(spark):
     return spark.createDataFrame(rows, "search_term string, domain string, n long").repartition(5)
 
 
-@pytest.mark.parametrize("broadcast", ["10m", "-1"])
-def test_classified_like_each_row_alone(spark, broadcast):
+@pytest.mark.parametrize("broadcast,small", [("10m", 8 << 20), ("10m", 0), ("-1", 0)])
+def test_classified_like_each_row_alone(spark, broadcast, small, monkeypatch):
+    monkeypatch.setattr(text, "SMALL_BYTES", small)
     df = searches(spark)
     score = similarity_score(F.lower("search_term"), text.brand_of_domain(F.col("domain"))).cast("long")
     want = df.select("*", score.alias("brand_similarity_score")).withColumn(
