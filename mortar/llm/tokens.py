@@ -96,6 +96,9 @@ class Pieces(dict):
 
     def __init__(self, tokenizer, words: bool | None = None):
         self.whole = tokenizer.encode
+        # the library gives these strings their own id wherever they stand in a text
+        added = [re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added) or r"(?!)")
         self.latin = (lambda piece: None) if words is None else Latin(tokenizer, words).ids
         # white space around words gives no ids in a word vocabulary
         self.cut = str.split if words else chunks
@@ -105,7 +108,10 @@ class Pieces(dict):
         ids = self.latin(piece)
         if ids is not None:
             return array("I", ids).tobytes()
-        return np.array(self.whole(piece, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return self.encode_whole(piece)
+
+    def encode_whole(self, text: str) -> bytes:
+        return np.array(self.whole(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.old.get(piece)
@@ -120,7 +126,7 @@ class Pieces(dict):
 
 
 def pieces_of(path: str, words: bool | None = None) -> Pieces:
-    """The memory of this worker for one vocabulary; special tokens in a text are ordinary text.
+    """The memory of this worker for one vocabulary.
 
     ``words``: True if the vocabulary lower-cases and drops white space, False if it is one of
     bytes, for a quicker way; None for any other.
@@ -129,16 +135,18 @@ def pieces_of(path: str, words: bool | None = None) -> Pieces:
 
     cache, key = worker_cache(), ("pieces", path, words)
     if key not in cache:
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
-        cache[key] = Pieces(tokenizer, words)
+        cache[key] = Pieces(Tokenizer.from_file(path), words)
     return cache[key]
 
 
 def encode_text(text: str, pieces: Pieces) -> bytes:
-    """The ids of a whole text as little-endian unsigned 32-bit integers."""
+    """The ids of a whole text as little-endian unsigned 32-bit integers.
+
+    As the library's plain call gives them: a string of the vocabulary's added tokens, like
+    <|endoftext|>, becomes that token's id. A text with one goes whole.
+    """
     if not text:
         return b""
-    if ODD_SPACE.search(text):
-        return pieces[text]
+    if ODD_SPACE.search(text) or pieces.added.search(text):
+        return pieces.encode_whole(text)
     return b"".join(map(pieces.__getitem__, pieces.cut(text)))

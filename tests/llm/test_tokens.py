@@ -11,12 +11,11 @@ from mortar.llm import packing, token_files, tokens
 from mortar.llm.queries import QUERIES
 
 WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
-TEXTS = ["", " ", "abc\x1c", "\x1fabc ", "\x1c", "  a  b ", "a\x1cb c", "x​ y  z\n\n k", "don't 'stuff'  \n <|endoftext|> x<|endoftext|>", "ÀÉ İ ǅ ß ﬁ Σας", "a b 　 c", "é ́e", "12 3456  7 ²½x", "\t\ta\n", "\x00 \x7f \x85 \xad"]
+TEXTS = ["", " ", "abc\x1c", "\x1fabc ", "\x1c", "  a  b ", "a\x1cb c", "x​ y  z\n\n k", "don't 'stuff'  \n <|endoftext|> x<|endoftext|>", "<|endoftext|>", "a <|startoftext|>b <|endoftext|> c", "x<|ENDOFTEXT|>y <|endof text|>", "<|endoftext|<|endoftext|>", "ÀÉ İ ǅ ß ﬁ Σας", "a b 　 c", "é ́e", "12 3456  7 ²½x", "\t\ta\n", "\x00 \x7f \x85 \xad"]
 
 
 def library(path):
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
