@@ -62,6 +62,19 @@ def salt_of(cols: list[Column], salts: int) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(salts)).cast("int")
 
 
+#: The largest value of ``hash63``.
+MOST_HASH = (1 << 63) - 1
+
+
+def hash63(col: Column) -> Column:
+    return F.xxhash64(col).bitwiseAND(F.lit(MOST_HASH))
+
+
+def sample_cut(wanted: int, total: int) -> int:
+    """Rows whose ``hash63`` is at most this are about ``wanted`` of ``total``, however many these are."""
+    return min(MOST_HASH, MOST_HASH * wanted // max(1, total))
+
+
 def salts_seen(salt: Column, salts: int) -> Column:
     """Aggregate: the salts of a group as the bits of a long (``salts`` <= 63)."""
     if not 1 <= salts <= 63:

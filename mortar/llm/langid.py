@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, worker_cache
+from .common import hash63, sample_cut, text_or_empty, worker_cache
 
 #: n-grams of 1 to 3 characters are hashed to so many features.
 ORDERS = 3
@@ -146,6 +146,13 @@ def document_frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:
     return int(found[-1]), found[:-1]
 
 
+def training_rows(id_col: Column, lang: Column, sizes: dict[str, int], most: int) -> Column:
+    """About ``most`` labelled rows, as many of each language, all of a language that has fewer."""
+    each = max(1, most // len(sizes))
+    cuts = F.map_from_arrays(F.lit(list(sizes)), F.array(*[F.lit(sample_cut(each, n)).cast("long") for n in sizes.values()]))
+    return hash63(id_col) <= F.try_element_at(cuts, lang)
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most: int = MOST_LABELLED) -> LanguageModel:
     """Learn from the rows that are not held out.
 
@@ -164,9 +171,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     n, df = document_frequencies(rows.select("_text"))
     idf = np.log((1 + n) / (1 + df)) + 1.0
 
-    parts, each = 1 << 20, max(1, most // len(languages))
-    share = F.create_map(*[F.lit(x) for k, v in sizes.items() for x in (k, int(parts * min(1.0, each / v)))])
-    chosen = labelled.where(F.pmod(F.xxhash64("_id"), F.lit(parts)) < F.element_at(share, F.col("_lang"))).limit(2 * most)
+    chosen = labelled.where(training_rows(F.col("_id"), F.col("_lang"), sizes, most))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         is_letter = letters()
@@ -179,7 +184,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                         [pa.array([lang.as_py()]), pa.array([at.astype("<u2").tobytes()]), pa.array([value.astype("<f4").tobytes()])], names=["lang", "at", "value"]
                     )
 
-    got = chosen.select("_text", "_lang").mapInArrow(vectors, "lang string, at binary, value binary").toLocalIterator()
+    # texts become vectors where they are; the limit is for ids that repeat without end, which share a hash
+    got = chosen.select("_text", "_lang").mapInArrow(vectors, "lang string, at binary, value binary").limit(2 * most).toLocalIterator()
     found = [(r["lang"], bytes(r["at"]), bytes(r["value"])) for r in got]
     found.sort()  # the same model whatever the order of the rows
     order = np.random.default_rng(1).permutation(len(found))

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import hash63, sample_cut, text_or_empty
 
 #: Labelled rows the rules are fitted on, about; a uniform sample by a hash of the id beyond that.
 MOST_LABELLED = 20_000
@@ -154,8 +154,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = known.where(F.col("_id").isNotNull() & F.col("_y").isin(0.0, 1.0) & ~held_out(F.col("_id")))
     n = known.count()
     if n > most:
-        parts = 1 << 20
-        known = known.where(F.pmod(F.xxhash64("_id"), F.lit(parts)) < F.lit(int(parts * most / n)))
+        known = known.where(hash63("_id") <= F.lit(sample_cut(most, n)))
     known = known.limit(2 * most)  # ids that repeat without end would share a hash
     stats = statistics(F.col("_text"))
     named = docs.select(F.col(f"`{id_col}`").alias("_id"), text_or_empty(F.col(f"`{text_col}`")).alias("_text"))

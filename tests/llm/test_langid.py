@@ -64,3 +64,20 @@ def test_weights_are_sparse():
         rows.append((np.unique(at), np.ones(len(np.unique(at))) / 5))
     w = langid.ftrl(rows, np.array(y), 2)
     assert (w[1000:-1] == 0).all() and w[0, 0] > 0 > w[1, 0]
+
+
+def test_training_rows_of_very_many_labels(spark):
+    """The cut keeps as many rows of a language with 10^10 labelled rows as of a small one."""
+    from pyspark.sql import functions as F
+
+    from mortar.llm.common import MOST_HASH, sample_cut
+    from mortar.llm.langid import training_rows
+
+    sizes = {"en": 10**10, "de": 10**13, "fr": 1000, "it": 3}
+    ids = spark.range(4000).select("id", F.element_at(F.array(*[F.lit(x) for x in sizes]), (F.col("id") % 4 + 1).cast("int")).alias("lang"))
+    got = {r["lang"]: r["n"] for r in ids.where(training_rows(F.col("id"), F.col("lang"), sizes, 4000)).groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    assert got["fr"] == got["it"] == 1000
+    for n in (10**4, 10**10, 10**13, 10**15):
+        kept = sample_cut(1000, n) / MOST_HASH * n
+        assert 999 < kept <= 1001
+    assert ids.where(training_rows(F.col("id"), F.lit("xx"), sizes, 4000)).count() == 0
