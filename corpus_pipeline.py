@@ -41,8 +41,8 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of all documents in sequences of 1,024."""
-    return pack_documents(docs)
+    """Token pieces of all documents in sequences of 1,024, with their ids."""
+    return pack_documents(docs, keep_ids=True)
 
 
 STAGES = [

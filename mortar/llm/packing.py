@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -137,7 +137,7 @@ def best_two_fit(counts: dict[int, int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, length_col: str = "length", shard_pieces: int = SHARD_PIECES) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, length_col: str = "length", shard_pieces: int = SHARD_PIECES, carried: Sequence[str] = ()) -> DataFrame:
     """Pack rows into as few sequences of ``capacity`` as best-two-fit finds.
 
     Adds ``sequence_id`` (long) and ``offset`` (long, gapless from 0 in each sequence). Rows of
@@ -146,17 +146,21 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length_col: str = "length"
     a shard has enough rows of every kind to lose only its last sequences against one packing
     of all. ``pieces`` is written once to the shared checkpoint folder, as its rows are counted
     and then packed. Lengths must be 1 .. ``capacity``; columns named like a result are replaced.
+    ``carried`` columns, like the ids themselves, don't go through the packing tasks; they are
+    joined to its answer by row, and full sequences keep them where they are.
     """
     out = ["sequence_id", "offset"]
-    rows = write_scratch(pieces.drop(*out), "pieces")
-    number, shard = free_name(rows, "_row"), free_name(rows, "_shard")
-    numbered = rows.withColumn(number, F.monotonically_increasing_id())
+    number, shard = free_name(pieces, "_row"), free_name(pieces, "_shard")
+    numbered = write_scratch(pieces.drop(*out).withColumn(number, F.monotonically_increasing_id()), "pieces")
+    rows = numbered.drop(number)
+    names = [f"`{c}`" for c in rows.columns]
     full = F.col(f"`{length_col}`") == capacity
     n = rows.where(~full).count()
     shards = max(1, -(-n // shard_pieces))
     # full sequences get negative numbers, packed ones shard * 2^32 + place in the shard
     whole = numbered.where(full).select("*", (-1 - F.col(number)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    schema = T.StructType([*rows.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    narrow = numbered.drop(*carried)
+    schema = T.StructType([*narrow.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
     def pack_shard(group: pd.DataFrame) -> pd.DataFrame:
         lengths = group[length_col].to_numpy()
@@ -173,11 +177,12 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length_col: str = "length"
                 sequence[row], offset[row] = i, at
                 at += size
         base = int(group[shard].iloc[0]) << 32
-        group = group.drop(columns=[number, shard])
-        return group.assign(sequence_id=sequence + base, offset=offset)
+        return group.drop(columns=[shard]).assign(sequence_id=sequence + base, offset=offset)
 
-    dealt = numbered.where(~full).withColumn(shard, F.pmod(F.xxhash64(number), F.lit(shards)).cast("int"))
+    dealt = narrow.where(~full).withColumn(shard, F.pmod(F.xxhash64(number), F.lit(shards)).cast("int"))
     packed = dealt.groupBy(shard).applyInPandas(pack_shard, schema)
-    return whole.drop(number).unionByName(packed)
+    if carried:
+        packed = packed.join(numbered.where(~full).select(number, *[f"`{c}`" for c in carried]), number)
+    return whole.unionByName(packed).select(*names, *out)
 
 

@@ -106,11 +106,10 @@ def op6_best_fit_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
-def pack_documents(docs):
+def pack_documents(docs, keep_ids=False):
     path = public_tokenizers.path("byte_bpe_50k.json")
-    pieces = packing.token_pieces(docs, path, end_id=2, words=False)
-    narrow = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return packing.pack(narrow)
+    pieces = packing.token_pieces(docs, path, end_id=2, words=False).withColumn("ids_crc32", F.crc32("ids"))
+    return packing.pack(pieces, carried=["ids"]) if keep_ids else packing.pack(pieces.drop("ids"))
 
 
 def op8_simhash(spark, sf_dir):

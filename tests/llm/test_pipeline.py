@@ -1,4 +1,7 @@
+import zlib
+
 import corpus_pipeline
+import numpy as np
 import pytest
 from llm_fixtures import SF_SMALL, clashing, docs_of  # noqa: F401
 from pyspark.sql import functions as F
@@ -67,9 +70,32 @@ def test_packing_holds_every_document(steps):
     assert got == steps[4].count()
 
 
+def test_packed_sequences_hold_the_tokens_of_the_masked_texts(steps):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = {r.doc_id: r.text for r in steps[4].collect()}
+    pieces, sequences = {}, {}
+    for r in steps[5].collect():
+        assert zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length
+        pieces.setdefault(r.doc_id, []).append((r.piece, np.frombuffer(r.ids, "<u4").tolist()))
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for i, text in texts.items():
+        ids = [x for _, part in sorted(pieces[i]) for x in part]
+        assert ids == [*library.encode(text, add_special_tokens=False).ids, 2]
+        assert library.decode(ids[:-1], skip_special_tokens=False) == text
+    for parts in sequences.values():
+        ends = [0]
+        for offset, length in sorted(parts):
+            assert offset == ends[-1]
+            ends.append(offset + length)
+        assert ends[-1] <= 1024
+
+
 def test_run(spark):
     packed = corpus_pipeline.run(spark, SF_SMALL)
-    assert packed.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and packed.count() > 0
+    assert packed.columns == ["doc_id", "piece", "start", "length", "ids", "ids_crc32", "sequence_id", "offset"] and packed.count() > 0
 
 
 def test_stages_on_edge_cases(spark, docs_of, clashing):
