@@ -16,8 +16,10 @@ import numpy as np
 from .common import worker_cache
 
 CHUNK = re.compile(r"\s*\S+|\s+")
-#: Where white space doesn't stand singly after something else, or NUL stands.
-AWKWARD = re.compile(r"\s\s|\A\s|[\x00\t\x0b\x0c\r\x85\xa0]|[\u1680-\u3000]")
+#: White space that isn't single spaces and line ends after something else, and NUL: pairs, then characters.
+PAIRS = ["  ", " \n", "\n ", "\n\n"]
+ASCII_AWKWARD = "\x00\t\x0b\x0c\r\x1c\x1d\x1e\x1f"
+OTHER_AWKWARD = re.compile("[\x85\xa0\u1680-\u3000]")
 #: Characters on which libraries disagree whether they are white space: such a text goes whole.
 ODD_SPACE = re.compile("[\x1c-\x1f᠎​﻿]")
 #: Remembered pieces in each of a worker's two generations, and the longest that is remembered.
@@ -25,9 +27,16 @@ MOST_PIECES = 300_000
 LONGEST_PIECE = 64
 
 
+def awkward(text: str) -> bool:
+    """Searches for fixed strings, which are far quicker than a pattern over every character."""
+    if text[:1] in (" ", "\n") or any(p in text for p in PAIRS) or any(c in text for c in ASCII_AWKWARD):
+        return True
+    return not text.isascii() and OTHER_AWKWARD.search(text) is not None
+
+
 def chunks(text: str) -> list[str]:
     """Runs of white space with what follows them; in plain texts the cuts are before each space and line end."""
-    if AWKWARD.search(text):
+    if awkward(text):
         return CHUNK.findall(text)
     return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
 
@@ -63,10 +72,11 @@ class Latin:
         self.split = re.compile(f"[{letters}]+|[{numbers}]{one}|[^{letters}{numbers}]+").findall
         self.shown = byte_characters()
 
-    def part_ids(self, part: str) -> list[int]:
-        if part.isascii():  # printed characters stand for themselves
-            return [t.id for t in self.tokenize(part.replace(" ", self.shown[32]).replace("\n", self.shown[10]))]
-        return [t.id for t in self.tokenize("".join([self.shown[b] for b in part.encode()]))]
+    def part_ids(self, part: str, before: str = "") -> list[int]:
+        """Of a part without white space, ``before`` being what is shown for the space that goes with it."""
+        # printed ASCII characters stand for themselves
+        shown = part if part.isascii() else "".join([self.shown[b] for b in part.encode()])
+        return [t.id for t in self.tokenize(before + shown)]
 
     def ids(self, piece: str) -> list[int] | None:
         space = "" if self.words or piece[0] not in " \n" else piece[0]
@@ -80,12 +90,11 @@ class Latin:
             if not self.plain(low) or not unicodedata.is_normalized("NFC", word):
                 return None
             return [i for part in self.split(low) for i in self.part_ids(part)]
-        parts = self.split(word)
-        if space == " ":
-            parts[0] = " " + parts[0]
-        elif space:
-            parts.insert(0, space)
-        return [i for part in parts for i in self.part_ids(part)]
+        first, *parts = self.split(word)
+        ids = self.part_ids(first, self.shown[32]) if space == " " else self.part_ids(first)
+        if space == "\n":
+            ids = [t.id for t in self.tokenize(self.shown[10])] + ids
+        return ids + [i for part in parts for i in self.part_ids(part)]
 
 
 class Pieces(dict):
