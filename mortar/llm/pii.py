@@ -115,6 +115,31 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+#: Numbers that are summed one by one; longer runs go by their sums.
+RUN = 32
+
+
+def sums_before(steps: Column) -> Column:
+    """For each number of a non-empty array the sum of those before it, in time about proportional to its length.
+
+    An array that grows by a number at a time is copied each time, so runs of ``RUN``
+    are summed first and only their sums grow such an array.
+    """
+    zero, plus = F.lit(0).cast("bigint"), lambda a, x: a + x
+
+    def of(runs: Column) -> Column:
+        start = F.struct(zero.alias("at"), F.expr("cast(array() as array<bigint>)").alias("out"))
+        each = F.transform(runs, lambda run: F.aggregate(run, zero, plus))
+        begins = F.aggregate(
+            each, start, lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"]
+        )
+        inside = lambda run, begin: F.transform(run, lambda _, i: begin + F.aggregate(F.slice(run, F.lit(1), i), zero, plus))
+        return let(begins, lambda begins: F.flatten(F.transform(runs, lambda run, j: inside(run, F.get(begins, j)))))
+
+    runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / RUN).cast("int")), lambda j: F.slice(steps, j * RUN + 1, F.lit(RUN)))
+    return let(runs, of)
+
+
 def matches(chunk: Column, kind: Kind, lead: Column) -> Column:
     """Matches of a kind: array of (s, e, value, before); positions are code points of the chunk.
 
@@ -130,26 +155,22 @@ def matches(chunk: Column, kind: Kind, lead: Column) -> Column:
         return F.right(F.when(first, F.concat(since, gap)).otherwise(gap), F.lit(BEFORE))
 
     def placed(values: Column, gaps: Column) -> Column:
-        start = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("out"))
-
-        def add(acc: Column, i: Column) -> Column:
-            s = acc["at"] + F.length(F.get(gaps, i))
-            return let(
-                s,
-                lambda s: let(
-                    s + F.length(F.get(values, i)),
-                    lambda e: F.struct(
-                        e.alias("at"),
-                        F.concat(acc["out"], F.array(F.struct(s.alias("s"), e.alias("e"), F.get(values, i).alias("value"), before(F.get(gaps, i), i).alias("before")))).alias("out"),
-                    ),
-                ),
-            )
-
-        return F.aggregate(F.sequence(F.lit(0), F.size(values) - 1), start, add, lambda acc: acc["out"])
+        def at(begins: Column) -> Column:
+            def one(value: Column, i: Column) -> Column:
+                gap = F.get(gaps, i)
+                return let(
+                    F.get(begins, i) + F.length(gap),
+                    lambda s: F.struct(s.alias("s"), (s + F.length(value)).alias("e"), value.alias("value"), before(gap, i).alias("before")),
+                )
+
+            return F.transform(values, one)
+
+        steps = F.transform(values, lambda v, i: (F.length(F.get(gaps, i)) + F.length(v)).cast("bigint"))
+        return let(sums_before(steps), at)
 
     found = let(
         F.regexp_extract_all(chunk, F.lit(kind.pattern), F.lit(0)),
-        lambda values: F.when(F.size(values) > 0, placed(values, F.split(chunk, kind.pattern, -1))).otherwise(none),
+        lambda values: F.when(F.size(values) > 0, let(F.split(chunk, kind.pattern, -1), lambda gaps: placed(values, gaps))).otherwise(none),
     )
     return F.filter(F.when(chunk.rlike(kind.guard), found).otherwise(none), lambda m: kind.valid(m["value"]))
 

@@ -160,3 +160,20 @@ def test_query(spark, name):
         for kind in PATTERNS:
             assert r[f"n_{kind}"] == base.count(f"{kind}:")
     assert not texts
+
+
+@pytest.mark.parametrize("n", [1, 31, 32, 33, 64, 1000])
+def test_sums_before(spark, n):
+    from itertools import accumulate
+
+    steps = [random.Random(n).randint(0, 9) for _ in range(n)]
+    df = spark.createDataFrame([(steps,)], "steps array<bigint>")
+    assert df.select(pii.sums_before(pii.F.col("steps")).alias("s")).first()["s"] == [0, *accumulate(steps)][:-1]
+
+
+def test_a_line_of_thousands_of_matches_is_one_chunk_and_ends(docs_of):
+    """Such a chunk took time with the square of its length: 40,000 characters were not done after a minute."""
+    rnd = random.Random(8)
+    texts = ["".join(".".join(str(rnd.randint(0, 300)) for _ in range(4)) + " " for _ in range(2500)), "+1 2 3 " * 6000, "4111111111111111 " * 2500]
+    got = spans(docs_of(list(enumerate(texts))))
+    assert all(got[i] == brute(t) for i, t in enumerate(texts)) and got[0].count("ip") > 1000
