@@ -9,6 +9,7 @@ shows that no better score can follow.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,8 +26,8 @@ SLAB = 8_192
 ANNULUS = 512
 #: Queries that are searched together.
 QUERY_BLOCK = 256
-#: Places into which the slabs of one pivot are dealt, so that a pivot near most vectors is not one task.
-SALTS = 4
+#: Copies of a block that leave a task in one Arrow batch.
+CELLS_AT_ONCE = 64
 #: Room for rounding in bounds, as a part of the squared length; scores themselves are exact.
 SLACK = 1e-9
 
@@ -87,7 +88,7 @@ def build_index(vectors: DataFrame, id_col: str, vector_col: str, n_pivots: int,
     for i, r in enumerate(sample):
         pivots[i, : len(r["v"])] = r["v"]
     pivots[:, -1] = np.sqrt(np.maximum(longest - (pivots[:, :-1] ** 2).sum(axis=1), 0))
-    kind = "<i2" if longest < 1 << 30 else "<i8"
+    kind = kind_of(longest)
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -106,7 +107,7 @@ def build_index(vectors: DataFrame, id_col: str, vector_col: str, n_pivots: int,
             nonlocal n
             rows = pa.Table.from_batches(held)
             d = rows["d"].to_numpy()
-            n += 1
+            n += 1  # slabs of a task follow each other in distance
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([(part << 32) + n]), pa.array([rows["pivot"][0].as_py()], pa.int32()), pa.array([d[0]]), pa.array([d[-1]]),
@@ -135,66 +136,124 @@ def build_index(vectors: DataFrame, id_col: str, vector_col: str, n_pivots: int,
     return write_scratch(slabs, "slabs"), pivots, dim, longest
 
 
-def search(slabs: DataFrame, pivots: np.ndarray, dim: int, longest: int, k: int, every: int, query_block: int, salts: int) -> DataFrame:
+def cells_of(slabs: DataFrame) -> tuple[DataFrame, dict[str, np.ndarray]]:
+    """Slabs with the ``cell`` that each belongs to, and the list of all cells.
+
+    A cell is a run of neighbouring slabs of one pivot, written by one task of the index: a
+    ball shell of vectors. There are about as many as the square root of the number of vectors
+    (or as the slabs, if these are fewer), beside one for each pivot and partition of the
+    index, so tasks of a search grow in number with the table. The list holds the cells' places, pivots
+    and least and largest distances; its size is bounded by that root (10 MB for 10^11
+    vectors), so it is read to the driver and shipped to the tasks.
+    """
+    n = slabs.agg(F.count(F.lit(1)).alias("slabs"), F.sum(F.octet_length("ids") / 8).alias("rows")).first()
+    run = max(1, math.ceil(n["slabs"] / max(1.0, math.sqrt(n["rows"] or 0))))
+    place = F.struct("pivot", F.shiftright("slab", 32).alias("part"), F.floor(F.col("slab").bitwiseAND(F.lit((1 << 32) - 1)) / run).alias("run"))
+    placed = slabs.withColumn("cell", F.xxhash64(place))
+    # a shared hash would only make one wider cell of two: pivot is part of the grouping
+    found = placed.groupBy("cell", "pivot").agg(F.min("d_min").alias("d_min"), F.max("d_max").alias("d_max")).toArrow()
+    return placed, {c: found[c].to_numpy() for c in found.column_names}
+
+
+def search(slabs: DataFrame, pivots: np.ndarray, dim: int, longest: int, k: int, every: int, query_block: int) -> DataFrame:
     """The ``k`` best of each vector whose id is divisible by ``every``, among all others.
 
     First each query is scored against the slab it lies in itself: its k-th score there is a
-    floor. Blocks of queries then meet the slabs of each pivot that can hold a score of at
-    least the floor, and walk their annuli. What is left of each pair, at most ``k`` rows a
-    query, is merged.
+    floor. Blocks of queries then go to the cells that can hold a score of at least the
+    floor, and to no others, meet the slabs there, and walk their annuli. What is left of
+    each pair, at most ``k`` rows a query, is merged.
     """
-    kind = "<i2" if longest < 1 << 30 else "<i8"
-    slack = SLACK * max(1, longest)
+    placed, cells = cells_of(slabs)
+    pairs = pairs_of(blocks_of(slabs, cells, pivots, dim, longest, k, every, query_block), placed)
+    # one pair at a time: a row holds a slab
+    found = pairs.select("ids", "ds", "xs", "q_ids", "q_xs", "floors", "q_ds").mapInArrow(walker(dim, longest, k), "query_id long, vec_id long, score long")
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def pairs_of(blocks: DataFrame, placed: DataFrame) -> DataFrame:
+    """Blocks of queries with each slab that they can reach in the cells they were sent to."""
+    near = (F.col("q_min") <= F.col("d_max")) & (F.col("q_max") >= F.col("d_min"))
+    return blocks.join(placed, ["cell", "pivot"]).where(near)
+
+
+def kind_of(longest: int) -> str:
+    """How components are stored: each is at most the root of the longest squared length."""
+    return "<i2" if longest < 1 << 30 else "<i8"
+
 
-    def load(r: dict) -> tuple[np.ndarray, np.ndarray]:
-        return np.frombuffer(r["ids"], dtype=np.int64), np.frombuffer(r["xs"], dtype=kind).reshape(-1, dim)
+def slack_of(longest: int) -> float:
+    return SLACK * max(1, longest)
 
-    def score(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-        # whole numbers below 2^53 are exact as doubles, whose product is fast
-        return np.rint(q.astype(float) @ x.astype(float).T).astype(np.int64) if longest < 1 << 52 else q.astype(np.int64) @ x.astype(np.int64).T
+
+def matrix(data: bytes, dim: int, longest: int) -> np.ndarray:
+    return np.frombuffer(data, dtype=kind_of(longest)).reshape(-1, dim)
+
+
+def score(q: np.ndarray, x: np.ndarray, longest: int) -> np.ndarray:
+    """Inner products; whole numbers below 2^53 are exact as doubles, whose product is fast."""
+    return np.rint(q.astype(float) @ x.astype(float).T).astype(np.int64) if longest < 1 << 52 else q.astype(np.int64) @ x.astype(np.int64).T
+
+
+def blocks_of(slabs: DataFrame, cells: dict[str, np.ndarray], pivots: np.ndarray, dim: int, longest: int, k: int, every: int, query_block: int) -> DataFrame:
+    """A row for each block of queries and each cell that it can reach.
+
+    A block holds neighbouring queries of one slab with their floors. ``q_min`` and ``q_max``
+    are the distances from the cell's pivot between which anything that reaches a floor lies.
+    """
 
     def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, n = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for r in batch.to_pylist():
-                ids, x = load(r)
+            for i in range(len(batch)):
+                r = batch.slice(i, 1).to_pylist()[0]
+                ids, x = np.frombuffer(r["ids"], dtype=np.int64), matrix(r["xs"], dim, longest)
                 mine = np.flatnonzero(ids % every == 0)
                 for a in range(0, len(mine), query_block):
                     at = mine[a : a + query_block]
-                    found = score(x[at], x)
+                    found = score(x[at], x, longest)
                     floors = np.full(len(at), np.iinfo(np.int64).min)
-                    for i in range(len(at)):
-                        others = found[i][ids != ids[at[i]]]
+                    for q in range(len(at)):
+                        others = found[q][ids != ids[at[q]]]
                         if len(others) >= k:
-                            floors[i] = np.partition(others, len(others) - k)[len(others) - k]
+                            floors[q] = np.partition(others, len(others) - k)[len(others) - k]
                     d = distances(x[at].astype(np.int64), np.zeros(len(at)), pivots)
                     squared = (x[at].astype(np.int64) ** 2).sum(axis=1)
                     # d(query, x)^2 = |query|^2 + longest - 2 score: no farther than this
-                    reach = np.sqrt(np.maximum(np.where(floors == np.iinfo(np.int64).min, np.inf, squared + longest - 2.0 * floors + slack), 0))
-                    n += 1
-                    m = len(pivots)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([(part << 32) + n] * m), pa.array(np.arange(m, dtype=np.int32)), pa.array((d - reach[:, None]).min(axis=0)), pa.array((d + reach[:, None]).max(axis=0)),
-                            pa.array([ids[at].tobytes()] * m, pa.binary()), pa.array([x[at].tobytes()] * m, pa.binary()), pa.array([floors.tobytes()] * m, pa.binary()), pa.array([d[:, j].tobytes() for j in range(m)], pa.binary()),
-                        ],
-                        names=["block", "pivot", "q_min", "q_max", "q_ids", "q_xs", "floors", "q_ds"],
-                    )
+                    reach = np.sqrt(np.maximum(np.where(floors == np.iinfo(np.int64).min, np.inf, squared + longest - 2.0 * floors + slack_of(longest)), 0))
+                    least, most = (d - reach[:, None]).min(axis=0), (d + reach[:, None]).max(axis=0)
+                    to = np.flatnonzero((least[cells["pivot"]] <= cells["d_max"]) & (most[cells["pivot"]] >= cells["d_min"]))
+                    for b in range(0, len(to), CELLS_AT_ONCE):
+                        cell = to[b : b + CELLS_AT_ONCE]
+                        pivot, m = cells["pivot"][cell], len(cell)
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array(cells["cell"][cell]), pa.array(pivot), pa.array(least[pivot]), pa.array(most[pivot]),
+                                pa.array([ids[at].tobytes()] * m, pa.binary()), pa.array([x[at].tobytes()] * m, pa.binary()), pa.array([floors.tobytes()] * m, pa.binary()),
+                                pa.array([d[:, j].tobytes() for j in pivot], pa.binary()),
+                            ],
+                            names=["cell", "pivot", "q_min", "q_max", "q_ids", "q_xs", "floors", "q_ds"],
+                        )
+
+    return slabs.select("ids", "xs").mapInArrow(start, "cell long, pivot int, q_min double, q_max double, q_ids binary, q_xs binary, floors binary, q_ds binary")
+
+
+def walker(dim: int, longest: int, k: int):
+    """The task function that walks a slab's annuli for a block of queries, nearest first."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
                 r = batch.slice(i, 1).to_pylist()[0]
-                ids, x = load(r)
+                ids, x = np.frombuffer(r["ids"], dtype=np.int64), matrix(r["xs"], dim, longest)
                 ds = np.frombuffer(r["ds"])
-                q_ids, q = np.frombuffer(r["q_ids"], dtype=np.int64), np.frombuffer(r["q_xs"], dtype=kind).reshape(-1, dim)
+                q_ids, q = np.frombuffer(r["q_ids"], dtype=np.int64), matrix(r["q_xs"], dim, longest)
                 q_ds, squared = np.frombuffer(r["q_ds"]), (q.astype(np.int64) ** 2).sum(axis=1)
                 best = Best(len(q), k, np.frombuffer(r["floors"], dtype=np.int64).copy())
                 begins = np.arange(0, len(ids), ANNULUS)
                 near, far = ds[begins], ds[np.minimum(begins + ANNULUS, len(ids)) - 1]
                 # the triangle inequality: nothing in an annulus is nearer to the query than this
                 bound = np.maximum(0, np.maximum(q_ds[:, None] - far, near - q_ds[:, None]))
-                most = (squared[:, None] + longest - bound**2 + slack) / 2
+                most = (squared[:, None] + longest - bound**2 + slack_of(longest)) / 2
                 for j in np.argsort(bound.min(axis=0), kind="stable"):
                     left = np.flatnonzero(most[:, j] >= best.floor)
                     if not len(left):
@@ -202,22 +261,14 @@ def search(slabs: DataFrame, pivots: np.ndarray, dim: int, longest: int, k: int,
                             break
                         continue
                     ring = slice(begins[j], begins[j] + ANNULUS)
-                    for i_q, row in zip(left, score(q[left], x[ring])):
+                    for i_q, row in zip(left, score(q[left], x[ring], longest)):
                         other = ids[ring] != q_ids[i_q]
                         best.add(i_q, row[other], ids[ring][other])
                 n = [len(x) for x in best.ids]
                 if sum(n):
                     yield pa.RecordBatch.from_arrays([pa.array(np.repeat(q_ids, n)), pa.array(np.concatenate(best.ids)), pa.array(np.concatenate(best.scores))], names=["query_id", "vec_id", "score"])
 
-    blocks = slabs.select("ids", "xs").mapInArrow(start, "block long, pivot int, q_min double, q_max double, q_ids binary, q_xs binary, floors binary, q_ds binary")
-    salted = blocks.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
-    dealt = slabs.withColumn("salt", F.pmod(F.xxhash64("slab"), F.lit(salts)).cast("int"))
-    near = (F.col("q_min") <= F.col("d_max")) & (F.col("q_max") >= F.col("d_min"))
-    pairs = salted.join(dealt, ["pivot", "salt"]).where(near)
-    # one pair at a time: a row holds a slab
-    found = pairs.select("ids", "ds", "xs", "q_ids", "q_xs", "floors", "q_ds").mapInArrow(walk, "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return walk
 
 
 def top_k(
@@ -229,7 +280,6 @@ def top_k(
     n_pivots: int = PIVOTS,
     slab: int = SLAB,
     query_block: int = QUERY_BLOCK,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Exact top ``k`` by integer inner product: (query_id, rank, vec_id, score).
 
@@ -245,4 +295,4 @@ def top_k(
     index = build_index(vectors, id_col, vector_col, n_pivots, slab)
     if index is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    return search(*index, k, every, query_block, salts)
+    return search(*index, k, every, query_block)
