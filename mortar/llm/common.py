@@ -21,17 +21,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written once to the shared checkpoint folder and read back, and the path it is at."""
+    path = scratch_path(df.sparkSession, f"llm-{name}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def write_scratch(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back.
 
     Cuts the lineage with a table that every executor can read again.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, f"llm-{name}")
-    df.write.parquet(path)
+    found, _ = stored(df, name)
     # the step is over: lets Spark's cleaner drop its shuffle files now, not at some later time
-    spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return found
 
 
 def free_name(df: DataFrame, name: str) -> str:

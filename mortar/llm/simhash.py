@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import explode_salts, free_name, salt_of, salts_seen, text_or_empty, write_scratch
+from ..session import remove_path
+from .common import explode_salts, free_name, salt_of, salts_seen, stored, text_or_empty, write_scratch
 from .words import word_blocks
 
 BITS = 64
@@ -106,22 +107,38 @@ def links(fps: DataFrame, radius: int = 2) -> DataFrame:
     return met.select(F.col("fp").alias("a"), least.alias("b")).where("a > b").distinct()
 
 
-def connect(edges: DataFrame) -> DataFrame:
+def with_least(edges: DataFrame, salts: int = SALTS) -> DataFrame:
+    """Rows (a, b) with ``m``, the smallest b of each a.
+
+    The least is found by partial aggregation and goes back over (a, salt), the salt being a
+    hash of b: the centre of a large star, that a third of all links may share, meets its
+    neighbours in ``salts`` places. Links are distinct, so their salts spread evenly.
+    """
+    salted = edges.withColumn("_salt", salt_of([F.col("b")], salts))
+    least = salted.groupBy("a").agg(F.min("b").alias("m"), salts_seen(F.col("_salt"), salts).alias("_salts"))
+    return salted.join(least.select("a", "m", explode_salts(F.col("_salts"), salts).alias("_salt")), ["a", "_salt"]).select("a", "b", "m")
+
+
+def connect(edges: DataFrame, salts: int = SALTS) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b); root is the smallest node it is connected to.
 
     Alternates two steps until nothing changes: every larger neighbour of a node is linked to
-    the smallest neighbour, then every smaller one is. The links never grow in number, chains
-    halve, and each round is written to the shared checkpoint folder.
+    the smallest neighbour, then every smaller one is. The links never grow in number and chains
+    halve. Each round is written to the shared checkpoint folder, and the round before it is
+    deleted there. No step gathers the neighbours of a node in one task (see ``with_least``).
     """
+    spark = edges.sparkSession
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b")
-    before = None
+    before = path = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        edges = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = edges.groupBy("a").agg(F.min("b").alias("m"))
-        small = edges.join(least, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("_e"))
-        edges = small.select("_e.a", "_e.b").where("a > b").distinct().checkpoint()
+        large = with_least(both, salts).where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct()
+        ends = F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b"))))
+        small = with_least(large, salts).select(ends.alias("_e")).select("_e.a", "_e.b")
+        edges, written = stored(small.where("a > b").distinct(), "links")
+        if path:
+            remove_path(spark, path)
+        path = written
         now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.col("b").cast("decimal(38,0)"))).first()
         if now == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
@@ -133,12 +150,14 @@ def near_groups(fps: DataFrame, id_col: str = "doc_id", radius: int = 2, salts:
 
     Fingerprints link if at most ``radius`` bits differ. All linking is done on distinct
     fingerprints, so copies cost one row; the answer goes back to the rows over (fingerprint,
-    salt), so a fingerprint that a third of all rows share is spread over ``salts`` tasks.
-    ``fps`` is read three times: pass a written table. Null ids are never smallest; a component of null
-    ids only has a null component_id.
+    salt), so a fingerprint that a third of all rows share is spread over ``salts`` tasks. The
+    salt comes from a row's place when the rows are written, not from its id, so rows
+    whose ids are null or repeated spread as well. Null ids are never smallest; a component of
+    null ids only has a null component_id.
     """
-    roots = connect(links(fps, radius))
-    salted = fps.withColumn("_salt", F.coalesce(salt_of([F.col(f"`{id_col}`")], salts), F.lit(0)))
+    placed = fps.select(F.col(f"`{id_col}`"), "fp").withColumn("_salt", salt_of([F.monotonically_increasing_id()], salts))
+    salted = write_scratch(placed, "fingerprints")
+    roots = connect(links(salted, radius), salts)
     each = salted.groupBy("fp").agg(F.min(f"`{id_col}`").alias("_least"), salts_seen(F.col("_salt"), salts).alias("_salts"))
     rooted = each.join(roots, each.fp == roots.node, "left").select("fp", "_least", "_salts", F.coalesce("root", "fp").alias("_root"))
     components = rooted.groupBy("_root").agg(F.min("_least").alias("component_id"))
@@ -152,7 +171,7 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     See ``fingerprints`` and ``near_groups`` for nulls, empty texts and repeated rows. An empty
     table gives an empty result; other columns are left alone.
     """
-    return near_groups(write_scratch(fingerprints(docs, id_col, text_col, shingle, seed), "fingerprints"), id_col, radius)
+    return near_groups(fingerprints(docs, id_col, text_col, shingle, seed), id_col, radius)
 
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2, seed: int = 42) -> DataFrame:

@@ -81,6 +81,42 @@ def test_long_chain(spark):
     assert len(got) == 512 and {r.root for r in got} == {0}
 
 
+def test_a_star_is_met_in_many_places(spark):
+    """A centre with 20,000 neighbours: one component, its way back dealt over all salts."""
+    n = 20_000
+    edges = spark.range(1, n + 1).select(F.col("id").alias("a"), F.lit(0).cast("long").alias("b"))
+    assert simhash.connect(edges).groupBy("root").count().collect() == [(0, n + 1)]
+    middle = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    places = middle.groupBy(simhash.salt_of([F.col("b")], simhash.SALTS)).count().collect()
+    assert len(places) == simhash.SALTS and max(r["count"] for r in places) < 2 * n / simhash.SALTS
+    got = simhash.with_least(middle).agg(F.count("*"), F.min("m"), F.max("m")).first()
+    assert tuple(got) == (n, 1, 1)
+
+
+def test_null_and_repeated_ids_spread(spark, monkeypatch):
+    """Copies without an id, or with one id, are not one salt; each row comes out."""
+    written = []
+    write = simhash.write_scratch
+    monkeypatch.setattr(simhash, "write_scratch", lambda df, name: written.append(write(df, name)) or written[-1])
+    df = spark.range(6000).select(F.when(F.col("id") % 2 == 0, 7).cast("long").alias("doc_id"), F.lit(5).cast("long").alias("fp"))
+    got = sorted(((r.doc_id, r.component_id) for r in simhash.near_groups(df).collect()), key=str)
+    assert got == [(7, 7)] * 3000 + [(None, 7)] * 3000
+    places = written[0].groupBy("_salt").count().collect()
+    assert len(places) == simhash.SALTS and max(r["count"] for r in places) < 2 * 6000 / simhash.SALTS
+
+
+def test_rounds_are_deleted(spark):
+    import glob
+
+    from mortar.session import checkpoint_dir
+
+    here = checkpoint_dir(spark).removeprefix("file:") + "/llm-links-*"
+    before = set(glob.glob(here))
+    edges = spark.range(100).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    assert simhash.connect(edges).count() == 101
+    assert len(set(glob.glob(here)) - before) == 1
+
+
 TEXTS = ["", None, " \n", "one", "One  two", "one two three", "ONE two\tthree", "a b c d e f g h", "É a b c", "x " * 400, "the cat sat on the mat " * 30]
 
 
