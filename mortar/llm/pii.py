@@ -1,7 +1,7 @@
 """Personal data: labelers vote on spans, expectation-maximisation weighs them, a span classifier decides.
 
-All work on texts is done by Spark's own functions. Only counts of vote patterns, at most
-2^4 for each kind, come to the driver, where the weights are estimated.
+All work on texts is done by Spark's own functions. Only counts of patterns of votes and signs,
+at most 2^10 for each kind, come to the driver, where the weights are estimated.
 
 Texts are searched in chunks, so that positions are summed over a few matches at a time. A
 chunk ends where no pattern can go on: after a character that none of them holds, or between
@@ -103,8 +103,19 @@ EXTRA = [
 ]
 #: Order of kinds among spans that begin at one place.
 NAMES = ["email", "ip", "card", "phone", "ssn", "secret"]
-#: A span beyond the base needs so many votes, however much the classifier trusts one labeler.
-LEAST_VOTES = 2
+#: What the classifier sees of a span beside the votes: its length, its characters, what stands before it.
+SIGNS: dict[str, Callable[[Column, Column], Column]] = {
+    "long": lambda v, before: F.length(v) >= 24,
+    "mostly digits": lambda v, before: 2 * F.length(digits(v)) >= F.length(v),
+    "both cases": lambda v, before: v.rlike("[A-Z]") & v.rlike("[a-z]"),
+    "few characters": lambda v, before: 2 * F.size(F.array_distinct(F.split(v, ""))) < F.length(v),
+    "after a word": lambda v, before: before.rlike(r"\p{L}{2} \z"),
+    "after a quote": lambda v, before: before.rlike(r"""["'(\[<]\z"""),
+}
+#: A span beyond the base counts if the classifier is so sure of it.
+SURE = 0.9
+#: Weight of the two cases that are known, all votes and none, as a part of the candidates.
+SEEDS = 0.1
 BEFORE = 32
 
 SPAN = "array<struct<s:bigint,k:int,e:bigint,base:boolean>>"
@@ -192,17 +203,20 @@ def may_hold(text: Column) -> Column:
     return text.rlike("[0-9@]")
 
 
+def seen(kind: Kind, value: Column, before: Column) -> list[Column]:
+    """The votes of a kind's labelers, then the signs, each 0 or 1."""
+    return [test(value, before).cast("int") for test in (*kind.votes.values(), *SIGNS.values())]
+
+
 @dataclass
 class SpanModel:
-    """For each kind beyond the base the weights of its labelers; a span counts if their sum is above 0."""
+    """For each kind beyond the base the weights of votes and signs; a span counts if their sum is above 0."""
 
-    weights: dict[str, tuple[float, ...]]  # kind -> bias, then one weight for each labeler
+    weights: dict[str, tuple[float, ...]]  # kind -> bias, then one weight for each labeler and each sign
 
     def accepts(self, kind: Kind, value: Column, before: Column) -> Column:
         bias, *weights = self.weights[kind.name]
-        votes = [vote(value, before).cast("int") for vote in kind.votes.values()]
-        total = sum((v * F.lit(float(w)) for v, w in zip(votes, weights)), F.lit(float(bias)))
-        return (total > 0) & (sum(votes[1:], votes[0]) >= LEAST_VOTES)
+        return sum((x * F.lit(float(w)) for x, w in zip(seen(kind, value, before), weights)), F.lit(float(bias))) > 0
 
 
 def spans_in(chunk: Column, lead: Column, model: SpanModel) -> Column:
@@ -224,24 +238,25 @@ def em(votes: np.ndarray, n: np.ndarray, rounds: int = 100) -> np.ndarray:
     """Posterior of each vote pattern, occurring ``n`` times, to be a true span.
 
     Two classes, labelers independent within each: reliabilities and posteriors are estimated
-    in turn, from the majority on. A little is added to all counts, so that no reliability is 0 or 1.
+    in turn, from the majority on. Two cases are known and count with the candidates: what all
+    labelers vote for is a true span, what none does isn't. They tie the classes to their
+    meaning where all candidates look alike. A little is added to all counts, so that no
+    reliability is 0 or 1.
     """
     p = (votes.sum(axis=1) + 0.5) / (votes.shape[1] + 1)
+    seeds = SEEDS * n.sum()
     for _ in range(rounds):
-        share = np.clip((n * p).sum() / n.sum(), 1e-3, 1 - 1e-3)
-        logs = []
-        for w, prior in ((n * p, share), (n * (1 - p), 1 - share)):
-            yes = ((w[:, None] * votes).sum(axis=0) + 1) / (w.sum() + 2)
-            logs.append(np.log(prior) + (votes * np.log(yes) + (1 - votes) * np.log(1 - yes)).sum(axis=1))
-        p = 1 / (1 + np.exp(np.clip(logs[1] - logs[0], -50, 50)))
-    # the true class is the one with more votes
-    true, false = (n * p) @ votes.sum(axis=1) / max((n * p).sum(), 1e-9), (n * (1 - p)) @ votes.sum(axis=1) / max((n * (1 - p)).sum(), 1e-9)
-    return p if true >= false else 1 - p
-
-
-def span_classifier(votes: np.ndarray, n: np.ndarray, p: np.ndarray, rounds: int = 500) -> tuple[float, ...]:
-    """Logistic regression on the votes with the posteriors as soft labels."""
-    x = np.hstack([np.ones((len(votes), 1)), votes])
+        true, false = (n * p).sum() + seeds, (n * (1 - p)).sum() + seeds
+        yes = ((n * p) @ votes + seeds + 1) / (true + 2)
+        wrong = ((n * (1 - p)) @ votes + 1) / (false + 2)
+        odds = np.log(true / false) + votes @ np.log(yes / wrong) + (1 - votes) @ np.log((1 - yes) / (1 - wrong))
+        p = 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
+    return p
+
+
+def span_classifier(x: np.ndarray, n: np.ndarray, p: np.ndarray, rounds: int = 500) -> tuple[float, ...]:
+    """Logistic regression on the columns of ``x`` with the posteriors as soft labels: bias, weights."""
+    x = np.hstack([np.ones((len(x), 1)), x])
     w = np.zeros(x.shape[1])
     share = n / n.sum()
     for _ in range(rounds):
@@ -255,24 +270,31 @@ def span_classifier(votes: np.ndarray, n: np.ndarray, p: np.ndarray, rounds: int
 
 
 def fit(docs: DataFrame, text_col: str = "text") -> SpanModel:
-    """Count the vote patterns of all candidate spans of all texts, and learn from the counts."""
+    """Count what is seen of all candidate spans of all texts, and learn from the counts.
+
+    Reliabilities and posteriors come from the votes alone; the classifier then learns the
+    posteriors from votes and signs. ``SURE`` is taken off the bias, so sums are compared with 0.
+    """
     text = F.col("_text")
     texts = docs.select(text_or_empty(F.col(f"`{text_col}`")).alias("_text")).where(may_hold(text))
     parts = texts.select(F.explode(chunks_of(text)).alias("_c")).select("_c.chunk", "_c.lead").where(F.col("chunk").rlike("[0-9]"))
-    votes = lambda kind: lambda m: F.struct(
-        F.lit(kind.name).alias("kind"), *[vote(m["value"], m["before"]).cast("int").alias(f"v{i}") for i, vote in enumerate(kind.votes.values())]
-    )
-    cast = F.concat(*[F.transform(matches(F.col("chunk"), kind, F.col("lead")), votes(kind)) for kind in EXTRA])
     n_votes = len(EXTRA[0].votes)
-    keys = ["kind", *[f"v{i}" for i in range(n_votes)]]
-    counts = parts.select(F.explode(cast).alias("_v")).select("_v.*").groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).orderBy(*keys).collect()
+    names = [f"x{i}" for i in range(n_votes + len(SIGNS))]
+    row = lambda kind: lambda m: F.struct(
+        F.lit(kind.name).alias("kind"), *[x.alias(c) for x, c in zip(seen(kind, m["value"], m["before"]), names)]
+    )
+    cast = F.concat(*[F.transform(matches(F.col("chunk"), kind, F.col("lead")), row(kind)) for kind in EXTRA])
+    counts = parts.select(F.explode(cast).alias("_v")).select("_v.*").groupBy("kind", *names).agg(F.count(F.lit(1)).alias("n")).orderBy("kind", *names).collect()
     weights = {}
     for kind in EXTRA:
         rows = [r for r in counts if r["kind"] == kind.name]
         if rows:
-            v = np.array([[r[f"v{i}"] for i in range(n_votes)] for r in rows], dtype=float)
+            x = np.array([[r[c] for c in names] for r in rows], dtype=float)
             n = np.array([r["n"] for r in rows], dtype=float)
-            weights[kind.name] = span_classifier(v, n, em(v, n))
+            votes, of = np.unique(x[:, :n_votes], axis=0, return_inverse=True)
+            posterior = em(votes, np.bincount(of.ravel(), weights=n))
+            bias, *rest = span_classifier(x, n, posterior[of.ravel()])
+            weights[kind.name] = (bias - float(np.log(SURE / (1 - SURE))), *rest)
     return SpanModel(weights)
 
 
