@@ -214,7 +214,7 @@ class Survivors:
 
 
 def full_hashes(unit: Unit, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent hashes of every full window; the second is cut to 32 bits."""
+    """Two hashes of every full window, joined from differently mixed word hashes; the second is cut to 32 bits."""
     other = window_hashes(unit.words * np.uint64(0xD6E8FEB86659FD93) ^ (unit.words >> np.uint64(31)), window)
     return window_hashes(unit.words, window), other >> np.uint64(32)
 
