@@ -49,9 +49,13 @@ def middle_of(bucket: Column, scale: int = SCALE) -> Column:
 
 
 def sketch_of(df: DataFrame, keys: Sequence[str], metrics: Sequence[str], scale: int = SCALE) -> DataFrame:
-    """(keys, metric, bucket, n) of each metric; bucket NULL counts NULLs and NaN."""
-    each = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), bucket_of(F.col(m), scale).alias("bucket")) for m in metrics]))
-    return df.select(*keys, each.alias("_m")).select(*keys, "_m.metric", "_m.bucket").groupBy(*keys, "metric", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    """(keys, metric, bucket, n) of each metric; bucket NULL counts NULLs and NaN.
+
+    Equal values are counted first, so a bucket is worked out once a value and not once a row.
+    """
+    each = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics]))
+    counted = df.select(*keys, each.alias("_m")).groupBy(*keys, "_m.metric", "_m.value").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select(*keys, "metric", bucket_of(F.col("value"), scale).alias("bucket"), "n").groupBy(*keys, "metric", "bucket").agg(F.sum("n").alias("n"))
 
 
 def merge(sketches: DataFrame, keys: Sequence[str]) -> DataFrame:
