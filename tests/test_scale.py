@@ -1,13 +1,17 @@
 """What a task holds and what is shuffled as the daily tables' input grows."""
 
 import datetime as dt
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from mortar.operators import temporal
+from mortar import registry
+from mortar.operators import checks, sketch, temporal
+from mortar.operators.compare import compare_all_columns, compare_relations
 from mortar.plans import customers as saas
+from mortar.sources.sinks import clustered_table
 
 START = dt.date(2023, 1, 1)
 DAY = lambda n: None if n is None else START + dt.timedelta(days=n)
@@ -50,3 +54,117 @@ def test_segments_are_made_by_as_many_tasks_as_the_input_needs(spark, monkeypatc
     # the rows are dealt by customer below the window, and by nothing after that
     before = plan_of(many).split("Window")[0]
     assert "Exchange" not in before and many.rdd.getNumPartitions() == 15
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """As Spark plans when its estimates are over the broadcast threshold."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {n: spark.conf.get(n, None) for n in names}
+    for n in names:
+        spark.conf.set(n, "-1")
+    yield
+    for n, v in before.items():
+        spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
+
+def exchanges(df):
+    return plan_of(df).count("Exchange hashpartitioning")
+
+
+def test_days_are_not_shuffled_to_meet_their_bounds(spark, no_broadcast):
+    plan = plan_of(saas.daily_metrics(*built(spark)))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1  # a row a day and task, for the bounds
+
+
+def test_clustered_days_need_no_exchange(spark, no_broadcast, monkeypatch):
+    c, *inputs = built(spark)
+    monkeypatch.setattr(registry, "_saas", lambda spark, sf_dir: (c, *inputs))
+    out = registry.q_customers_enriched_clustered(spark, "")
+    assert exchanges(out) == 1  # for the bounds
+    plain = saas.customers_enriched(c, saas.daily_metrics(c, *inputs), as_of=registry.AS_OF)
+    assert same(out, plain) and out.count() == c.count()
+
+
+@pytest.mark.parametrize("parts", [1, 4, 128])
+def test_a_refresh_writes_one_file_a_task_and_folder_at_most(spark, tmp_path, monkeypatch, parts):
+    monkeypatch.setattr(saas, "parts_for", lambda *tables: parts)
+    path = str(tmp_path / "segments")
+    c, subs, logins, tickets = built(spark)
+    late = F.crc32("customer_id") % 3 == 0
+    saas.refresh_segments(path, c, c, subs, logins.where(~F.coalesce(late, F.lit(False))), tickets)
+    changed = logins.where(late).select("customer_id").unionByName(spark.createDataFrame([(None,)], "customer_id string"))
+    saas.refresh_segments(path, changed, c, subs, logins, tickets)
+    files = [os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.startswith("part-")]
+    assert len(files) <= max(parts, len({os.path.dirname(f) for f in files}))
+    assert same(saas.stored_daily_metrics(spark, path), saas.daily_metrics(c, subs, logins, tickets))
+
+
+def test_audits_compare_in_place(spark, no_broadcast, monkeypatch):
+    c, *inputs = built(spark)
+    monkeypatch.setattr(registry, "_saas", lambda spark, sf_dir: (c, *inputs))
+    alone, full = registry._ticket_plans(spark, "")
+    told = compare_relations(alone, full)
+    # one each for the bounds, the customers, the tickets and the three rows of the result
+    assert plan_of(told).count("ENSURE_REQUIREMENTS") <= 6 and "SortMergeJoin" not in plan_of(told)
+    assert sorted(map(tuple, told.collect()), key=str) == sorted(map(tuple, compare_relations(*(df.localCheckpoint() for df in (alone, full))).collect()), key=str)
+    diff = registry.q_diff_open_tickets(spark, "")
+    a, b = alone.localCheckpoint(), full.localCheckpoint()
+    want = a.exceptAll(b).withColumn("side", F.lit("a")).unionByName(b.exceptAll(a).withColumn("side", F.lit("b")))
+    assert same(diff.drop("copies"), want) and want.count() > 0
+
+
+def test_columns_of_repeated_and_null_keys_compare_as_joined(spark):
+    rnd = random.Random(3)
+    rows = lambda n: [(rnd.choice([None, *range(12)]), rnd.choice([None, 1, 2]), rnd.choice([None, "x", "y"]), rnd.choice([None, True, False])) for _ in range(n)]
+    a, b = (spark.createDataFrame(rows(n), "k int, l int, v string, f boolean") for n in (40, 55))
+    for x, y in ((a, b), (a.dropDuplicates(["k", "l"]), b.dropDuplicates(["k", "l"])), (a, b.limit(0))):
+        x, y = x.localCheckpoint(), y.localCheckpoint()
+        j = x.toDF("k", "l", "av", "af").withColumn("ia", F.lit(1)).join(y.toDF("k", "l", "bv", "bf").withColumn("ib", F.lit(1)), ["k", "l"], "full_outer").collect()
+        met = [r for r in j if r["ia"] and r["ib"]]
+        want = set()
+        for c in "vf":
+            pairs = [(r["a" + c], r["b" + c]) for r in met]
+            same_, none = sum(p == q and p is not None for p, q in pairs), sum(p is None and q is None for p, q in pairs)
+            want.add((c, same_, none, len(pairs) - same_ - none, sum(not r["ia"] for r in j), sum(not r["ib"] for r in j)))
+        assert {tuple(r) for r in compare_all_columns(x, y, ["k", "l"]).collect()} == want
+
+
+def test_columns_of_dealt_tables_compare_without_an_exchange(spark, no_broadcast):
+    rows = spark.range(300).selectExpr("id % 7 as k", "id as d", "id % 3 as v")
+    a, b = rows.repartition(3, "k"), clustered_table(rows, "test_compared", ["k"], ["d"], buckets=3)
+    stages = []
+    real = checks.materialize
+
+    def kept(df, *args, **kw):
+        stages.append(plan_of(df).count("ENSURE_REQUIREMENTS"))
+        return real(df, *args, **kw)
+
+    import mortar.operators.compare as compare
+
+    before, compare.materialize = compare.materialize, kept
+    try:
+        assert [tuple(r) for r in compare_all_columns(a, b, ["k", "d"]).collect()] == [("v", 300, 0, 0, 0, 0)]
+    finally:
+        compare.materialize = before
+    assert stages == [1]  # the counts of the tasks
+
+
+def test_unique_by_hash_counts_like_unique(spark, monkeypatch):
+    monkeypatch.setattr(checks, "TASK_VALUES", 10)
+    df = spark.createDataFrame([(None if i % 9 == 0 else f"v{i % 40}" if i < 60 else f"w{i}",) for i in range(100)], "v string")
+    plain, hashed = checks.check_unique(df, "v"), checks.check_unique(df, "v", by_hash=True)
+    assert plain.count() > 0 and same(plain, hashed)
+    assert checks.check_unique(df.distinct(), "v", by_hash=True).count() == 0
+    told = checks.run_checks(df, checks.Tests(unique_by_hash=["v"])).collect()
+    assert [tuple(r) for r in told] == [("unique", "v", plain.count())]
+
+
+def test_a_sketch_works_out_buckets_of_counted_values(spark):
+    df = spark.range(500).selectExpr("id % 5 as k", "case when id % 11 = 0 then null when id % 13 = 0 then double('nan') else id % 3 * 0.25D end as v", "cast(id % 2 as int) as w")
+    made = sketch.sketch_of(df, ["k"], ["v", "w"])
+    assert plan_of(made).count("HashAggregate") == 4  # values, then buckets
+    each = df.selectExpr("k", "inline(array(struct('v' as metric, v as x), struct('w' as metric, cast(w as double) as x)))")
+    want = each.select("k", "metric", sketch.bucket_of(F.col("x")).alias("bucket")).groupBy("k", "metric", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    assert same(made, want)
