@@ -11,7 +11,7 @@ from mortar import registry
 from mortar.operators import checks, sketch, temporal
 from mortar.operators.compare import compare_all_columns, compare_relations
 from mortar.plans import customers as saas
-from mortar.sources.sinks import clustered_table
+from mortar.sources.sinks import clustered_table, stored_folders, write_folders
 
 START = dt.date(2023, 1, 1)
 DAY = lambda n: None if n is None else START + dt.timedelta(days=n)
@@ -168,3 +168,79 @@ def test_a_sketch_works_out_buckets_of_counted_values(spark):
     each = df.selectExpr("k", "inline(array(struct('v' as metric, v as x), struct('w' as metric, cast(w as double) as x)))")
     want = each.select("k", "metric", sketch.bucket_of(F.col("x")).alias("bucket")).groupBy("k", "metric", "bucket").agg(F.count(F.lit(1)).alias("n"))
     assert same(made, want)
+
+
+def exchanges_of(plan):
+    return plan.count("Exchange hashpartitioning")
+
+
+def test_rows_are_shuffled_once_to_their_customer(spark, no_broadcast):
+    plan = plan_of(saas.metric_segments(*built(spark), parts=4))
+    # one each for subscriptions, logins and tickets; customers are summed, then dealt
+    assert exchanges_of(plan) == 5
+
+
+@pytest.mark.parametrize("mode, rows, most", [("literal", 100, 1000), ("distinct", 1, 2)])
+def test_customers_with_very_many_rows_are_counted_first(spark, monkeypatch, mode, rows, most):
+    c, subs, logins, tickets = built(spark)
+    hot = lambda df, n: df.unionAll(spark.range(n).crossJoin(df.where("customer_id = 'c7'").limit(1)).drop("id"))
+    logins, tickets = hot(logins, 300), hot(tickets, 200)
+    few = saas.metric_segments(c, subs, logins, tickets, logins_mode=mode, parts=3).localCheckpoint()
+    assert temporal.crowded_classes("customer_id", subs, logins, tickets) == []
+    monkeypatch.setattr(temporal, "TASK_ROWS", 100)
+    c7 = spark.createDataFrame([("c7",)], "customer_id string").select(temporal._class("customer_id")).first()[0]
+    assert temporal.crowded_classes("customer_id", subs, logins, tickets) == [c7]
+    monkeypatch.setattr(temporal, "TASK_ROWS", rows)
+    monkeypatch.setattr(temporal, "MOST_CROWDED", most)
+    assert len(temporal.crowded_classes("customer_id", subs, logins, tickets)) == min(most, rows == 1 and 61 or 1)
+    assert same(few, saas.metric_segments(c, subs, logins, tickets, logins_mode=mode, parts=3))
+
+
+def test_sums_and_distinct_items_in_one_pass(spark):
+    subs = built(spark)[1]
+    lo, hi, span = F.col("start_date"), F.date_add("end_date", 1), ("2023-01-01", "2024-12-31")
+    values = {"n": F.lit(1), "arr": F.coalesce("arr", F.lit(0))}
+    summed = lambda df: df.groupBy("customer_id", "day").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "arr", "items", "n_lag", "arr_lag", "items_lag")])
+    one = temporal.sums_and_distinct_events(subs, "customer_id", "product_id", lo, hi, values, *span, "items", 90)
+    late = {f"{c}_lag": v for c, v in values.items()}
+    apart = temporal.interval_events(subs, "customer_id", lo, hi, values, *span).unionByName(
+        temporal.interval_events(subs, "customer_id", lo, hi, late, *span, shift=90), allowMissingColumns=True
+    )
+    items = temporal.distinct_active_events(subs, "customer_id", "product_id", lo, hi, *span, out="items", lags={"items_lag": 90})
+    assert same(summed(one), summed(apart.unionByName(items, allowMissingColumns=True))) and one.count() > 500
+
+
+def test_stored_folders_are_read_without_an_exchange(spark, tmp_path, no_broadcast):
+    rows = spark.range(500).selectExpr("case when id % 9 = 0 then null else concat('k', id % 40) end as k", "id as v").withColumn("f", F.pmod(F.hash("k"), F.lit(8)).cast("int"))
+    path, tables = str(tmp_path / "it's stored"), spark.catalog.listTables()
+    write_folders(rows.repartition(16, "k"), path, "f", "k", 8)
+    gone = spark.createDataFrame([("k3",), ("k8",), (None,)], "_k string").repartition(8, "_k").hint("shuffle_hash")
+    with stored_folders(spark, path, rows.schema, "f", "k", 8) as stored:
+        kept = stored.where("f < 6").join(gone, F.col("k") == F.col("_k"), "left_anti")
+        assert plan_of(kept).count("Exchange") == 1  # of the ids
+        assert same(kept.select(rows.columns), rows.where("f < 6 and (k is null or k not in ('k3', 'k8'))"))
+    assert spark.catalog.listTables() == tables
+
+
+def test_a_refresh_leaves_nothing_but_its_folders(spark, tmp_path, no_broadcast, monkeypatch):
+    path = str(tmp_path / "segments")
+    c, subs, logins, tickets = built(spark)
+    changed = spark.createDataFrame([(f"c{i}",) for i in range(0, 60, 3)], "customer_id string")
+    names, plans, tables = (*saas._WRITING,), [], spark.catalog.listTables()
+    before = {n: spark.conf.get(n, None) for n in names}
+    real = saas.write_folders
+
+    def kept(df, *args):
+        plans.append(plan_of(df))
+        assert {n: spark.conf.get(n) for n in names} == saas._WRITING
+        return real(df, *args)
+
+    monkeypatch.setattr(saas, "write_folders", kept)
+    monkeypatch.setattr(saas, "scratch_path", lambda spark, name: str(tmp_path / name))
+    saas.refresh_segments(path, c, c, subs, logins, tickets)
+    saas.refresh_segments(path, changed, c, subs, logins.limit(300).localCheckpoint(), tickets)
+    # of the store, only the changed ids are dealt to meet it; their customers' folders are not
+    assert exchanges_of(plans[1]) - exchanges_of(plans[0]) == 1
+    assert {n: spark.conf.get(n, None) for n in names} == before
+    assert os.listdir(tmp_path) == ["segments"] and not [n for n in os.listdir(path) if n.startswith("_new")]
+    assert spark.catalog.listTables() == tables
